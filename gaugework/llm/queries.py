@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugework.llm import decontaminate as decon
-from gaugework.llm import quality
+from gaugework.llm import html, language, quality, tokens
+from gaugework.llm.common import importable, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -16,7 +18,12 @@ ORACLE: dict[str, str] = {}
 
 def query(sql: str | None = None):
     def put(fn):
-        QUERIES[fn.__name__] = fn
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            importable(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[fn.__name__] = run
         if sql:
             ORACLE[fn.__name__] = sql
         return fn
@@ -80,3 +87,40 @@ def op5_decontaminate(spark, sf_dir):
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
     )
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def learnable(doc_id: str = "doc_id"):
+    """Documents that a model may learn from."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 != 1
+
+
+@query()
+def op2_language_id(spark, sf_dir):
+    """2: language of every document, learned on those that are not held out."""
+    rows = docs(spark, sf_dir)
+    model = language.train(rows.where(learnable()), tokenizer_path("piece_bpe_32k.model"))
+    out = language.predict(rows.select("doc_id", "text"), model)
+    return out.select("doc_id", (~learnable()).alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op6_token_store(spark, sf_dir):
+    """6: token ids of every document, written to the store and read back."""
+    folder = work_dir(spark, "tokens")
+    tokens.write_store(docs(spark, sf_dir).select("doc_id", "text"), folder, tokenizer_path("byte_bpe_50k.json"))
+    return tokens.read_store(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query()
+def op10_html_text(spark, sf_dir):
+    """10: main text of every page."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    out = html.extract(pages)
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugework.llm import decontaminate as decon
-from gaugework.llm import html, language, quality, tokens
+from gaugework.llm import html, language, mixture, pii, quality, shard, tokens, warc
 from gaugework.llm.common import importable, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,86 @@ def op10_html_text(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     out = html.extract(pages)
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query()
+def op4_histogram_shards(spark, sf_dir):
+    """4: eight shards of nearly equal bytes."""
+    out = shard.shard(docs(spark, sf_dir).select("doc_id", "text"), 8)
+    return out.select(
+        "doc_id", "size", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"), F.lit("bytes").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query(r"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first_id FROM p),
+b AS (SELECT *, lpad(array_to_string(list_transform(range(1, 41), lambda i: lpad(bin(('0x' || h[i])::INT), 4, '0')), ''), 160, '0') AS bits FROM f)
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32),
+  lambda k: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + list_sum(list_transform(range(1, 6), lambda j: (bits[5 * k + j])::INT * (1 << (5 - j))))::INT]), '') AS payload_digest,
+  CASE WHEN page_id = first_id OR first_id IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first_id OR first_id IS NULL THEN NULL ELSE first_id END AS refers_to FROM b
+""")
+def op8_warc_archive(spark, sf_dir):
+    """8: every page as a WARC record, written and read back."""
+    folder = work_dir(spark, "warc")
+    warc.write_archive(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
+    return warc.read_archive(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op7_pii_pseudonyms(spark, sf_dir):
+    """7: every document with its personal data replaced, and counts by kind."""
+    out = pii.pseudonymize(docs(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "text", *[f"n_{k.name}" for k in pii.KINDS], "n_pii")
+
+
+def _level_sql(name: str, source: str, parent: str, node: str) -> str:
+    """CTEs that share budget b among nodes with weight w and capacity c, as mixture.share does."""
+    by = f"PARTITION BY {parent} ORDER BY c::DOUBLE / w::DOUBLE, {node}"
+    return f"""
+{name}_1 AS (SELECT *, b - coalesce(sum(c) OVER ({by} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS l,
+  sum(w) OVER ({by} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ww FROM {source}),
+{name}_2 AS (SELECT *, min(CASE WHEN c * ww <= l * w THEN 1 ELSE 0 END) OVER ({by} ROWS UNBOUNDED PRECEDING) AS f FROM {name}_1),
+{name}_3 AS (SELECT *, b - coalesce(sum(c) FILTER (f = 1) OVER (PARTITION BY {parent}), 0) AS r, sum(w) FILTER (f = 0) OVER (PARTITION BY {parent}) AS ow,
+  sum(w) FILTER (f = 0) OVER ({by} ROWS UNBOUNDED PRECEDING) AS cw FROM {name}_2),
+{name} AS (SELECT * EXCLUDE (b), CASE WHEN f = 1 THEN c ELSE (r * cw) // ow - (r * (cw - w)) // ow END::HUGEINT AS b FROM {name}_3)"""
+
+
+def mixture_sql(documents: str = "documents", result: str = "SELECT doc_id, domain, lang, source, n_tokens, unnest(range(n))::INTEGER AS epoch FROM picked WHERE n > 0") -> str:
+    return (
+        r"""
+WITH d AS (SELECT doc_id, md5(coalesce(text, '')) AS th, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  ['web', 'books', 'code', 'talk'][1 + coalesce(try_cast(regexp_extract(source, '(\d+)$', 1) AS BIGINT), 0) % 4] AS domain,
+  (coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) + 1)::BIGINT AS n_tokens FROM """
+        + documents
+        + r"""),
+leaf AS (SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS t, 2 * sum(n_tokens)::HUGEINT AS cap,
+  CASE domain WHEN 'web' THEN 4 WHEN 'books' THEN 3 WHEN 'code' THEN 2 ELSE 1 END::HUGEINT AS wd,
+  CASE lang WHEN 'en' THEN 5 WHEN 'fr' THEN 2 WHEN 'de' THEN 2 ELSE 1 END::HUGEINT AS wl,
+  CASE source WHEN 'src0' THEN 3 ELSE 1 END::HUGEINT AS ws FROM d GROUP BY domain, lang, source),
+n1 AS (SELECT domain, max(wd) AS w, sum(cap)::HUGEINT AS c, (SELECT sum(t) * 9 // 10 FROM leaf)::HUGEINT AS b FROM leaf GROUP BY domain),"""
+        + _level_sql("p1", "n1", "1", "domain")
+        + """,
+n2 AS (SELECT domain, lang, max(wl) AS w, sum(cap)::HUGEINT AS c, any_value(p1.b) AS b FROM leaf JOIN p1 USING (domain) GROUP BY domain, lang),"""
+        + _level_sql("p2", "n2", "domain", "lang")
+        + """,
+n3 AS (SELECT domain, lang, source, max(ws) AS w, sum(cap)::HUGEINT AS c, any_value(p2.b) AS b FROM leaf JOIN p2 USING (domain, lang) GROUP BY domain, lang, source),"""
+        + _level_sql("p3", "n3", "domain, lang", "source")
+        + """,
+plan AS (SELECT domain, lang, source, (p3.b // t)::BIGINT AS whole, (p3.b % t)::BIGINT AS rest FROM p3 JOIN leaf USING (domain, lang, source)),
+keyed AS (SELECT d.*, whole, rest, md5(concat_ws(':', 'epoch', whole::VARCHAR, coalesce(doc_id::VARCHAR, ''), th)) AS k FROM d JOIN plan USING (domain, lang, source)),
+picked AS (SELECT *, whole + CASE WHEN rest > 0 AND sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY k RANGE UNBOUNDED PRECEDING) <= rest
+  THEN 1 ELSE 0 END AS n FROM keyed)
+"""
+        + result
+    )
+
+
+@query(mixture_sql())
+def op9_mixture(spark, sf_dir):
+    """9: every document that the mixture takes, once for each epoch."""
+    rows = docs(spark, sf_dir).select("doc_id", "text", "lang", "source")
+    out = mixture.mix(rows, mixture.corpus_path(), mixture.corpus_weights(), mixture.corpus_budget())
+    return out.select("doc_id", "domain", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"), "n_tokens", "epoch")

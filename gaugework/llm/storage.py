@@ -25,7 +25,7 @@ class AtomicFile:
         self.name, self.final = name, f"{root}/{name}"
         self.temp = f"{root}/_tmp-{name}-{uuid.uuid4().hex}"
         self.fs.create_dir(root, recursive=True)
-        self.out = self.fs.open_output_stream(self.temp)
+        self.out = self.fs.open_output_stream(self.temp, compression=None)
         self.size, self.sha = 0, hashlib.sha256()
 
     def write(self, data: bytes) -> None:
@@ -58,5 +58,5 @@ def put(folder: str, name: str, data: bytes) -> None:
 
 def get(folder: str, name: str) -> bytes:
     fs, root = resolve(folder)
-    with fs.open_input_stream(f"{root}/{name}") as f:
+    with fs.open_input_stream(f"{root}/{name}", compression=None) as f:
         return f.read()

@@ -1,8 +1,81 @@
-"""The corpus pipeline; its stages are filled in as their operators arrive."""
+"""The corpus pipeline: language, near duplicates, decontamination, mixture, tokens.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which `run`
+writes and reads again before the next one. All but the last return the columns
+of documents. Nulls, empty and repeated rows are as the operators define them.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gaugework.llm import decontaminate, language, mixture, neardup, tokens
+from gaugework.llm.common import importable, materialize, work_dir
+from gaugework.llm.queries import learnable, tokenizer_path
+
+#: Posterior below which a document has no clear language.
+LEAST_SCORE = 0.5
+
+
+def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language: those without a letter, or of no clear language, go."""
+    importable(spark)
+    model = language.train(docs.where(learnable()), tokenizer_path("piece_bpe_32k.model"))
+    found = language.predict(docs, model, lang_out="__lang", score_out="__score")
+    return found.where((F.col("__lang") != language.UND) & (F.col("__score") >= LEAST_SCORE)).select(*docs.columns)
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of exact and near copies."""
+    importable(spark)
+    kept = neardup.near_duplicates(docs).where("kept").select("doc_id", "node").distinct()
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("__id")
+    none = F.col("doc_id").isNull().alias("__none")
+    keyed = docs.select("*", key, none, F.unhex(F.md5(F.col("text").cast("binary"))).alias("__node"))
+    # Rows that repeat id and text meet in the partition where the join has put them.
+    chosen = keyed.join(kept.select(key, none, F.col("node").alias("__node")), ["__id", "__none", "__node"], "left_semi")
+    texts = chosen.where("__node IS NOT NULL").dropDuplicates(["__id", "__none", "__node"])
+    return texts.select(*docs.columns).unionByName(docs.where("text IS NULL").dropDuplicates(["doc_id"]))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any occurrence of a benchmark window."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    hit = decontaminate.decontaminate(docs, items).where("contaminated").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__key"))
+    return docs.join(hit, same, "left_anti")
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixture to target weights, a row for each epoch that takes a document."""
+    out = mixture.mix(docs, mixture.corpus_path(), mixture.corpus_weights(), mixture.corpus_budget())
+    return out.select(*docs.columns)
+
+
+def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in the token store, read back: place, length and checksum of their ids."""
+    importable(spark)
+    folder = work_dir(spark, "pipeline-tokens")
+    tokens.write_store(docs, folder, tokenizer_path("byte_bpe_50k.json"))
+    return tokens.read_store(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+STAGES = [
+    ("language", identify),
+    ("near_duplicates", deduplicate),
+    ("decontamination", decontaminated),
+    ("mixture", mixed),
+    ("tokens", tokenized),
+]
+
+#: Signatures, trained models and tokenizers have no SQL; tests compare the stages with plain Python.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of sf_dir."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return docs

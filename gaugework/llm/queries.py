@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugework.llm import decontaminate as decon
-from gaugework.llm import html, language, mixture, pii, quality, shard, tokens, warc
+from gaugework.llm import html, language, mixture, neardup, pii, quality, shard, tokens, warc
 from gaugework.llm.common import importable, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -207,3 +207,23 @@ def op9_mixture(spark, sf_dir):
     rows = docs(spark, sf_dir).select("doc_id", "text", "lang", "source")
     out = mixture.mix(rows, mixture.corpus_path(), mixture.corpus_weights(), mixture.corpus_budget())
     return out.select("doc_id", "domain", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"), "n_tokens", "epoch")
+
+
+@query(r"""
+WITH RECURSIVE w AS (SELECT doc_id, md5(text) AS node, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents),
+nodes AS (SELECT node, any_value(w) AS w FROM w WHERE len(w) > 0 GROUP BY node),
+s AS (SELECT node, g, count(*) AS c FROM (SELECT node, array_to_string(w[i:i + 4], ' ') AS g FROM
+  (SELECT node, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM nodes)) GROUP BY node, g),
+n AS (SELECT node, sum(c) AS n FROM s GROUP BY node),
+e AS (SELECT a.node AS a, b.node AS b, sum(least(a.c, b.c)) AS c FROM s AS a JOIN s AS b USING (g) WHERE a.node < b.node GROUP BY a.node, b.node),
+l AS (SELECT a, b FROM e JOIN n AS x ON a = x.node JOIN n AS y ON b = y.node WHERE 1000 * c >= 800 * (x.n + y.n - c)),
+u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (SELECT node, node AS other FROM nodes UNION SELECT reach.node, u.b FROM reach JOIN u ON reach.other = u.a),
+label AS (SELECT node, min(other) AS label FROM reach GROUP BY node),
+class AS (SELECT label, min(doc_id) AS class_id, count(*) AS class_size FROM w JOIN label USING (node) GROUP BY label)
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(class_size, 1)::BIGINT AS class_size
+FROM w LEFT JOIN label USING (node) LEFT JOIN class USING (label)
+""")
+def op1_near_duplicates(spark, sf_dir):
+    """1: class of every document, by exact and near copies."""
+    return neardup.near_duplicates(docs(spark, sf_dir).select("doc_id", "text")).select("doc_id", "class_id", "class_size")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +35,17 @@ def session(cpus: int | None = None, shuffle_partitions: int | None = None, **co
     return builder.getOrCreate()
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the driver did.
+
+    Elsewhere the package is installed or sent with --py-files, as usual.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables as a lazy scan."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -2,24 +2,13 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def importable(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the package from where the driver did.
-
-    Elsewhere the package is installed or sent with --py-files, as usual.
-    """
-    root = str(Path(__file__).resolve().parents[2])
-    known = spark.sparkContext.environment.get("PYTHONPATH", "")
-    if root not in known.split(os.pathsep):
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+from gaugework.session import importable  # noqa: F401
 
 
 def shared_dir(spark: SparkSession) -> str:

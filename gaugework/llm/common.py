@@ -29,6 +29,16 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/gaugework/{name}-{uuid.uuid4().hex}"
 
 
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """At most BATCH_ROWS documents in an Arrow batch: the default of 10,000 is for short rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession

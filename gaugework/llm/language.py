@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaugework.llm.common import small_batches
+
 MARK = "▁"
 PER_LANGUAGE = 1500
 ROUNDS = 3
@@ -249,6 +251,7 @@ class Scorer:
 
 def predict(docs: DataFrame, model: Model, text: str = "text", lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
     """docs with the predicted language and its posterior; columns of those names are replaced."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a vocabulary by languages, some MB at most
 
     @F.pandas_udf("lang string, score double")

@@ -11,8 +11,8 @@ frame and number of ids, column by column. A reader that wants one short
 document reads the trailer, the index and one frame. Frames hold ids of 2 or 4
 bytes, little-endian, as the vocabulary needs.
 
-The dictionary is trained on serialized id arrays of at most `sample` documents
-(those of smallest id hash, at most SAMPLE_IDS ids of each): a bounded sample
+The dictionary is trained on serialized id arrays of `sample` documents at most
+(the first that a scan gives, at most SAMPLE_IDS ids of SAMPLE_CHARS characters of each): a bounded sample
 that changes sizes, never contents. Where it is too small to train, frames have
 no dictionary and its hash is that of no bytes.
 
@@ -30,7 +30,7 @@ import array
 import hashlib
 import json
 import os
-import string
+import re
 import struct
 from collections.abc import Iterator
 
@@ -42,16 +42,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugework.llm import storage
-from gaugework.llm.common import tasks_for
+from gaugework.llm.common import small_batches, tasks_for
 
 MAGIC = b"GWTOKEN1"
-SAMPLE, SAMPLE_IDS, DICT_BYTES, LEVEL = 1000, 2048, 65_536, 3
+SAMPLE, SAMPLE_IDS, DICT_BYTES, LEVEL = 1000, 2048, 65_536, 1
 ENCODE_CHARS = 1_000_000
+SAMPLE_CHARS = 10_000
 #: Words that a worker remembers with their ids.
-CACHE_WORDS = 500_000
-#: Letters below this are letters to every Unicode version.
-FAR = "\u0250"
+CACHE_WORDS = 100_000
+#: Latin letters, the same in every Unicode version, and marks of ASCII after them.
+LATIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@[-`{-~]*)")
 YIELD_BYTES = 4_000_000
+#: Rows of a batch that a task turns to Python strings at a time.
+SLICE = 500
 
 
 def _spelling() -> dict[int, str]:
@@ -59,22 +62,42 @@ def _spelling() -> dict[int, str]:
     printable = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b]
     others = (b for b in range(256) if b not in printable)
     letter = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
-    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(ord(FAR))}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0x250)}
 
 
 SPELLING = _spelling()
 
 
+class Uncut(Exception):
+    """A word whose white space may belong to the white space that it was cut at."""
+
+
 class Memory(dict):
-    """Words with their ids; an unknown word is encoded when it is asked for."""
+    """Words with their ids; an unknown word is encoded when it is asked for.
+
+    Full, it becomes the old generation, from which words in use come back.
+    """
 
     def __init__(self, encoder: Encoder, space: str):
-        self.encoder, self.space = encoder, space
+        self.encoder, self.space, self.spelled, self.old = encoder, space, space.translate(SPELLING), {}
+        self.tokenize, self.code = encoder.tokenizer.model.tokenize, encoder.code
 
     def __missing__(self, word: str) -> bytes:
-        found = self[word] = self.encoder._unit(word, self.space)
+        found = self.old.get(word)
+        if found is None:
+            if word.isascii() and word.isalpha():
+                # One pre-token, spelled as it is.
+                found = array.array(self.code, [x.id for x in self.tokenize(self.spelled + word)]).tobytes()
+            else:
+                found = self.encoder._unit(word, self.space)
+        self[word] = found
         return found
 
+    def age(self) -> None:
+        if len(self) > CACHE_WORDS:
+            self.old = dict(self)
+            self.clear()
+
 
 class Encoder:
     """A tokenizers file as a function from texts to id arrays, with the end id appended.
@@ -101,7 +124,8 @@ class Encoder:
         self.by_word = before.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
         self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
         self.feed = self._whole(["\n"])[0]
-        self._forget()
+        self.known = {"": Memory(self, ""), " ": Memory(self, " ")}
+        self.marks: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -109,44 +133,47 @@ class Encoder:
 
     def _bpe(self, word: str) -> bytes:
         """Ids of one pre-token: the library's model on its bytes in the vocabulary's spelling."""
-        spelled = word if word.isascii() and word[0] != " " else word.translate(SPELLING)
-        return array.array(self.code, [x.id for x in self.tokenizer.model.tokenize(spelled)]).tobytes()
+        return array.array(self.code, [x.id for x in self.tokenizer.model.tokenize(word.translate(SPELLING))]).tobytes()
 
     def _unit(self, word: str, space: str) -> bytes:
         """Ids of a word and the space before it: letters are one pre-token, marks after them one more; others go through the whole tokenizer."""
-        stem = word.rstrip(string.punctuation)
-        if not stem.isalpha() or not stem.isascii() and max(stem) >= FAR:
+        cut = LATIN.fullmatch(word)
+        if cut is None:
+            if not word or word[0].isspace() or word[-1].isspace():
+                raise Uncut
             return self._whole([space + word])[0]
-        mark = word[len(stem) :]
+        mark = cut[2]
         if not mark:
-            return self._bpe(space + stem)
+            return self._bpe(space + word)
         if mark not in self.marks:
+            if len(self.marks) > CACHE_WORDS:
+                self.marks.clear()
             self.marks[mark] = self._whole([mark])[0]
-        return self.known[space][stem] + self.marks[mark]
+        return self.known[space][cut[1]] + self.marks[mark]
 
-    def _words(self, split: list[list[list[str]]]) -> list[bytes]:
-        """Ids of texts given as words by line."""
-        if sum(map(len, self.known.values())) > CACHE_WORDS:
-            self._forget()
-        first, later, feed = self.known[""], self.known[" "].__getitem__, self.feed
-        return [feed.join([first[line[0]] + b"".join(map(later, line[1:])) for line in lines]) for lines in split]
+    def _words(self, text: str) -> bytes | None:
+        """Ids of a text by lines and words, or None where that might not be the same as of the whole.
 
-    def _forget(self) -> None:
-        self.known = {"": Memory(self, ""), " ": Memory(self, " ")}
-        self.marks: dict[str, bytes] = {}
-
-    def _cut(self, text: str) -> list[list[str]] | None:
-        """Words by line, or None if there is any white space but single spaces and line feeds between words."""
-        if not self.by_word or "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[:1] in " \n" or text[-1:] in " \n":
+        Spaces or line feeds beside each other, or at an end, leave an empty word, which is never known.
+        """
+        if not self.by_word:
+            return None
+        first, later = self.known[""], self.known[" "].__getitem__
+        try:
+            lines = []
+            for line in text.split("\n"):
+                words = line.split(" ")
+                lines.append(first[words[0]] + b"".join(map(later, words[1:])))
+        except Uncut:
             return None
-        lines = [line.split(" ") for line in text.split("\n")]
-        return lines if sum(map(len, lines)) == len(text.split()) else None
+        return self.feed.join(lines)
 
     def _some(self, batch: list[str]) -> list[bytes]:
-        split = [self._cut(text) for text in batch]
-        by_word = iter(self._words([x for x in split if x is not None]))
-        whole = iter(self._whole([text for text, x in zip(batch, split) if x is None]))
-        return [next(whole if x is None else by_word) for x in split]
+        for known in self.known.values():
+            known.age()
+        out = [self._words(text) for text in batch]
+        whole = iter(self._whole([text for text, x in zip(batch, out) if x is None]))
+        return [next(whole) if x is None else x for x in out]
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         """Serialized ids in the order of the texts; some texts are encoded at a time to bound memory."""
@@ -160,21 +187,24 @@ class Encoder:
         yield from (x + self.end for x in self._some(batch))
 
 
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
+
+
+def encoder_of(path: str, end_id: int) -> Encoder:
+    """The worker's encoder, with the words that it remembers from tasks before."""
+    if (path, end_id) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path, end_id] = Encoder(path, end_id)
+    return _ENCODERS[path, end_id]
+
+
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, sample: int = SAMPLE, size: int = DICT_BYTES) -> bytes:
     """Dictionary bytes from the serialized ids of a bounded sample; empty where there is too little."""
 
-    def encode(batches):
-        encoder = Encoder(tokenizer, end_id)
-        for batch in batches:
-            ids = [x[: SAMPLE_IDS * encoder.dtype.itemsize] for x in encoder(batch.column(0).to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
-
-    text = F.coalesce(F.col("text"), F.lit(""))
-    # An id cannot have more bytes than its token, so a prefix of the text covers SAMPLE_IDS ids only if long; whole texts are read.
-    picked = docs.select("doc_id").where("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    ids = [r[0] for r in picked.collect()]
-    chosen = docs.where(F.col("doc_id").isin(ids)).select(text.alias("text")) if ids else docs.limit(0).select(text.alias("text"))
-    samples = sorted(bytes(r[0]) for r in chosen.mapInArrow(encode, "ids binary").collect())
+    head = F.left(F.coalesce("text", F.lit("")), F.lit(SAMPLE_CHARS))
+    rows = docs.select(head.alias("text")).limit(sample).collect()  # at most sample * SAMPLE_CHARS characters
+    encoder = encoder_of(tokenizer, end_id)
+    samples = sorted(x[: SAMPLE_IDS * encoder.dtype.itemsize] for x in encoder([r["text"] for r in rows]))
     if sum(map(len, samples)) < 8 * 1024 or len(samples) < 16:
         return b""
     try:
@@ -186,17 +216,18 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, sample: int =
 def write_store(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, doc_id: str = "doc_id", text: str = "text", partitions: int | None = None, sample: int = SAMPLE) -> dict:
     """Encode docs into a store at `folder` and return its manifest."""
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     shared = train_dictionary(docs, tokenizer, end_id, sample)
     digest = hashlib.sha256(shared).digest()
 
     def write(batches):
-        encoder = Encoder(tokenizer, end_id)
+        encoder = encoder_of(tokenizer, end_id)
         compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(shared) if shared else None, write_content_size=True)
         part = TaskContext.get().partitionId()
         file, offset, index, total = None, 0, [], 0
         try:
-            for batch in batches:
+            for batch in (b.slice(k, SLICE) for b in batches for k in range(0, b.num_rows, SLICE)):
                 for i, ids in zip(batch.column(0).to_pylist(), encoder(["" if t is None else t for t in batch.column(1).to_pylist()])):
                     if file is None:
                         file = storage.AtomicFile(folder, f"part-{part:05d}.gwt")
@@ -221,13 +252,13 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, d
         row = {"part": part, "name": file.name, "documents": len(index), "ids": total, "bytes": file.size, "sha256": sha}
         yield pa.RecordBatch.from_pylist([row])
 
-    dealt = docs.repartitionByRange(partitions or 2 * tasks_for(spark), "doc_id").sortWithinPartitions(F.asc_nulls_first("doc_id"), F.xxhash64("text"))
+    dealt = docs.repartitionByRange(partitions or tasks_for(spark), "doc_id").sortWithinPartitions(F.asc_nulls_first("doc_id"), F.xxhash64("text"))
     rows = dealt.mapInArrow(write, "part long, name string, documents long, ids long, bytes long, sha256 string").collect()  # one row a file
     parts, start = [], 0
     for r in sorted(rows, key=lambda r: r["part"]):
         parts.append({k: r[k] for k in ("name", "documents", "ids", "bytes", "sha256")} | {"start": start})
         start += r["ids"]
-    width = Encoder(tokenizer, end_id).dtype.itemsize
+    width = encoder_of(tokenizer, end_id).dtype.itemsize
     manifest = {"format": MAGIC.decode(), "id_bytes": width, "end_id": end_id, "dictionary_sha256": digest.hex(), "documents": sum(p["documents"] for p in parts), "ids": start, "parts": parts}
     storage.put(folder, "shared.zdict", shared)
     storage.put(folder, "manifest.json", json.dumps(manifest).encode())

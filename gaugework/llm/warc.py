@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugework.llm import storage
-from gaugework.llm.common import materialize, tasks_for
+from gaugework.llm.common import materialize, small_batches, tasks_for
 
 ROLL_BYTES = 256 * 1024 * 1024
 REVISIT_BYTES = 0
@@ -104,6 +104,7 @@ def write_archive(
 ) -> dict:
     """Write all rows as records below `folder` and return the manifest."""
     spark = pages.sparkSession
+    small_batches(spark)
     rows = pages.select(
         F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html).cast("string"), F.lit("")).alias("html")
     )

@@ -1,0 +1,139 @@
+"""Language, HTML and personal data."""
+
+import re
+
+import numpy as np
+import pytest
+
+from gaugework.llm import html, language, pii
+from gaugework.llm.queries import learnable, tokenizer_path
+
+VOCABULARY = tokenizer_path("piece_bpe_32k.model")
+
+
+def all_splits(word, prob):
+    """Sum over every segmentation, by recursion."""
+    if not word:
+        return 1.0
+    return sum(prob(word[:k]) * all_splits(word[k:], prob) for k in range(1, len(word) + 1))
+
+
+def test_forward_sums_all_segmentations():
+    pieces = ["▁", "▁a", "a", "b", "ab", "▁ab", "ba", "bab"]
+    rng = np.random.default_rng(0)
+    prob = np.vstack([rng.random((len(pieces) + 1, 2)), np.zeros((1, 2))])
+    lattice = language.Lattice(pieces)
+    for word in ("abab", "xba", "a", "bbbb"):
+        got = language.forward(lattice.build([word]), prob)[-1][0]
+        for c in (0, 1):
+            one = lambda p, c=c: prob[lattice.ids[p], c] if p in lattice.ids else (prob[-2, c] if len(p) == 1 else 0.0)
+            assert got[c] == pytest.approx(all_splits("▁" + word, one))
+
+
+def test_learns_and_predicts(spark):
+    words = {"en": "the of and with that thing some water house", "de": "der und nicht mit das ding wasser haus straße", "fr": "le les avec une chose eau maison être"}
+    rng = np.random.default_rng(1)
+    rows = [(k, " ".join(rng.choice(words[x].split(), 12)), x) for k, x in enumerate(["en", "de", "fr"] * 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs.where(learnable()), VOCABULARY)
+    assert model.languages == ["de", "en", "fr"] and model.prob[:-1].sum(0) == pytest.approx(1, abs=0.05)
+    got = {r["doc_id"]: r for r in language.predict(docs, model).collect()}
+    assert all(got[k]["lang_pred"] == x and 0 <= got[k]["score"] <= 1 for k, _, x in rows)
+
+
+def test_language_of_odd_rows(spark, odd_documents):
+    model = language.train(odd_documents, VOCABULARY)
+    rows = language.predict(odd_documents, model)
+    assert rows.columns.count("score") == 1
+    got = [(r["text"], r["lang_pred"], r["score"]) for r in rows.collect()]
+    assert len(got) == odd_documents.count()
+    for text, lang, score in got:
+        no_letter = not re.search(r"[^\W\d_]", text or "")
+        assert (lang == "und") == no_letter and (score == 0.0) == no_letter
+    nothing = language.train(odd_documents.limit(0), VOCABULARY)
+    assert {r["lang_pred"] for r in language.predict(odd_documents, nothing).collect()} == {"und"}
+
+
+def test_very_long_words_are_scored_whole():
+    model = language.fit([("a", "xyxyxy", 5), ("b", "zzzzzz", 5)], ["▁", "x", "y", "z"], {"a": 1, "b": 1})
+    names, scores = language.Scorer(model).posteriors(["xy" * 5000, "z" * 9999, "9"])
+    assert names == ["a", "b", "und"] and scores[2] == 0
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><nav><ul><li><a href="/a">menu</a></li></ul></nav>
+<header>Site</header><div class="cookie-notice">We use cookies</div><div class="ad">Buy</div><article><h1>Head &amp; line</h1><p><b>First   para&nbsp;graph.<br><p>Second
+ one. &lt;tag&gt; &quot;q&quot; &copy</p><div class="ad">Buy more</div><p>Short.</p><aside>Related</aside><form><input value=x>Mail</form><section id="comments"><p>Nice!</p></section></article><footer>&copy; 2020</footer></body></html>"""
+
+
+def test_article_text():
+    assert html.extract_text(PAGE) == "Head & line\nFirst para graph.\nSecond one. <tag> \"q\" ©\nShort."
+
+
+def test_page_without_article_keeps_the_dense_run():
+    body = "".join(f"<p>{'long sentence of real text ' * 8}{k}</p>" for k in range(5))
+    got = html.extract_text(f"<body><div><a href=1>x</a><a href=2>y</a><a>z</a></div><div id=content>{body}</div><div><a>p</a><a>q</a></div></body>")
+    assert got.count("\n") == 4 and got.startswith("long sentence") and got.endswith("4")
+
+
+@pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "<article>", "&amp", "<!-- x", "<div class=ad>x", "<script>x"])
+def test_broken_pages(page):
+    assert html.extract_text(page) in ("", "&", "<", "<p")
+
+
+def test_unclosed_and_deep_pages():
+    assert html.extract_text("<article><p>one<p>two<ul><li>a<li>b</ul>tail") == "one\ntwo\na\nb\ntail"
+    assert html.extract_text("<article>" + "<div>" * 5000 + "x" + "</div>" * 5000) == "x"
+
+
+def test_extract_column(spark):
+    pages = spark.createDataFrame([(1, "u", PAGE, "old"), (2, None, None, "old")], "page_id long, url string, html string, text string")
+    got = {r["page_id"]: r["text"] for r in html.extract(pages).collect()}
+    assert got[1].startswith("Head") and got[2] == "" and html.extract(pages.limit(0)).count() == 0
+
+
+TEXTS = [
+    "card 4111111111111111 and 4111-1111-1111-1111, not 1234567890123456 end", "call +1 (017) 555-7713 or 555-123-4567.", "mail the.24@mail4.example.com ip 233.254.104.120 999.1.1.1 4.0.",
+    "born 1980-02-30 or 1980-02-28, 31.12.1999 02/29/2000", None, "", 'token = "9c8b45435718dcc700c184a7e303cdc64c6a8f7f" ssn 123-45-6789', "7536784127813050 4845168114407329", "Eau. Les 3 de 4.0. 1,234,567.89",
+]
+
+
+def luhn(s):
+    d = [int(c) for c in reversed(s)]
+    return sum(x if i % 2 == 0 else (x * 2 - 9 if x > 4 else x * 2) for i, x in enumerate(d)) % 10 == 0
+
+
+def test_pseudonyms_keep_format_and_turn_back(spark):
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    out = pii.pseudonymize(df)
+    got = {r["doc_id"]: r for r in out.collect()}
+    shape = lambda t: re.sub(r"\d", "9", t)
+    for k in (0, 1, 3, 7):
+        assert shape(got[k]["text"]) == shape(TEXTS[k]) and got[k]["text"] != TEXTS[k]
+    cards = re.findall(r"\d{16}", got[0]["text"])
+    assert luhn(cards[0]) and cards[1] == "1234567890123456" and cards[0].startswith("4")
+    assert re.sub("-", "", re.findall(r"[\d-]{19}", got[0]["text"])[0]) == cards[0]
+    assert "1980-02-30" in got[3]["text"] and got[3]["n_date"] == 3
+    assert all(int(o) <= 255 for o in re.search(r"ip ([\d.]+) ", got[2]["text"])[1].split(".")) and "999.1.1.1 4.0." in got[2]["text"]
+    assert got[4]["text"] is None and got[5]["text"] == "" and got[8]["text"] == TEXTS[8] and got[8]["n_pii"] == 0
+    for secret in ("the.24@", "9c8b45435718", "123-45-6789", "233.254.104.120", "555-7713"):
+        assert not any(secret in (r["text"] or "") for r in got.values())
+    back = {r["doc_id"]: r["text"] for r in pii.pseudonymize(out.select("doc_id", "text"), inverse=True).collect()}
+    assert back == dict(enumerate(TEXTS))
+    other = {r["doc_id"]: r["text"] for r in pii.pseudonymize(df, key="other").collect()}
+    assert other[0] != got[0]["text"]
+
+
+def test_feistel_is_a_permutation(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(35).select(pii.feistel(F.floor(F.col("id") / 7), F.col("id") % 7, F.lit(5), F.lit(7), "k", "t").alias("s"))
+    assert len({(r["s"]["l"], r["s"]["r"]) for r in rows.collect()}) == 35
+    digits = spark.range(1000).select(pii.permute_digits(F.lpad(F.col("id").cast("string"), 3, "0"), "k", "t").alias("d"))
+    assert sorted(r["d"] for r in digits.collect()) == [f"{k:03d}" for k in range(1000)]
+
+
+def test_pii_of_odd_rows(spark, odd_documents):
+    out = pii.pseudonymize(odd_documents)
+    assert out.count() == odd_documents.count() and out.where("n_pii > 0").count() == 0
+    assert sorted(str(r["text"]) for r in out.collect()) == sorted(str(r["text"]) for r in odd_documents.collect())
+    assert pii.pseudonymize(odd_documents.limit(0)).count() == 0

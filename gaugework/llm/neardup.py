@@ -14,14 +14,18 @@ the document's weight plus t, not their product; a document with an empty
 coordinate goes on to twice that rank.
 
 Joining. Equal texts are one node. `bands` hashes of `rows` coordinates each
-deal the nodes into buckets; every node of a bucket is tested against its least
-node, exactly, on the shingles. Tested pairs that reach `similarity` are links,
-and components of links are classes. Then the buckets that hold more than one
-class are completed: nodes outside a bucket's largest class are tested against
-all its nodes of other classes, so no link between nodes that share a bucket is
-lost, while a bucket of one class, however large, costs one test a node. At the
-defaults, two documents of similarity 0.8 share no bucket with probability
-3e-6, of 0.9 with 3e-11.
+deal the nodes into buckets; every node of a bucket is tested against its hub,
+the node whose buckets hold the most, exactly, on the shingles. Tested pairs
+that reach `similarity` are links, and components of links are classes. Then
+the buckets that hold more than one class are completed: nodes outside a
+bucket's largest class are tested against its nodes of other classes, so no
+link between nodes that share a bucket is lost, while a bucket of one class,
+however large, costs one test a node. In larger buckets, shingles that only one
+of the open nodes has bound the similarity of each pair from above, and pairs
+that cannot reach it are not made: edited copies of one text are quadratic in
+number, but what each has alone rules nearly all of them out. At the defaults,
+two documents of similarity 0.8 share no bucket with probability 3e-6, of 0.9
+with 3e-11.
 
 Large groups: copies are counted with partial aggregates and joined with salts;
 buckets are only ever aggregated or joined in rows of a few numbers; texts move
@@ -40,13 +44,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugework.llm.common import materialize
+from gaugework.llm.common import materialize, small_batches
 
 WORD = r"[^\x20\x09-\x0D]+"
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
 SALTS = 16
+#: Nodes of a bucket whose open pairs are all tested; beyond, pairs that cannot be links are ruled out first.
+SMALL = 12
+#: Documents that a task has in arrays at a time.
+SLICE = 250
 
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -170,8 +178,8 @@ def sketch(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bands: i
     def run(batches):
         kind = pa.list_(pa.int64())
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
                 words = part.column(2)
                 ends = words.offsets.to_numpy()[1:].astype(np.int64) - words.offsets[0].as_py()
                 values = words.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
@@ -206,6 +214,37 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def unique_weights(words: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """nid, w (weight of all shingles), u (weight of those that no other of these nodes has)."""
+    long = F.transform(F.slice("words", F.lit(1), F.greatest(F.size("words") - (size - 1), F.lit(0))), lambda x, i: F.xxhash64(x, *[F.get("words", i + k) for k in range(1, size)]))
+    rows = words.withColumn("sh", F.when(F.size("words") >= size, long).otherwise(F.array(F.xxhash64("words"))))
+    held = rows.select("nid", F.explode("sh").alias("sh")).groupBy("sh").agg(F.min("nid").alias("nid"), F.max("nid").alias("last"), F.count("*").alias("n"))
+    alone = held.where("nid = last").groupBy("nid").agg(F.sum("n").alias("u"))
+    weights = words.select("nid", F.greatest(F.size("words") - (size - 1), F.lit(1)).cast("long").alias("w"))
+    return weights.join(alone, "nid", "left").withColumn("u", F.coalesce("u", F.lit(0)))
+
+
+def _across(rest: DataFrame, thousandths: int | None) -> DataFrame:
+    """Pairs (a, b) of nodes of one bucket and different classes, one of them outside the largest.
+
+    With a similarity, only pairs that could reach it: a shingle that no other
+    node has is never common, so c = min(w - u) of both bounds what is common,
+    and c / (w + w - c) the similarity.
+    """
+    few, whole = rest.where("label <> top"), rest
+    test = F.lit(True)
+    if thousandths is not None:
+        few = few.where(1000 * (F.col("w") - F.col("u")) >= thousandths * (F.col("u") + F.col("least")))
+        common = F.least(F.col("wx") - F.col("ux"), F.col("wy") - F.col("uy"))
+        test = 1000 * common >= thousandths * (F.col("wx") + F.col("wy") - common)
+    left = few.select("key", F.col("nid").alias("x"), F.col("label").alias("lx"), F.col("w").alias("wx"), F.col("u").alias("ux"))
+    right = whole.select("key", F.col("nid").alias("y"), F.col("label").alias("ly"), "top", F.col("w").alias("wy"), F.col("u").alias("uy"))
+    once = (F.col("lx") != F.col("ly")) & ((F.col("ly") == F.col("top")) | (F.col("x") < F.col("y")))
+    # The whole test is the join's condition: what fails it is never a row.
+    met = left.join(right, (left["key"] == right["key"]) & once & test)
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def verify(pairs: DataFrame, words: DataFrame, similarity: float, size: int = SHINGLE) -> DataFrame:
     """The pairs (a, b) whose documents reach the similarity; words: nid and 32-bit word hashes."""
     thousandths = round(similarity * 1000)
@@ -237,6 +276,7 @@ def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
     """doc_id, node, class_id, class_size for every row of docs, and `kept`: one row's id and text of each class."""
+    small_batches(docs.sparkSession)
     sketches = materialize(sketch(docs, doc_id, text, bands, rows), "sketches")
     # One node for equal texts. Its number is fixed by being written.
     nodes = materialize(
@@ -245,9 +285,14 @@ def near_duplicates(
         "nodes",
     )
     keyed = nodes.select("nid", F.explode("bands").alias("key"))
-    hubs = keyed.groupBy("key").agg(F.min("nid").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub")
-    spots = materialize(keyed.join(hubs, "key"), "buckets")
-    first = materialize(spots.where("nid <> hub").select(F.col("hub").alias("a"), F.col("nid").alias("b")).distinct(), "pairs")
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = materialize(keyed.join(sizes, "key"), "buckets")
+    # The node whose buckets hold the most is nearest to the middle of its copies.
+    centre = shared.groupBy("nid").agg(F.sum("n").alias("c"))
+    hubs = shared.join(centre, "nid").groupBy("key").agg(F.max(F.struct("c", (-F.col("nid")).alias("nid"))).alias("h")).select("key", (-F.col("h.nid")).alias("hub"))
+    spots = materialize(shared.join(hubs, "key"), "hubs")
+    pair = (F.least("nid", "hub").alias("a"), F.greatest("nid", "hub").alias("b"))
+    first = materialize(spots.where("nid <> hub").select(*pair).distinct(), "pairs")
 
     # The words of all nodes that share a bucket, from one row of each text.
     wanted = first.select(F.col("a").alias("nid")).union(first.select("b")).distinct().join(nodes.select("nid", "node", "rep"), "nid")
@@ -261,17 +306,15 @@ def near_duplicates(
     labels = components(links)
     # Buckets that still hold several classes: nodes outside the largest one meet the others.
     placed = materialize(spots.join(labels.withColumnRenamed("node", "nid"), "nid", "left").withColumn("label", F.coalesce("label", "nid")), "placed")
-    by_class = placed.groupBy("key", "label").agg(F.count("*").alias("n"))
-    mixed = by_class.groupBy("key").agg(F.count("*").alias("classes"), F.max(F.struct("n", "label")).alias("top")).where("classes > 1").select("key", F.col("top.label").alias("top"))
-    rest = placed.join(mixed, "key").where("nid <> hub")
-    few = rest.where("label <> top").select("key", F.col("nid").alias("x"), F.col("label").alias("lx"))
-    all_ = rest.select("key", F.col("nid").alias("y"), F.col("label").alias("ly"), "top")
-    open_ = (
-        few.join(all_, "key")
-        .where((F.col("lx") != F.col("ly")) & ((F.col("ly") == F.col("top")) | (F.col("x") < F.col("y"))))
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
-    )
+    by_class = placed.groupBy("key", "label").agg(F.count("*").alias("m"))
+    mixed = by_class.groupBy("key").agg(F.count("*").alias("classes"), F.max(F.struct("m", "label")).alias("top")).where("classes > 1").select("key", F.col("top.label").alias("top"))
+    rest = materialize(placed.join(mixed, "key").where("nid <> hub").select("key", "nid", "label", "top", "n"), "rest")
+    open_ = _across(rest.where(F.col("n") <= SMALL).withColumns({"w": F.lit(0), "u": F.lit(0)}), None)
+    wide = rest.where(F.col("n") > SMALL)
+    bound = unique_weights(words.join(wide.select("nid").distinct(), "nid", "left_semi"))
+    wide = wide.join(materialize(bound, "weights"), "nid").where(F.col("u") * 1000 <= F.col("w") * (1000 - round(similarity * 1000)))
+    least = wide.groupBy("key").agg(F.min("w").alias("least"))
+    open_ = open_.union(_across(wide.join(least, "key"), round(similarity * 1000))).distinct()
     more = materialize(verify(materialize(open_, "open"), words, similarity), "links")
     if more.limit(1).count():
         labels = components(links.union(more))

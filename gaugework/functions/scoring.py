@@ -85,6 +85,13 @@ def points_of_map(stats: Column, scoring: Column) -> Column:
 
 
 def register(spark: SparkSession, name: str = "fantasy_points") -> None:
-    """A SQL function of two maps of doubles, by name, in terms of built-in functions only."""
-    body = points_of_map(F.col("stats"), F.col("scoring"))._jc.toString()
+    """A SQL function of two maps of doubles, by name, in terms of built-in functions only; as points_of_map."""
+    default = BASE | {"rec": RECEPTION["ppr"]}
+    price = lambda k: f"coalesce(try_element_at(scoring, '{k}'), {default[k]}D)"
+    stat = lambda n: f"coalesce(nanvl(try_element_at(stats, '{n}'), 0D), 0D)"
+    terms = [f"{stat(n)} * {price(k)}" for n, k in PRICED.items()]
+    terms += [f"CASE WHEN {stat(n)} >= {yards} THEN {price(k)} ELSE 0D END" for k, (n, yards) in BONUS.items()]
+    wrong = f"array_except(map_keys(scoring), array({', '.join(repr(k) for k in BASE)}))"
+    terms.append(f"CASE WHEN size({wrong}) > 0 THEN CAST(raise_error(concat('no such settings: ', array_join({wrong}, ', '))) AS DOUBLE) ELSE 0D END")
+    body = f"CASE WHEN stats IS NOT NULL AND scoring IS NOT NULL THEN bround({' + '.join(terms)}, 4) END"
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(stats MAP<STRING, DOUBLE>, scoring MAP<STRING, DOUBLE>) RETURNS DOUBLE RETURN {body}")

@@ -34,7 +34,8 @@ OUTPUTS = [f"proj_{x}" for x in COMPONENTS] + [f"proj_{f}" for f in FORMATS] + [
 
 
 def _numbers(rows: DataFrame, columns: list[str]) -> DataFrame:
-    return rows.withColumns({f: F.col(f).cast("double") for f in columns})
+    """rows with a double beside each of these columns, which keep their types."""
+    return rows.withColumns({f"{f}__n": F.col(f).cast("double") for f in columns})
 
 
 def fit_part(rows: DataFrame, part: str, features: list[str], rounds: int = 20, depth: int = 4) -> PipelineModel | None:
@@ -42,13 +43,13 @@ def fit_part(rows: DataFrame, part: str, features: list[str], rounds: int = 20,
     usable = [f for f, n in rows.agg(*[F.count(f).alias(f) for f in features]).first().asDict().items() if n]
     if rows.where(F.col(part) != 0).limit(1).count() == 0:
         return None
-    filled = [f"{f}__x" for f in usable]
-    stages = [Imputer(inputCols=usable, outputCols=filled), VectorAssembler(inputCols=filled, outputCol="__raw"), StandardScaler(inputCol="__raw", outputCol="__v", withMean=True)]
+    numbers, filled = [f"{f}__n" for f in usable], [f"{f}__x" for f in usable]
+    stages = [Imputer(inputCols=numbers, outputCols=filled), VectorAssembler(inputCols=filled, outputCol="__raw"), StandardScaler(inputCol="__raw", outputCol="__v", withMean=True)]
     if part in YARDS:
         stages.append(GBTRegressor(featuresCol="__raw", labelCol=part, predictionCol="__p", maxIter=rounds, maxDepth=depth, seed=0))
     else:
         stages.append(GeneralizedLinearRegression(featuresCol="__v", labelCol=part, predictionCol="__p", family="poisson", link="log", regParam=1.0, maxIter=25))
-    return Pipeline(stages=stages).fit(_numbers(rows, [*features, part]).withColumn(part, F.col(part) if part in YARDS else F.greatest(F.col(part), F.lit(0.0))))
+    return Pipeline(stages=stages).fit(_numbers(rows, usable).withColumn(part, F.col(part).cast("double") if part in YARDS else F.greatest(F.col(part).cast("double"), F.lit(0.0))))
 
 
 def line(rows: DataFrame, parts: dict[str, PipelineModel | None], features: list[str]) -> DataFrame:
@@ -63,7 +64,7 @@ def line(rows: DataFrame, parts: dict[str, PipelineModel | None], features: list
         value = F.col("__p") if part in YARDS else F.greatest(F.col("__p"), F.lit(0.0))
         out = model.transform(out).select(*keep, value.alias(f"proj_{part}"))
     named = {x: F.col(f"proj_{x}") for x in COMPONENTS}
-    return out.withColumns({f"proj_{f}": scoring.points(preset, stats=named) for f, preset in FORMATS.items()})
+    return out.withColumns({f"proj_{f}": scoring.points(preset, stats=named) for f, preset in FORMATS.items()}).drop(*[f"{f}__n" for f in features])
 
 
 def season_folds(rows: DataFrame, folds: int = FOLDS) -> DataFrame:
@@ -144,7 +145,7 @@ def walk_forward(rows: DataFrame, seasons: Iterable[int], before_week: dict[int,
     projects; where stored rows have the same version they are taken instead.
     """
     done, out = rows.where("is_final"), None
-    inputs = [*KEY, "position", *FEATURES, *COMPONENTS, "fantasy_points_ppr"]
+    inputs = list(dict.fromkeys([*KEY, "position", *FEATURES, *COMPONENTS, "fantasy_points_ppr"]))
     for season in sorted(set(seasons)):
         past, now = done.where(F.col("season") < season), done.where(F.col("season") == season)
         if before_week and season in before_week:

@@ -10,7 +10,7 @@ from gaugework.operators import joins, stats, tiers
 from gaugework.operators import windows as win
 from gaugework.operators.asof import asof_join
 from gaugework.plans import contracts as c
-from gaugework.plans.features import KEY
+from gaugework.plans.features import COMPONENTS, KEY, with_baselines
 from gaugework.plans.model import FORMATS
 
 USAGE = ("snap_share", "target_share", "carry_share", "red_zone_share", "expected_ppr")
@@ -18,6 +18,13 @@ RECENT, LEAST_EARLIER, LEAST_GAIN, LEAST_RECENT = 3, 2, 2.5, 5.0
 METHODS = {"model": "proj_ppr", "last3": "baseline_last3", "season_avg": "baseline_season_avg"}
 
 
+#: The published columns, in order; rankings follow them.
+PUBLISHED = (
+    "season week game_id kickoff_at player_id player_name position team opponent is_home implied_points team_spread total_line depth_rank report_status "
+    "report_primary_injury opp_matchup_rank"
+).split() + [f"proj_{x}" for x in COMPONENTS] + [f"{k}_{f}" for f in FORMATS for k in ("proj", "floor", "ceiling")] + "baseline_last3 baseline_season_avg ecr_rank kind model_version generated_at".split()
+
+
 class ThinPool(RuntimeError):
     """The upcoming week has too few candidates to publish."""
 
@@ -46,6 +53,12 @@ def ranked(rows: DataFrame, formats=tuple(FORMATS)) -> DataFrame:
     return rows
 
 
+def published(rows: DataFrame, kind: str, version: str, now: Column) -> DataFrame:
+    """Model output in the published layout, without an expert rank yet."""
+    rows = with_baselines(rows).withColumns({"kind": F.lit(kind), "model_version": F.lit(version), "generated_at": now, "ecr_rank": F.lit(None).cast("long"), "is_home": F.col("is_home").cast("boolean")})
+    return rows.select(*PUBLISHED)
+
+
 def with_expert_rank(rows: DataFrame, ecr: DataFrame) -> DataFrame:
     """The expert rank where the player was ranked at the position that he is projected at."""
     rank = win.first_by(ecr.where("player_id IS NOT NULL").select(*KEY, F.col("position").alias("__p"), F.col("ecr_rank").cast("long").alias("__r")), KEY, "__r", "__p")
@@ -65,7 +78,7 @@ def frozen(stored: DataFrame | None, fresh: DataFrame, now: Column) -> DataFrame
 def assembled(backtest: DataFrame, live: DataFrame | None, ecr: DataFrame) -> DataFrame:
     """Live weeks from live rows alone, other weeks from the backtest; ranked."""
     rows = backtest if live is None else joins.replaced_by(backtest, live, ["season", "week"])
-    return ranked(with_expert_rank(rows, ecr))
+    return ranked(with_expert_rank(rows, ecr).select(*PUBLISHED))
 
 
 def check_pool(pool: DataFrame, week: DataFrame, least: int = 8, charted: float = 0.8) -> None:

@@ -13,7 +13,7 @@ os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [str(ROOT), os.environ.g
 def spark():
     from gaugework.session import session
 
-    spark = session(4, 4)
+    spark = session(int(os.environ.get("TEST_CPUS", "4")), 4)
     spark.sparkContext.setLogLevel("ERROR")
     yield spark
     spark.stop()

@@ -186,7 +186,7 @@ NAMES = [
 @pytest.mark.parametrize(
     ("query", "first", "reason"),
     [("cmc", "1", "nickname"), ("arsb", "2", "initials"), ("kw3", "4", "initials"), ("mccaffery", "1", "close spelling"), ("jose nunez", "8", "exact"), ("lions wr", "2", "team / position"),
-     ("jax", "3", "prefix"), ("dallas goedert", "6", "exact"), ("offic", None, None), ("ajb", "9", "nickname"), ("smith", "3", "prefix")],
+     ("jax", "3", "prefix"), ("dallas goedert", "6", "exact"), ("offic", None, None), ("ajb", "9", "initials"), ("smith", "3", "prefix")],
 )
 def test_search(spark, query, first, reason):
     names = spark.createDataFrame(NAMES, "player_id string, player_name string, position string, team string")

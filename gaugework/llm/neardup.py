@@ -41,7 +41,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugework.llm.common import materialize, small_batches
@@ -224,25 +224,56 @@ def unique_weights(words: DataFrame, size: int = SHINGLE) -> DataFrame:
     return weights.join(alone, "nid", "left").withColumn("u", F.coalesce("u", F.lit(0)))
 
 
-def _across(rest: DataFrame, thousandths: int | None) -> DataFrame:
-    """Pairs (a, b) of nodes of one bucket and different classes, one of them outside the largest.
+def region_arrays(words: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """nid and the weight regions of its words, from which the similarity is exact."""
 
-    With a similarity, only pairs that could reach it: a shingle that no other
-    node has is never common, so c = min(w - u) of both bounds what is common,
-    and c / (w + w - c) the similarity.
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for k in range(batch.num_rows):
+                values = batch.column(1)[k].values.to_numpy(zero_copy_only=False).view(np.uint32)
+                rows.append(regions(*shingles(values, np.array([len(values)]), size)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int64()))], ["nid", "regions"])
+
+    return words.select("nid", "words").mapInArrow(run, "nid long, regions array<bigint>")
+
+
+def _sides(few: DataFrame, whole: DataFrame, *extra: str) -> tuple[DataFrame, DataFrame, Column]:
+    """Rows of few beside rows of whole as columns x and y, to be joined on the returned condition."""
+    left = few.select(F.col("key").alias("kx"), F.struct("nid", "label", *extra).alias("x"))
+    right = whole.select(F.col("key").alias("ky"), F.struct("nid", "label", "top", *extra).alias("y"))
+    once = (F.col("x.label") != F.col("y.label")) & ((F.col("y.label") == F.col("y.top")) | (F.col("x.nid") < F.col("y.nid")))
+    return left, right, (F.col("kx") == F.col("ky")) & once
+
+
+def _pairs(met: DataFrame) -> DataFrame:
+    return met.select(F.least("x.nid", "y.nid").alias("a"), F.greatest("x.nid", "y.nid").alias("b")).distinct()
+
+
+def _across(rest: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes of one bucket and different classes, one of them outside the largest."""
+    left, right, on = _sides(rest.where("label <> top"), rest)
+    return _pairs(left.join(right, on))
+
+
+def _links_across(wide: DataFrame, thousandths: int) -> DataFrame:
+    """The same for large buckets, but links only: the whole test is the join's condition.
+
+    A shingle that no other open node has is never common, so c = min(w - u)
+    bounds what is common, and c / (w + w - c) the similarity; pairs that cannot
+    reach it go no further. Others are tested in the first bucket that they
+    share, on their regions.
     """
-    few, whole = rest.where("label <> top"), rest
-    test = F.lit(True)
-    if thousandths is not None:
-        few = few.where(1000 * (F.col("w") - F.col("u")) >= thousandths * (F.col("u") + F.col("least")))
-        common = F.least(F.col("wx") - F.col("ux"), F.col("wy") - F.col("uy"))
-        test = 1000 * common >= thousandths * (F.col("wx") + F.col("wy") - common)
-    left = few.select("key", F.col("nid").alias("x"), F.col("label").alias("lx"), F.col("w").alias("wx"), F.col("u").alias("ux"))
-    right = whole.select("key", F.col("nid").alias("y"), F.col("label").alias("ly"), "top", F.col("w").alias("wy"), F.col("u").alias("uy"))
-    once = (F.col("lx") != F.col("ly")) & ((F.col("ly") == F.col("top")) | (F.col("x") < F.col("y")))
-    # The whole test is the join's condition: what fails it is never a row.
-    met = left.join(right, (left["key"] == right["key"]) & once & test)
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    least = wide.groupBy("key").agg(F.min("w").alias("least"))
+    few = wide.where("label <> top").join(least, "key").where(1000 * (F.col("w") - F.col("u")) >= thousandths * (F.col("u") + F.col("least")))
+    left, right, on = _sides(few, wide, "w", "u", "bands", "regions")
+    c = F.least(F.col("x.w") - F.col("x.u"), F.col("y.w") - F.col("y.u"))
+    reach = 1000 * c >= thousandths * (F.col("x.w") + F.col("y.w") - c)
+    same = F.zip_with("x.bands", "y.bands", lambda p, q: p == q)
+    here = F.array_position(same, True) == F.array_position("x.bands", F.col("kx"))
+    common = F.size(F.array_intersect("x.regions", "y.regions"))
+    link = (1000 + thousandths) * common >= thousandths * (F.col("x.w") + F.col("y.w"))
+    return _pairs(left.join(right, on & reach & here & link))
 
 
 def verify(pairs: DataFrame, words: DataFrame, similarity: float, size: int = SHINGLE) -> DataFrame:
@@ -309,13 +340,14 @@ def near_duplicates(
     by_class = placed.groupBy("key", "label").agg(F.count("*").alias("m"))
     mixed = by_class.groupBy("key").agg(F.count("*").alias("classes"), F.max(F.struct("m", "label")).alias("top")).where("classes > 1").select("key", F.col("top.label").alias("top"))
     rest = materialize(placed.join(mixed, "key").where("nid <> hub").select("key", "nid", "label", "top", "n"), "rest")
-    open_ = _across(rest.where(F.col("n") <= SMALL).withColumns({"w": F.lit(0), "u": F.lit(0)}), None)
+    open_ = materialize(_across(rest.where(F.col("n") <= SMALL)), "open")
     wide = rest.where(F.col("n") > SMALL)
-    bound = unique_weights(words.join(wide.select("nid").distinct(), "nid", "left_semi"))
-    wide = wide.join(materialize(bound, "weights"), "nid").where(F.col("u") * 1000 <= F.col("w") * (1000 - round(similarity * 1000)))
-    least = wide.groupBy("key").agg(F.min("w").alias("least"))
-    open_ = open_.union(_across(wide.join(least, "key"), round(similarity * 1000))).distinct()
-    more = materialize(verify(materialize(open_, "open"), words, similarity), "links")
+    held = words.join(wide.select("nid").distinct(), "nid", "left_semi")
+    weights = unique_weights(held).where(F.col("u") * 1000 <= F.col("w") * (1000 - round(similarity * 1000)))
+    weights = weights.join(region_arrays(held), "nid").join(nodes.select("nid", "bands"), "nid")
+    wide = wide.join(materialize(weights, "weights"), "nid")
+    more = verify(open_, words, similarity).union(_links_across(wide, round(similarity * 1000)))
+    more = materialize(more, "links")
     if more.limit(1).count():
         labels = components(links.union(more))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,11 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/gaugework/{name}-{uuid.uuid4().hex}"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, and stays one term whatever the optimizer pushes through it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 BATCH_ROWS = 1000
 
 

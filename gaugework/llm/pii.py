@@ -29,6 +29,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaugework.llm.common import let
+
 ROUNDS = 6
 KEY = "gaugework-demonstration-key"
 
@@ -95,18 +97,13 @@ def _luhn_sum(digits: Column, first: int) -> Column:
     )
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body of a value that is computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _card(x: Column, key: str, inverse: bool) -> Column:
     def of(d: Column) -> Column:
         body = F.substr(d, F.lit(2), F.length(d) - 2)
         new = F.concat(F.left(d, F.lit(1)), permute_digits(body, key, "card", inverse))
-        return _let(new, lambda n: F.concat(n, F.pmod(-_luhn_sum(n, 1), F.lit(10)).cast("string")))
+        return let(new, lambda n: F.concat(n, F.pmod(-_luhn_sum(n, 1), F.lit(10)).cast("string")))
 
-    return refill(x, _let(_digits(x), of))
+    return refill(x, let(_digits(x), of))
 
 
 def _phone(x: Column, key: str, inverse: bool) -> Column:
@@ -117,7 +114,7 @@ def _phone(x: Column, key: str, inverse: bool) -> Column:
 
 def _ssn(x: Column, key: str, inverse: bool) -> Column:
     out = feistel(F.substring(x, 5, 2).cast("long") - 1, F.substring(x, 8, 4).cast("long") - 1, F.lit(99), F.lit(9999), key, F.concat(F.lit("ssn"), F.substring(x, 1, 3)), inverse)
-    return _let(out, lambda s: F.concat(F.substring(x, 1, 4), F.lpad((s["l"] + 1).cast("string"), 2, "0"), F.lit("-"), F.lpad((s["r"] + 1).cast("string"), 4, "0")))
+    return let(out, lambda s: F.concat(F.substring(x, 1, 4), F.lpad((s["l"] + 1).cast("string"), 2, "0"), F.lit("-"), F.lpad((s["r"] + 1).cast("string"), 4, "0")))
 
 
 def _octet(x: Column, k: int) -> Column:
@@ -127,7 +124,7 @@ def _octet(x: Column, k: int) -> Column:
 def _ip(x: Column, key: str, inverse: bool) -> Column:
     out = feistel(_octet(x, 0) * 256 + _octet(x, 1), _octet(x, 2) * 256 + _octet(x, 3), F.lit(65536), F.lit(65536), key, "ip", inverse)
     part = lambda v: F.concat_ws(".", F.floor(v / 256).cast("string"), F.pmod(v, F.lit(256)).cast("string"))
-    return _let(out, lambda s: F.concat_ws(".", part(s["l"]), part(s["r"])))
+    return let(out, lambda s: F.concat_ws(".", part(s["l"]), part(s["r"])))
 
 
 #: Days from 1900-01-01 to 2099-12-31 are 319 x 229.
@@ -143,8 +140,8 @@ def _day(x: Column) -> Column:
 
 def _date(x: Column, key: str, inverse: bool) -> Column:
     number = F.datediff(_day(x), F.lit(FIRST_DAY).cast("date")).cast("long")
-    out = _let(number, lambda n: feistel(F.floor(n / DAYS_B), F.pmod(n, F.lit(DAYS_B)), F.lit(DAYS_A), F.lit(DAYS_B), key, "date", inverse))
-    day = _let(out, lambda s: F.date_add(F.lit(FIRST_DAY).cast("date"), (s["l"] * DAYS_B + s["r"]).cast("int")))
+    out = let(number, lambda n: feistel(F.floor(n / DAYS_B), F.pmod(n, F.lit(DAYS_B)), F.lit(DAYS_A), F.lit(DAYS_B), key, "date", inverse))
+    day = let(out, lambda s: F.date_add(F.lit(FIRST_DAY).cast("date"), (s["l"] * DAYS_B + s["r"]).cast("int")))
     style = lambda f: F.date_format(day, f)
     return F.when(x.contains("-"), style("yyyy-MM-dd")).when(x.contains("."), style("dd.MM.yyyy")).otherwise(style("MM/dd/yyyy"))
 
@@ -211,7 +208,7 @@ KINDS = (
         "card",
         lambda t: t.rlike("[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}"),
         r"(?<![\p{L}0-9]|[0-9][.,])(?:[0-9]{13,19}|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{1,7}|[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{1,7})(?![\p{L}0-9]|[.,][0-9])",
-        lambda x: _let(_digits(x), lambda d: (F.length(d).between(13, 19)) & (F.pmod(_luhn_sum(d, 0), F.lit(10)) == 0) & d.rlike("[1-9]")),
+        lambda x: let(_digits(x), lambda d: (F.length(d).between(13, 19)) & (F.pmod(_luhn_sum(d, 0), F.lit(10)) == 0) & d.rlike("[1-9]")),
         _card,
     ),
     Kind(
@@ -245,31 +242,47 @@ KINDS = (
 )
 
 
+def _replaced(kind: Kind, text: Column, key: str, inverse: bool) -> Column:
+    """A struct of the text with the kind's values permuted and their number.
+
+    Every value is bound once, so the expression stays as long as the list of
+    kinds, whatever is filtered or projected above it.
+    """
+    hits = F.when(kind.mark(text), F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
+
+    def with_hits(h: Column) -> Column:
+        tested = F.when(F.size(h) > 0, F.transform(h, lambda x: F.coalesce(kind.valid(x), F.lit(False)))).otherwise(F.array().cast("array<boolean>"))
+
+        def with_tests(v: Column) -> Column:
+            # A hit that fails its test stays as it is.
+            new = F.zip_with(h, v, lambda x, yes: F.when(yes, kind.permute(x, key, inverse)).otherwise(x))
+            parts = F.zip_with(F.split(text, kind.pattern, -1), new, lambda part, hit: F.concat(part, F.coalesce(hit, F.lit(""))))
+            return F.struct(
+                F.when(F.exists(v, lambda yes: yes), F.array_join(parts, "")).otherwise(text).alias("text"),
+                F.size(F.filter(v, lambda yes: yes)).cast("long").alias("n"),
+            )
+
+        return let(tested, with_tests)
+
+    return let(hits, with_hits)
+
+
 def pseudonymize(docs: DataFrame, key: str = KEY, text: str = "text", inverse: bool = False) -> DataFrame:
     """docs with the text replaced, `n_<kind>` for each kind, and `n_pii`; inverse turns pseudonyms back under the same key."""
-    outputs = [f"n_{k.name}" for k in KINDS] + ["n_pii"]
-    out = docs.drop(*[c for c in docs.columns if c.lower() in outputs and c != text])
-    out = out.withColumn(text, F.col(text).cast("string"))
+    names = [f"n_{k.name}" for k in KINDS]
+    out = docs.drop(*[c for c in docs.columns if c.lower() in (*names, "n_pii", "__pii") and c != text]).withColumn("__pii", F.struct(F.col(text).cast("string").alias("text")))
+    known: list[str] = []
+
+    def step(kind: Kind, before: list[str]) -> Column:
+        def onward(s: Column) -> Column:
+            return let(_replaced(kind, s["text"], key, inverse), lambda r: F.struct(r["text"].alias("text"), *[s[n].alias(n) for n in before], r["n"].alias(f"n_{kind.name}")))
+
+        return let(F.col("__pii"), onward)
+
     for kind in reversed(KINDS) if inverse else KINDS:
-        t = F.col(text)
-        hits = F.when(kind.mark(t), F.regexp_extract_all(t, F.lit(kind.pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
-        out = out.withColumn("__hits", hits)
-        # Searched and tested once; a hit that fails stays as it is.
-        out = out.withColumn("__valid", F.when(F.size("__hits") > 0, F.transform("__hits", lambda x: F.coalesce(kind.valid(x), F.lit(False)))).otherwise(F.array().cast("array<boolean>")))
-        n = F.size(F.filter("__valid", lambda x: x)).cast("long")
-        replaced = F.when(
-            F.exists("__valid", lambda x: x),
-            F.array_join(
-                F.zip_with(
-                    F.split(t, kind.pattern, -1),
-                    F.zip_with("__hits", "__valid", lambda h, v: F.when(v, kind.permute(h, key, inverse)).otherwise(h)),
-                    lambda part, hit: F.concat(part, F.coalesce(hit, F.lit(""))),
-                ),
-                "",
-            ),
-        ).otherwise(t)
-        out = out.withColumns({f"n_{kind.name}": n, text: replaced}).drop("__hits", "__valid")
+        out = out.withColumn("__pii", step(kind, list(known)))
+        known.append(f"n_{kind.name}")
     total = F.lit(0).cast("long")
-    for kind in KINDS:
-        total = total + F.col(f"n_{kind.name}")
-    return out.withColumn("n_pii", total)
+    for name in names:
+        total = total + F.col(f"__pii.{name}")
+    return out.withColumns({text: F.col("__pii.text"), **{n: F.col(f"__pii.{n}") for n in names}, "n_pii": total}).drop("__pii")

@@ -37,6 +37,7 @@ def test_odd_rows_and_empty_table(spark, odd_documents):
     out = quality.apply_policy(quality.ledger(odd_documents))
     assert out.count() == odd_documents.count()
     assert {r["kept"] for r in out.where("text IS NULL OR trim(text) = ''").collect()} == {False}
+    assert out.where("kept AND n_words > 0").count() == 3
     empty = quality.ledger(odd_documents.limit(0))
     assert empty.count() == 0 and "fail_bits" in empty.columns and quality.ablations(empty).count() == 0
 

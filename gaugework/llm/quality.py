@@ -21,6 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaugework.llm.common import let
+
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 5
@@ -78,64 +80,66 @@ POLICIES = {
 CURRENT = "v2"
 
 
+def _windows(h: Column) -> Column:
+    """Hashes of all runs of WINDOW words."""
+    starts = F.slice(h, F.lit(1), F.greatest(F.size(h) - (WINDOW - 1), F.lit(0)))
+    return F.transform(starts, lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, WINDOW)]))
+
+
+def _repeated_at(grams: Column) -> Column:
+    """Sorted places of windows that occur twice; only a text that has an equal pair pays for the sort."""
+    pairs = F.when(F.size(F.array_distinct(grams)) < F.size(grams), F.sort_array(F.transform(grams, lambda g, i: F.struct(g.alias("g"), i.alias("i")))))
+    same = lambda x, y: F.coalesce(x["g"] == y["g"], F.lit(False))
+    found = lambda s: F.transform(F.filter(s, lambda x, i: same(x, F.get(s, i - 1)) | same(x, F.get(s, i + 1))), lambda x: x["i"])
+    return let(pairs, lambda s: F.sort_array(F.coalesce(found(s), F.array().cast("array<int>"))))
+
+
+def _covered(at: Column) -> Column:
+    """Words in the union of the windows that start at these places."""
+    return F.aggregate(
+        at,
+        F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
+        lambda acc, i: F.struct((acc["n"] + (i + WINDOW) - F.greatest(acc["end"], i)).alias("n"), (i + WINDOW).alias("end")),
+        lambda acc: acc["n"].cast("long"),
+    )
+
+
 def measure(df: DataFrame, text: str = "text") -> DataFrame:
     """df with the columns of MEASURES.
 
-    Each array is a column of its own before a lambda reads it by index;
-    otherwise the optimizer would rebuild it for every element.
+    Every array is bound before a lambda reads it by index, so it is built once
+    whatever is filtered or projected above.
     """
     raw = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    out = df.drop(*[m for m in MEASURES if m != text])
-    out = out.withColumn("__words", F.regexp_extract_all(raw, F.lit(WORD), F.lit(0)))
-    out = out.withColumn("__lines", F.filter(F.split(raw, "\n", -1), lambda x: x.rlike(WORD)))
-    out = out.withColumn("__h", F.transform("__words", lambda w: F.xxhash64(w)))
-    out = out.withColumn(
-        "__grams",
-        F.when(
-            F.size("__h") >= WINDOW,
-            F.transform(
-                F.slice("__h", F.lit(1), F.greatest(F.size("__h") - (WINDOW - 1), F.lit(0))),
-                lambda x, i: F.xxhash64(x, *[F.get("__h", i + k) for k in range(1, WINDOW)]),
+    lines = F.filter(F.split(raw, "\n", -1), lambda x: x.rlike(WORD))
+
+    def of_words(w: Column) -> Column:
+        hashed = let(
+            F.transform(w, lambda x: F.xxhash64(x)),
+            lambda h: F.struct(
+                let(_windows(h), lambda g: _covered(_repeated_at(g))).alias("repeat"),
+                F.size(F.filter(h, lambda x, i: F.coalesce(x == F.get(h, i - 1), F.lit(False)))).cast("long").alias("stutter"),
             ),
-        ).otherwise(F.array().cast("array<bigint>")),
-    )
-    # Only a document that has an equal pair of windows pays for the sort.
-    out = out.withColumn(
-        "__sorted",
-        F.when(
-            F.size(F.array_distinct("__grams")) < F.size("__grams"),
-            F.sort_array(F.transform("__grams", lambda g, i: F.struct(g.alias("g"), i.alias("i")))),
-        ).otherwise(F.array().cast("array<struct<g:bigint,i:int>>")),
-    )
-    same = lambda x, y: F.coalesce(x["g"] == y["g"], F.lit(False))
-    out = out.withColumn(
-        "__at",
-        F.sort_array(
-            F.transform(
-                F.filter("__sorted", lambda x, i: same(x, F.get("__sorted", i - 1)) | same(x, F.get("__sorted", i + 1))),
-                lambda x: x["i"],
-            )
-        ),
-    )
-    covered = F.aggregate(
-        "__at",
-        F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
-        lambda acc, i: F.struct(
-            (acc["n"] + (i + WINDOW) - F.greatest(acc["end"], i)).alias("n"), (i + WINDOW).alias("end")
-        ),
-        lambda acc: acc["n"].cast("long"),
+        )
+        return F.struct(F.size(w).cast("long").alias("words"), F.length(F.array_join(w, "")).cast("long").alias("chars"), hashed.alias("h"))
+
+    out = df.drop(*[m for m in MEASURES if m != text]).withColumns(
+        {
+            "__w": let(F.regexp_extract_all(raw, F.lit(WORD), F.lit(0)), of_words),
+            "__l": let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup"))),
+            "n_symbols": F.regexp_count(raw, F.lit(SYMBOLS)).cast("long"),
+        }
     )
     return out.withColumns(
         {
-            "n_words": F.size("__words").cast("long"),
-            "word_chars": F.length(F.array_join("__words", "")).cast("long"),
-            "n_symbols": F.regexp_count(raw, F.lit(SYMBOLS)).cast("long"),
-            "n_lines": F.size("__lines").cast("long"),
-            "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
-            "n_repeat_words": covered,
-            "n_stutter": F.size(F.filter("__h", lambda x, i: F.coalesce(x == F.get("__h", i - 1), F.lit(False)))).cast("long"),
+            "n_words": F.col("__w.words"),
+            "word_chars": F.col("__w.chars"),
+            "n_lines": F.col("__l.n"),
+            "n_dup_lines": F.col("__l.dup"),
+            "n_repeat_words": F.col("__w.h.repeat"),
+            "n_stutter": F.col("__w.h.stutter"),
         }
-    ).drop("__words", "__lines", "__h", "__grams", "__sorted", "__at")
+    ).drop("__w", "__l")
 
 
 def ledger(df: DataFrame, text: str = "text") -> DataFrame:

@@ -152,18 +152,31 @@ def smooth(values: list[float], sigma: float = SIGMA) -> list[float]:
     return out
 
 
+UNFINISHED = re.compile(r"<[A-Za-z/!?][^>]*\Z")
+
+
+def finished(page: str) -> str:
+    """The page without a comment or tag that its end cuts off, which is no text."""
+    comment = page.rfind("<!--")
+    if comment >= 0 and page.find("-->", comment) < 0:
+        return page[:comment]
+    tag = page.rfind("<")
+    return page[:tag] if tag >= 0 and UNFINISHED.match(page, tag) else page
+
+
 def extract_text(page: str | None) -> str:
     """The article's blocks, joined by newlines."""
     if not page:
         return ""
     parser = Lines()
-    parser.feed(page)
+    parser.feed(finished(page))
     parser.close()
     parser.cut()
     lines = parser.lines
     if not lines:
         return ""
-    ratios = smooth([len(text) / tags for text, tags, _ in lines])
+    raw = [len(text) / tags for text, tags, _ in lines]
+    ratios = smooth(raw)
     mean = sum(ratios) / len(ratios)
     threshold = math.sqrt(sum((x - mean) ** 2 for x in ratios) / len(ratios))
     while max(ratios) < threshold:
@@ -180,8 +193,9 @@ def extract_text(page: str | None) -> str:
     if mass:
         best = max(mass, key=lambda r: (mass[r], -r))
         return "\n".join(text for text, _, region in lines if region == best)
-    first = content.index(True)
-    last = len(content) - 1 - content[::-1].index(True)
+    # Smoothing lends weight to a run's neighbours; its ends must have some of their own.
+    ends = [k for k, yes in enumerate(content) if yes and raw[k] >= mean / 4] or [k for k, yes in enumerate(content) if yes]
+    first, last = ends[0], ends[-1]
     return "\n".join(text for text, *_ in lines[first : last + 1])
 
 

@@ -435,12 +435,12 @@ def quantiles(spark, sf_dir):
 WITH k AS (SELECT event_type, list_sort([quantile_cont(value, 0.2), quantile_cont(value, 0.4), quantile_cont(value, 0.6), quantile_cont(value, 0.8)]) AS marks FROM events GROUP BY event_type),
 p AS (SELECT e.event_type, value, event_id % 50 AS r, len(list_filter(marks, lambda m: m <= value)) AS bin FROM events e JOIN k ON e.event_type = k.event_type),
 c AS (SELECT event_type, bin, sum(value::DECIMAL(18,6))::DOUBLE / count(value) AS centre, quantile_cont(r, 0.1)::DOUBLE AS low, quantile_cont(r, 0.9)::DOUBLE AS high, count(*) AS n FROM p GROUP BY ALL)
-SELECT event_type, bin::INT AS bin, centre, low, max(high) OVER (PARTITION BY event_type ORDER BY bin) AS high, n FROM c
+SELECT event_type, bin::INT AS bin, centre, round(low, 6) AS low, round(max(high) OVER (PARTITION BY event_type ORDER BY bin), 6) AS high, n FROM c
 """)
 def bands(spark, sf_dir):
     """Quantile bins with a low and a high that never falls."""
     rows = events(spark, sf_dir, "event_type", "value", (F.col("event_id") % 50).alias("r"))
-    return stats.bands(rows, ["event_type"], "value", "r", bins=5)
+    return stats.bands(rows, ["event_type"], "value", "r", bins=5).withColumns({"low": F.round("low", 6), "high": F.round("high", 6)})
 
 
 @query("""

@@ -49,7 +49,7 @@ SAMPLE, SAMPLE_IDS, DICT_BYTES, LEVEL = 1000, 2048, 65_536, 1
 ENCODE_CHARS = 1_000_000
 SAMPLE_CHARS = 10_000
 #: Words that a worker remembers with their ids.
-CACHE_WORDS = 100_000
+CACHE_WORDS = 300_000
 #: Latin letters, the same in every Unicode version, and marks of ASCII after them.
 LATIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@[-`{-~]*)")
 YIELD_BYTES = 4_000_000
@@ -80,14 +80,19 @@ class Memory(dict):
 
     def __init__(self, encoder: Encoder, space: str):
         self.encoder, self.space, self.spelled, self.old = encoder, space, space.translate(SPELLING), {}
-        self.tokenize, self.code = encoder.tokenizer.model.tokenize, encoder.code
+        self.tokenize, self.code, self.marks = encoder.tokenizer.model.tokenize, encoder.code, encoder.marks
 
     def __missing__(self, word: str) -> bytes:
         found = self.old.get(word)
         if found is None:
-            if word.isascii() and word.isalpha():
-                # One pre-token, spelled as it is.
-                found = array.array(self.code, [x.id for x in self.tokenize(self.spelled + word)]).tobytes()
+            if word.isascii():
+                if word.isalpha():
+                    # One pre-token, spelled as it is.
+                    found = array.array(self.code, [x.id for x in self.tokenize(self.spelled + word)]).tobytes()
+                elif (mark := word[-1:]) in self.marks and (stem := word[:-1]).isalpha():
+                    found = self[stem] + self.marks[mark]
+                else:
+                    found = self.encoder._unit(word, self.space)
             else:
                 found = self.encoder._unit(word, self.space)
         self[word] = found
@@ -124,8 +129,8 @@ class Encoder:
         self.by_word = before.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
         self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
         self.feed = self._whole(["\n"])[0]
-        self.known = {"": Memory(self, ""), " ": Memory(self, " ")}
         self.marks: dict[str, bytes] = {}
+        self.known = {"": Memory(self, ""), " ": Memory(self, " ")}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -162,8 +167,8 @@ class Encoder:
         try:
             lines = []
             for line in text.split("\n"):
-                words = line.split(" ")
-                lines.append(first[words[0]] + b"".join(map(later, words[1:])))
+                words = iter(line.split(" "))
+                lines.append(first[next(words)] + b"".join(map(later, words)))
         except Uncut:
             return None
         return self.feed.join(lines)

@@ -213,8 +213,8 @@ KINDS = (
     ),
     Kind(
         "phone",
-        lambda t: t.rlike(r"[0-9][)]?[ .-][0-9]{3}"),
-        r"(?:\+[0-9]{1,3}[ .-]?)(?:\([0-9]{2,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,3}(?![0-9])|(?<![0-9+])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9.+-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])",
+        lambda t: t.rlike(r"\+[0-9]|[0-9]{3}[ .-][0-9]{4}"),
+        r"(?<![\p{L}0-9])\+[0-9]{8,15}(?![0-9]|\.[0-9])|(?:\+[0-9]{1,3}[ .-]?)(?:\([0-9]{2,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,3}(?![0-9])|(?<![0-9+])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9.+-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])",
         lambda x: F.length(_digits(x)).between(8, 15),
         _phone,
     ),

@@ -137,3 +137,32 @@ def test_pii_of_odd_rows(spark, odd_documents):
     assert out.count() == odd_documents.count() and out.where("n_pii > 0").count() == 0
     assert sorted(str(r["text"]) for r in out.collect()) == sorted(str(r["text"]) for r in odd_documents.collect())
     assert pii.pseudonymize(odd_documents.limit(0)).count() == 0
+
+
+PHONES = ["+49 30 12 34 56", "+33 12 34 56 78", "+41 (44) 12 34 56", "+1 (017) 555-7713", "(555) 123-4567", "(555)123 4567", "555-123-4567", "+15550177713", "+4930123456"]
+
+
+def test_phones_are_found_whatever_else_the_text_holds(spark):
+    rows = [(2 * k + more, f"call {x}{' or 4 100' * more} now") for k, x in enumerate(PHONES) for more in (0, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = pii.pseudonymize(df)
+    got = {r["doc_id"]: r for r in out.collect()}
+    for k, x in enumerate(PHONES):
+        alone, beside = got[2 * k], got[2 * k + 1]
+        assert alone["n_phone"] == beside["n_phone"] == 1 and x not in alone["text"], x
+        assert beside["text"].replace(" or 4 100", "") == alone["text"]
+    assert {r["doc_id"]: r["text"] for r in pii.pseudonymize(out.select("doc_id", "text"), inverse=True).collect()} == dict(rows)
+
+
+def test_every_match_shows_its_mark(spark):
+    from pyspark.sql import functions as F
+
+    found = {
+        "email": ["a@b.c"], "secret": ["0a" * 16, "0A" * 32], "card": ["4" * 13, "4111-1111-1111-1", "4111 1111 1111 1111"], "phone": PHONES,
+        "ssn": ["123-45-6789"], "ip": ["1.2.3.4", "10.200.30.4"], "date": ["1999-12-31", "31.12.1999", "12/31/1999"],
+    }
+    assert set(found) == {k.name for k in pii.KINDS}
+    for kind in pii.KINDS:
+        df = spark.createDataFrame([(x,) for x in found[kind.name]], "t string")
+        rows = df.select("t", kind.mark(F.col("t")).alias("mark"), F.regexp_extract("t", kind.pattern, 0).alias("hit")).collect()
+        assert all(r["mark"] and r["hit"] == r["t"] for r in rows), kind.name

@@ -121,6 +121,11 @@ class Lines(HTMLParser):
             self.at = self.regions
         self.stack.append((tag, out, self.at))
 
+    def parse_comment(self, i, report=1):
+        """A comment without an end takes the rest of the page."""
+        k = super().parse_comment(i, report)
+        return len(self.rawdata) if k < 0 else k
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
@@ -152,27 +157,25 @@ def smooth(values: list[float], sigma: float = SIGMA) -> list[float]:
     return out
 
 
+#: A tag that the end of the page cuts off, which is no text.
 UNFINISHED = re.compile(r"<[A-Za-z/!?][^>]*\Z")
 
 
-def finished(page: str) -> str:
-    """The page without a comment or tag that its end cuts off, which is no text."""
-    comment = page.rfind("<!--")
-    if comment >= 0 and page.find("-->", comment) < 0:
-        return page[:comment]
-    tag = page.rfind("<")
-    return page[:tag] if tag >= 0 and UNFINISHED.match(page, tag) else page
+def parsed(page: str) -> Lines:
+    parser = Lines()
+    parser.feed(page)
+    if UNFINISHED.match(parser.rawdata):
+        parser.rawdata = ""
+    parser.close()
+    parser.cut()
+    return parser
 
 
 def extract_text(page: str | None) -> str:
     """The article's blocks, joined by newlines."""
     if not page:
         return ""
-    parser = Lines()
-    parser.feed(finished(page))
-    parser.close()
-    parser.cut()
-    lines = parser.lines
+    lines = parsed(page).lines
     if not lines:
         return ""
     raw = [len(text) / tags for text, tags, _ in lines]

@@ -166,3 +166,9 @@ def test_every_match_shows_its_mark(spark):
         df = spark.createDataFrame([(x,) for x in found[kind.name]], "t string")
         rows = df.select("t", kind.mark(F.col("t")).alias("mark"), F.regexp_extract("t", kind.pattern, 0).alias("hit")).collect()
         assert all(r["mark"] and r["hit"] == r["t"] for r in rows), kind.name
+
+
+def test_comment_signs_that_are_no_comment():
+    for before in ('<script>var a="<!--";</script>', '<style>p:before{content:"<!--"}</style>', '<p title="<!--"></p>'):
+        assert html.extract_text(f"<body>{before}<article><p>one</p><p>two</p></article></body>") == "one\ntwo"
+    assert html.extract_text("<article><p>one</p><!-- cut <p>off</p>") == "one" and html.extract_text("<article><p>one</p><a title='<!--") == "one"

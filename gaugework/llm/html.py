@@ -9,7 +9,9 @@ line passes) cluster into content. The content region is the innermost article
 or main element that holds most of the clustered text, or, on a page without
 one, the run of clusters itself; short lines inside a region belong to it.
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-reader comments are left out by element, role or class wherever they stand.
+reader comments are left out by element, role or whole class name wherever they
+stand; a form, or an element with the name of a place (sidebar, header), stays
+where it holds a main element or most of the text of the page.
 
 Defined results: a null or empty page has an empty text; unclosed elements end
 with their container, unknown references stay as they are; repeated rows give
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -37,15 +40,21 @@ OUT = frozenset(
     "iframe object embed applet canvas svg math audio video dialog".split()
 )
 OUT_ROLE = frozenset("navigation banner contentinfo complementary search form menu menubar alert alertdialog dialog".split())
-#: Words of a class or id that mark the same.
+#: Names of a class or id that mark what is no article text, wherever it stands.
 OUT_WORD = frozenset(
-    "ad ads adv advert adverts advertisement advertising adbox banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices notification "
-    "alert popup modal overlay nav navbar navigation menu menus breadcrumb breadcrumbs header masthead footer sidebar aside widget widgets "
-    "comment comments commentlist disqus reply replies discussion share sharing social related recommended recommendations newsletter subscribe "
-    "signup login search pagination pager toolbar skip".split()
+    "ad ads adv advert adverts advertisement advertising adbox sponsor sponsored promo promotion cookie cookies consent gdpr notice notices notification "
+    "alert popup breadcrumb breadcrumbs comment comments commentlist disqus reply replies share sharing social related recommended recommendations newsletter "
+    "subscribe signup login pagination pager skip".split()
 )
-#: Those that leave out even an article element.
+#: Names of places on a page, which also wrappers of the article have: an element of that name that holds most of the text stays.
+PLACE_WORD = frozenset("banner modal overlay nav navbar navigation menu menus header masthead footer sidebar aside widget widgets search toolbar".split())
+#: Words that make a compound name (site-header, cookie-notice, comment-list) with those above; any other word makes it something else (related-work).
+FORM_WORD = frozenset("site main top bottom left right primary secondary global container wrapper wrap box bar block area list item items link links button buttons slot unit posts form".split())
+#: Names that leave out an article element, and ids that leave out a section; another id of a section, or of a heading or paragraph, is an anchor.
 OUT_ARTICLE = frozenset("ad ads advert advertisement sponsored comment comments reply related recommended teaser".split())
+OUT_SECTION = frozenset("ad ads advert adverts comment comments commentlist disqus replies".split())
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+ID_TAG = frozenset("center div dl ol table tbody td ul".split())
 #: Elements that another one of the same kind, or a block, ends.
 IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("article aside blockquote body div dl fieldset figure footer form header html main menu nav ol section table ul".split())
@@ -54,45 +63,90 @@ SIGMA = 1.0
 SPLIT = re.compile(r"[^a-z0-9]+")
 
 
-def _is_out(tag: str, attrs: list) -> bool:
-    if tag in OUT:
+#: Verdicts on an element: its text stays, stays if it holds most of the page's, or is left out.
+IN, PLACE, LEFT_OUT = 0, 1, 2
+
+
+def _named(name: str, words: frozenset) -> bool:
+    """Whether a whole name is one of the words, or made of them and words of form."""
+    if name in words:
         return True
+    parts = [x for x in SPLIT.split(name) if x and not x.isdigit()]
+    return not words.isdisjoint(parts) and all(x in words or x in FORM_WORD or x in OUT_WORD or x in PLACE_WORD for x in parts)
+
+
+def _verdict(tag: str, attrs: list) -> int:
+    if tag == "form":
+        return PLACE
+    if tag in OUT:
+        return LEFT_OUT
     if tag in ("html", "body", "main"):
-        return False
-    marks = OUT_ARTICLE if tag == "article" else OUT_WORD
+        return IN
+    found = IN
     for name, value in attrs:
         if not value:
             if name == "hidden":
-                return True
-        elif name in ("class", "id"):
-            if not marks.isdisjoint(SPLIT.split(value.lower())):
-                return True
+                return LEFT_OUT
+        elif name in ("class", "id") and tag not in HEADING:
+            if tag == "article":
+                out, place = OUT_ARTICLE, None
+            elif name == "id" and tag not in ID_TAG:
+                out, place = OUT_SECTION if tag == "section" else None, None
+            else:
+                out, place = OUT_WORD, PLACE_WORD
+            for one in value.lower().split():
+                if out and _named(one, out):
+                    return LEFT_OUT
+                if place and _named(one, place):
+                    found = PLACE
         elif name == "role" and value.lower() in OUT_ROLE or name == "aria-hidden" and value.lower() == "true":
-            return True
-    return False
+            return LEFT_OUT
+    # Inside a line there is no wrapper.
+    return LEFT_OUT if found == PLACE and tag not in BLOCK else found
+
+
+@dataclass
+class Line:
+    text: str
+    tags: int
+    region: int | None  # number of the article or main element, `None` outside all
+    place: int | None  # number of the nearest PLACE element
+    unlinked: int  # characters outside links
 
 
 class Lines(HTMLParser):
-    """Events to lines: text, tags and region of each; `None` is the region outside all articles."""
+    """Events to lines."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int | None]] = []  # element, left out, region
-        self.lines: list[tuple[str, int, int | None]] = []
+        self.stack: list[tuple[str, bool, int | None, int | None]] = []  # element, left out, region, place
+        self.lines: list[Line] = []
+        self.places: list[int | None] = []  # the place around each
+        self.holds_main: set[int] = set()
         self.text: list[str] = []
-        self.tags = self.regions = 0
+        self.tags = self.regions = self.links = self.linked = 0
         self.at: int | None = None
+        self.place: int | None = None
 
     def cut(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.lines.append((text, max(1, self.tags), self.at))
+            self.lines.append(Line(text, max(1, self.tags), self.at, self.place, max(0, len(text) - self.linked)))
             self.tags = 0
-        self.text = []
+        self.text, self.linked = [], 0
 
     def pop_to(self, k: int) -> None:
+        if self.place != (self.stack[k - 1][3] if k else None):
+            self.cut()
+        self.links -= sum(name == "a" for name, *_ in self.stack[k:])
         del self.stack[k:]
-        self.at = self.stack[-1][2] if self.stack else None
+        self.at, self.place = self.stack[-1][2:] if self.stack else (None, None)
+
+    def chain(self, place: int | None):
+        """A place and those around it."""
+        while place is not None:
+            yield place
+            place = self.places[place]
 
     def close_open(self, names: set | frozenset) -> None:
         """End the nearest of these elements inside the present container."""
@@ -115,11 +169,18 @@ class Lines(HTMLParser):
             self.close_open(IMPLIED[tag])
         if tag in VOID:
             return
-        out = bool(self.stack and self.stack[-1][1]) or _is_out(tag, attrs)
+        verdict = _verdict(tag, attrs)
+        out = bool(self.stack and self.stack[-1][1]) or verdict == LEFT_OUT
+        if not out and verdict == PLACE:
+            self.places.append(self.place)
+            self.place = len(self.places) - 1
         if tag in REGION or ("role", "main") in attrs:
             self.regions += 1
             self.at = self.regions
-        self.stack.append((tag, out, self.at))
+            if not out and tag != "article":
+                self.holds_main.update(self.chain(self.place))
+        self.links += tag == "a"
+        self.stack.append((tag, out, self.at, self.place))
 
     def parse_comment(self, i, report=1):
         """A comment without an end takes the rest of the page."""
@@ -144,6 +205,8 @@ class Lines(HTMLParser):
     def handle_data(self, data):
         if not (self.stack and self.stack[-1][1]):
             self.text.append(data)
+            if self.links:
+                self.linked += len(data.strip())
 
 
 def smooth(values: list[float], sigma: float = SIGMA) -> list[float]:
@@ -171,35 +234,63 @@ def parsed(page: str) -> Lines:
     return parser
 
 
+def clusters(lines: list[Line]) -> tuple[list[float], float, list[bool]]:
+    """Ratio of each line, their smoothed mean, and which lines reach the threshold."""
+    raw = [len(x.text) / x.tags for x in lines]
+    ratios = smooth(raw)
+    mean = sum(ratios) / len(ratios)
+    threshold = math.sqrt(sum((x - mean) ** 2 for x in ratios) / len(ratios))
+    while max(ratios) < threshold:
+        threshold /= 2
+    return raw, mean, [x >= threshold for x in ratios]
+
+
+def kept_lines(page: Lines) -> list[Line]:
+    """Lines outside all places, and of the places that hold a main element or most of the text."""
+    lines = page.lines
+    if not page.places or not lines:
+        return lines
+    own, whole, kept = [0] * len(page.places), [0] * len(page.places), 0
+    for x, yes in zip(lines, clusters(lines)[2]):
+        mass = x.unlinked if yes or x.region is not None else 0
+        if x.place is None:
+            kept += mass
+        else:
+            own[x.place] += mass
+            for place in page.chain(x.place):
+                whole[place] += mass
+    stay: set[int | None] = {None}
+    # A place has as much as those in it, and comes first.
+    for place in sorted(range(len(own)), key=lambda k: (k not in page.holds_main, -whole[k], k)):
+        if page.places[place] in stay and (place in page.holds_main or whole[place] > kept):
+            stay.add(place)
+            kept += own[place]
+    return [x for x in lines if x.place in stay]
+
+
 def extract_text(page: str | None) -> str:
     """The article's blocks, joined by newlines."""
     if not page:
         return ""
-    lines = parsed(page).lines
+    lines = kept_lines(parsed(page))
     if not lines:
         return ""
-    raw = [len(text) / tags for text, tags, _ in lines]
-    ratios = smooth(raw)
-    mean = sum(ratios) / len(ratios)
-    threshold = math.sqrt(sum((x - mean) ** 2 for x in ratios) / len(ratios))
-    while max(ratios) < threshold:
-        threshold /= 2
-    content = [x >= threshold for x in ratios]
+    raw, mean, content = clusters(lines)
     mass: dict[int, int] = {}
-    for (text, _, region), yes in zip(lines, content):
-        if yes and region is not None:
-            mass[region] = mass.get(region, 0) + len(text)
-    if not mass and any(region is not None for *_, region in lines):
-        for text, _, region in lines:
-            if region is not None:
-                mass[region] = mass.get(region, 0) + len(text)
+    for x, yes in zip(lines, content):
+        if yes and x.region is not None:
+            mass[x.region] = mass.get(x.region, 0) + len(x.text)
+    if not mass:
+        for x in lines:
+            if x.region is not None:
+                mass[x.region] = mass.get(x.region, 0) + len(x.text)
     if mass:
         best = max(mass, key=lambda r: (mass[r], -r))
-        return "\n".join(text for text, _, region in lines if region == best)
+        return "\n".join(x.text for x in lines if x.region == best)
     # Smoothing lends weight to a run's neighbours; its ends must have some of their own.
     ends = [k for k, yes in enumerate(content) if yes and raw[k] >= mean / 4] or [k for k, yes in enumerate(content) if yes]
     first, last = ends[0], ends[-1]
-    return "\n".join(text for text, *_ in lines[first : last + 1])
+    return "\n".join(x.text for x in lines[first : last + 1])
 
 
 def extract(pages: DataFrame, html: str = "html", out: str = "text") -> DataFrame:

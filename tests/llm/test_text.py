@@ -172,3 +172,16 @@ def test_comment_signs_that_are_no_comment():
     for before in ('<script>var a="<!--";</script>', '<style>p:before{content:"<!--"}</style>', '<p title="<!--"></p>'):
         assert html.extract_text(f"<body>{before}<article><p>one</p><p>two</p></article></body>") == "one\ntwo"
     assert html.extract_text("<article><p>one</p><!-- cut <p>off</p>") == "one" and html.extract_text("<article><p>one</p><a title='<!--") == "one"
+
+
+def test_names_leave_out_whole_elements_alone():
+    text = "a sentence of the article, long enough to count as text of its own. " * 3
+    story = f"<article><h1>Title</h1><p>{text}</p></article>"
+    whole = f"Title\n{text.strip()}"
+    for name in ('class="layout has-sidebar"', 'class="header-fixed"', 'class="sidebar"', 'id="header"', 'class="overlay menu"'):
+        assert html.extract_text(f"<body><div {name}>{story}</div><div class=footer>Imprint</div></body>") == whole, name
+    assert html.extract_text(f"<form>{story}<div class='site-header'>Site</div></form><div class='ad-slot'>Buy</div>") == whole
+    inside = '<section id="discussion"><p>one</p></section><h2 id="related-work">two</h2><h2 id="search">three</h2><div class="entry-header">four</div><section id="navigation">five</section>'
+    assert html.extract_text(f"<article><p>{text}</p>{inside}</article>") == f"{text.strip()}\none\ntwo\nthree\nfour\nfive"
+    out = '<div class="cookie-notice">x</div><div class="comment-list">x</div><ul class="menu">x</ul><div class="sidebar">x</div><p>a <span class="ad">x</span> b</p><section id="comments">x</section>'
+    assert html.extract_text(f"<article><p>{text}</p>{out}</article>") == f"{text.strip()}\na b"

@@ -5,9 +5,10 @@ page into lines, and each line has its text, its number of tags and the
 containers that it stands in. The ratio of text to tags of each line is
 smoothed with a Gaussian over the neighbouring lines, and lines above the
 threshold (the standard deviation of the smoothed ratios, halved until some
-line passes) cluster into content. The content region is the innermost article
-or main element that holds most of the clustered text, or, on a page without
-one, the run of clusters itself; short lines inside a region belong to it.
+line passes) cluster into content. The content is every outermost article or
+main element that holds clustered text, whole, with the elements nested in it
+(all of them, where none holds any), or, on a page without one, the run of
+clusters itself; short lines inside a region belong to it.
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments are left out by element, role or whole class name wherever they
 stand; a form, or an element with the name of a place (sidebar, header), stays
@@ -109,7 +110,7 @@ def _verdict(tag: str, attrs: list) -> int:
 class Line:
     text: str
     tags: int
-    region: int | None  # number of the article or main element, `None` outside all
+    region: int | None  # number of the outermost article or main element, `None` outside all
     place: int | None  # number of the nearest PLACE element
     unlinked: int  # characters outside links
 
@@ -175,8 +176,9 @@ class Lines(HTMLParser):
             self.places.append(self.place)
             self.place = len(self.places) - 1
         if tag in REGION or ("role", "main") in attrs:
-            self.regions += 1
-            self.at = self.regions
+            if self.at is None:
+                self.regions += 1
+                self.at = self.regions
             if not out and tag != "article":
                 self.holds_main.update(self.chain(self.place))
         self.links += tag == "a"
@@ -276,17 +278,9 @@ def extract_text(page: str | None) -> str:
     if not lines:
         return ""
     raw, mean, content = clusters(lines)
-    mass: dict[int, int] = {}
-    for x, yes in zip(lines, content):
-        if yes and x.region is not None:
-            mass[x.region] = mass.get(x.region, 0) + len(x.text)
-    if not mass:
-        for x in lines:
-            if x.region is not None:
-                mass[x.region] = mass.get(x.region, 0) + len(x.text)
-    if mass:
-        best = max(mass, key=lambda r: (mass[r], -r))
-        return "\n".join(x.text for x in lines if x.region == best)
+    regions = {x.region for x, yes in zip(lines, content) if yes and x.region is not None} or {x.region for x in lines if x.region is not None}
+    if regions:
+        return "\n".join(x.text for x in lines if x.region in regions)
     # Smoothing lends weight to a run's neighbours; its ends must have some of their own.
     ends = [k for k, yes in enumerate(content) if yes and raw[k] >= mean / 4] or [k for k, yes in enumerate(content) if yes]
     first, last = ends[0], ends[-1]

@@ -185,3 +185,13 @@ def test_names_leave_out_whole_elements_alone():
     assert html.extract_text(f"<article><p>{text}</p>{inside}</article>") == f"{text.strip()}\none\ntwo\nthree\nfour\nfive"
     out = '<div class="cookie-notice">x</div><div class="comment-list">x</div><ul class="menu">x</ul><div class="sidebar">x</div><p>a <span class="ad">x</span> b</p><section id="comments">x</section>'
     assert html.extract_text(f"<article><p>{text}</p>{out}</article>") == f"{text.strip()}\na b"
+
+
+def test_every_region_with_text_is_kept_whole():
+    text = ["a sentence of the article, long enough to count as text of its own. " * k for k in (2, 5)]
+    one, two = (x.strip() for x in text)
+    menu = "<div><a href=1>x</a></div><div><a href=2>y</a></div>"
+    assert html.extract_text(f"<body>{menu}<main><h1>Title</h1><p>lead</p><article><p>{two}</p></article></main></body>") == f"Title\nlead\n{two}"
+    assert html.extract_text(f"<body>{menu}<article><p>{one}</p></article><article><p>{two}</p></article></body>") == f"{one}\n{two}"
+    assert html.extract_text(f"<body>{menu}<article><p>{one}</p><article><p>{two}</p></article><p>end</p></article></body>") == f"{one}\n{two}\nend"
+    assert html.extract_text(f"<body>{menu}<div role=main><p>lead</p><article><p>{two}</p></article></div></body>") == f"lead\n{two}"

@@ -2,13 +2,14 @@
 
 The standard library's streaming parser gives events; block elements cut the
 page into lines, and each line has its text, its number of tags and the
-containers that it stands in. The ratio of text to tags of each line is
-smoothed with a Gaussian over the neighbouring lines, and lines above the
-threshold (the standard deviation of the smoothed ratios, halved until some
-line passes) cluster into content. The content is every outermost article or
+containers that it stands in. The ratio of text outside links to tags of each
+line, ENOUGH at most, is smoothed with a Gaussian over the neighbouring lines,
+and lines above the threshold (the standard deviation of the smoothed ratios,
+half their mean at most) cluster into content. The content is every outermost article or
 main element that holds clustered text, whole, with the elements nested in it
-(all of them, where none holds any), or, on a page without one, the run of
-clusters itself; short lines inside a region belong to it.
+(all of them, where none holds any), or, on a page without one, the innermost
+container of all clusters, whole; where that is the page itself, the run of
+clusters with the headings and paragraphs around it.
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments are left out by element, role or whole class name wherever they
 stand; a form, or an element with the name of a place (sidebar, header), stays
@@ -60,7 +61,11 @@ ID_TAG = frozenset("center div dl ol table tbody td ul".split())
 IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("article aside blockquote body div dl fieldset figure footer form header html main menu nav ol section table ul".split())
 REGION = frozenset(("article", "main"))
+#: Elements that make a page's parts; others stand within a part's text.
+PART = frozenset("html body center div main article section td table tbody tr".split())
 SIGMA = 1.0
+#: A line of so many characters a tag is text beyond doubt; more count no more, so that one long line does not lift the threshold.
+ENOUGH = 80
 SPLIT = re.compile(r"[^a-z0-9]+")
 
 
@@ -113,6 +118,7 @@ class Line:
     region: int | None  # number of the outermost article or main element, `None` outside all
     place: int | None  # number of the nearest PLACE element
     unlinked: int  # characters outside links
+    node: int  # number of the element that it stands in
 
 
 class Lines(HTMLParser):
@@ -121,6 +127,8 @@ class Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, bool, int | None, int | None]] = []  # element, left out, region, place
+        self.open = [0]  # numbers of the stack's elements, after that of the page
+        self.nodes: list[tuple[str, int, int]] = [("html", 0, 0)]  # element, number of the one around it, depth
         self.lines: list[Line] = []
         self.places: list[int | None] = []  # the place around each
         self.holds_main: set[int] = set()
@@ -132,7 +140,7 @@ class Lines(HTMLParser):
     def cut(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.lines.append(Line(text, max(1, self.tags), self.at, self.place, max(0, len(text) - self.linked)))
+            self.lines.append(Line(text, max(1, self.tags), self.at, self.place, max(0, len(text) - self.linked), self.open[-1]))
             self.tags = 0
         self.text, self.linked = [], 0
 
@@ -140,7 +148,7 @@ class Lines(HTMLParser):
         if self.place != (self.stack[k - 1][3] if k else None):
             self.cut()
         self.links -= sum(name == "a" for name, *_ in self.stack[k:])
-        del self.stack[k:]
+        del self.stack[k:], self.open[k + 1 :]
         self.at, self.place = self.stack[-1][2:] if self.stack else (None, None)
 
     def chain(self, place: int | None):
@@ -183,6 +191,8 @@ class Lines(HTMLParser):
                 self.holds_main.update(self.chain(self.place))
         self.links += tag == "a"
         self.stack.append((tag, out, self.at, self.place))
+        self.nodes.append((tag, self.open[-1], len(self.open)))
+        self.open.append(len(self.nodes) - 1)
 
     def parse_comment(self, i, report=1):
         """A comment without an end takes the rest of the page."""
@@ -238,15 +248,38 @@ def parsed(page: str) -> Lines:
 
 def clusters(lines: list[Line]) -> tuple[list[float], float, list[bool]]:
     """Ratio of each line, their smoothed mean, and which lines reach the threshold."""
-    raw = [len(x.text) / x.tags for x in lines]
+    raw = [min(ENOUGH, x.unlinked / x.tags) for x in lines]
     ratios = smooth(raw)
     mean = sum(ratios) / len(ratios)
     threshold = math.sqrt(sum((x - mean) ** 2 for x in ratios) / len(ratios))
-    while max(ratios) < threshold:
-        threshold /= 2
+    threshold = min(threshold, mean / 2)
     return raw, mean, [x >= threshold for x in ratios]
 
 
+def common(nodes: list[tuple[str, int, int]], some: list[int]) -> int:
+    """The nearest part of the page around all of these elements."""
+    at = some[0]
+    for other in some[1:]:
+        while at != other:
+            if nodes[at][2] >= nodes[other][2]:
+                at = nodes[at][1]
+            else:
+                other = nodes[other][1]
+    while nodes[at][0] not in PART:
+        at = nodes[at][1]
+    return at
+
+
+def below(nodes: list[tuple[str, int, int]], node: int, top: int) -> int | None:
+    """The element of those right in `top` that a node stands in, `top` if in none, `None` if outside."""
+    if node == top:
+        return top
+    depth = nodes[top][2] + 1
+    while nodes[node][2] > depth:
+        node = nodes[node][1]
+    return node if nodes[node][1] == top and node else None
+
+
 def kept_lines(page: Lines) -> list[Line]:
     """Lines outside all places, and of the places that hold a main element or most of the text."""
     lines = page.lines
@@ -274,7 +307,8 @@ def extract_text(page: str | None) -> str:
     """The article's blocks, joined by newlines."""
     if not page:
         return ""
-    lines = kept_lines(parsed(page))
+    parser = parsed(page)
+    lines, nodes = kept_lines(parser), parser.nodes
     if not lines:
         return ""
     raw, mean, content = clusters(lines)
@@ -284,7 +318,16 @@ def extract_text(page: str | None) -> str:
     # Smoothing lends weight to a run's neighbours; its ends must have some of their own.
     ends = [k for k, yes in enumerate(content) if yes and raw[k] >= mean / 4] or [k for k, yes in enumerate(content) if yes]
     first, last = ends[0], ends[-1]
-    return "\n".join(x.text for x in lines[first : last + 1])
+    top = common(nodes, [lines[k].node for k in ends])
+    parts = [below(nodes, x.node, top) for x in lines]
+    if nodes[top][0] in ("html", "body"):
+        # No element holds just the content: parts of the page before and after it go, and lists of links; headings and paragraphs stay.
+        dense = {parts[k] for k in ends} - {top}
+        parts = [
+            part if first <= k <= last or part in dense or part is not None and 2 * x.unlinked > len(x.text) and (part == top or nodes[part][0] not in PART) else None
+            for k, (x, part) in enumerate(zip(lines, parts))
+        ]
+    return "\n".join(x.text for x, part in zip(lines, parts) if part is not None)
 
 
 def extract(pages: DataFrame, html: str = "html", out: str = "text") -> DataFrame:

@@ -195,3 +195,15 @@ def test_every_region_with_text_is_kept_whole():
     assert html.extract_text(f"<body>{menu}<article><p>{one}</p></article><article><p>{two}</p></article></body>") == f"{one}\n{two}"
     assert html.extract_text(f"<body>{menu}<article><p>{one}</p><article><p>{two}</p></article><p>end</p></article></body>") == f"{one}\n{two}\nend"
     assert html.extract_text(f"<body>{menu}<div role=main><p>lead</p><article><p>{two}</p></article></div></body>") == f"lead\n{two}"
+
+
+@pytest.mark.parametrize("longest", [400, 3_000, 20_000, 1_000_000])
+@pytest.mark.parametrize("wrap", ["<p>{}</p>", "<div><p>{}</p></div>", "<section><h2>Part</h2><p>{}</p></section>"])
+def test_one_long_paragraph_does_not_cut_the_others(longest, wrap):
+    paragraphs = [("text %d " % k * longest)[: longest if k == 10 else 400].strip() for k in range(21)]
+    inner = "<h1>A heading of the page, of forty letters</h1>" + "".join(wrap.format(x) for x in paragraphs)
+    expected = "\n".join(["A heading of the page, of forty letters", *[x for p in paragraphs for x in (["Part", p] if "Part" in wrap else [p])]])
+    menu = "<div>" + "".join(f"<div><a href=/{k}>menu {k}</a></div>" for k in range(30)) + "</div>"
+    assert html.extract_text(f"<body>{inner}</body>") == expected
+    assert html.extract_text(f"<body>{menu}<div>{inner}</div>{menu}</body>") == expected
+    assert html.extract_text(f"<body>{menu}{inner}{menu}</body>") == expected

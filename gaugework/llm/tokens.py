@@ -112,6 +112,9 @@ class Encoder:
     feed between two words stands alone. So words are encoded by the library
     once and remembered. A text with other white space next to a space or a
     line feed, and any text under another kind of tokenizer, is encoded whole.
+
+    The spelling of a special token in a text is ordinary text, unlike the
+    library's default: no document can write the token itself.
     """
 
     def __init__(self, path: str, end_id: int):

@@ -10,7 +10,8 @@ segmentation, so rare spellings share evidence over all ways to read them.
 Training is expectation maximisation on words counted by language. It reads a
 bounded sample: about `per_language` documents of each language (those whose id
 hash falls under per_language / documents of that language). Prediction reads
-every whole text; a word is scored once per worker while it stays cached.
+every whole text, each word whole, scaled so that no probability underflows; a
+word of up to MAX_WORD letters is scored once per worker while it stays cached.
 
 Defined results: a null text, or one without a letter, is `und` with score 0;
 where nothing could be learned every text is `und`. Equal scores go to the
@@ -35,9 +36,10 @@ from gaugework.llm.common import small_batches
 MARK = "▁"
 PER_LANGUAGE = 1500
 ROUNDS = 3
-MAX_PIECE = 10
-#: Words longer than this are scored in pieces of this length; no letter is left out.
+#: Longer words are scored whole, alone and without a cache; training counts them in cuts of this length.
 MAX_WORD = 40
+#: From this position on, probabilities are scaled at every RESCALE-th one, so that none underflows.
+UNSCALED, RESCALE = 16, 4
 #: Words that a worker remembers.
 CACHE_WORDS = 300_000
 #: Weight of one unseen character, beside pieces' counts.
@@ -47,7 +49,7 @@ LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def vocabulary(path: str) -> list[str]:
-    """Pieces of letters, at most MAX_PIECE long, in the model's order."""
+    """Pieces of letters in the model's order."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -55,7 +57,7 @@ def vocabulary(path: str) -> list[str]:
     for i in range(model.get_piece_size()):
         piece = model.id_to_piece(i).lower()
         body = piece.removeprefix(MARK)
-        if body and len(piece) <= MAX_PIECE and body.isalpha():
+        if body and body.isalpha():
             found.setdefault(piece, None)
     found.setdefault(MARK, None)
     return list(found)
@@ -76,18 +78,19 @@ class Lattice:
         self.ids = {p: k for k, p in enumerate(pieces)}
         self.none = len(pieces) + 1
         self.char = len(pieces)  # any one character that is no piece
+        self.reach = max(map(len, pieces), default=1)
         self.begin = {p[:k] for p in pieces for k in range(1, len(p) + 1)}
 
     def build(self, words: list[str]) -> np.ndarray:
         """For words of one length."""
         n = len(words[0]) + 1
-        out = np.full((len(words), n, min(MAX_PIECE, n)), self.none, dtype=np.int32)
+        out = np.full((len(words), n, min(self.reach, n)), self.none, dtype=np.int32)
         ids, begin, char, none = self.ids, self.begin, self.char, self.none
         for w, word in enumerate(words):
             word = MARK + word
             for i in range(n):
                 row = out[w, i]
-                for k in range(i + 1, min(n, i + MAX_PIECE) + 1):
+                for k in range(i + 1, min(n, i + self.reach) + 1):
                     piece = word[i:k]
                     if piece not in begin:
                         break
@@ -99,14 +102,28 @@ class Lattice:
         return out
 
 
-def forward(lattice: np.ndarray, prob: np.ndarray) -> np.ndarray:
-    """alpha[position, word, language]: probability of all segmentations up to there."""
+def forward(lattice: np.ndarray, prob: np.ndarray, shift: np.ndarray | None = None) -> np.ndarray:
+    """alpha[position, word, language]: probability of all segmentations up to there.
+
+    With `shift`, zeros of the same shape, true values are alpha * exp(shift).
+    """
     words, n, reach = lattice.shape
+    none = len(prob) - 1
     alpha = np.zeros((n + 1, words, prob.shape[1]))
     alpha[0] = 1
     for end in range(1, n + 1):
-        for size in range(1, min(reach, end) + 1):
-            alpha[end] += alpha[end - size] * prob[lattice[:, end - size, size - 1]]
+        alpha[end] = alpha[end - 1] * prob[lattice[:, end - 1, 0]]
+        for size in range(2, min(reach, end) + 1):
+            ids = lattice[:, end - size, size - 1]
+            at = np.flatnonzero(ids != none)
+            if len(at):
+                alpha[end, at] += alpha[end - size, at] * prob[ids[at]]
+        if shift is not None:
+            shift[end] = shift[end - 1]
+            if end >= UNSCALED and end % RESCALE == 0:
+                begin, by = max(0, end - reach + 1), alpha[end].copy()
+                alpha[begin : end + 1] /= by
+                shift[begin : end + 1] = shift[end] + np.log(by)
     return alpha
 
 
@@ -133,9 +150,36 @@ class Model:
         """Log probability of each word in each language."""
         out = np.empty((len(words), len(self.languages)), dtype=np.float64)
         for at in by_length(words):
-            out[at] = np.log(forward(lattice.build([words[k] for k in at]), self.prob)[-1])
+            built = lattice.build([words[k] for k in at])
+            shift = np.zeros((built.shape[1] + 1, len(at), len(self.languages))) if built.shape[1] >= UNSCALED else None
+            found = np.log(forward(built, self.prob, shift)[-1])
+            out[at] = found if shift is None else found + shift[-1]
         return out
 
+    def long_score(self, lattice: Lattice, word: str) -> np.ndarray:
+        """The same of one word of any length, in memory that does not grow with it."""
+        word = MARK + word
+        slots, n = lattice.reach + 1, len(word)
+        window, shift = np.zeros((slots, len(self.languages))), np.zeros(len(self.languages))
+        window[0] = 1
+        for i in range(n):
+            here = window[i % slots]
+            if i and i % RESCALE == 0:
+                by = here.copy()
+                window /= by
+                shift += np.log(by)
+            if word[i] not in lattice.ids:
+                window[(i + 1) % slots] += here * self.prob[lattice.char]
+            for k in range(i + 1, min(n, i + lattice.reach) + 1):
+                piece = word[i:k]
+                if piece not in lattice.begin:
+                    break
+                found = lattice.ids.get(piece)
+                if found is not None:
+                    window[k % slots] += here * self.prob[found]
+            here[:] = 0
+        return np.log(window[n % slots]) + shift
+
 
 def fit(counts: list[tuple[str, str, int]], pieces: list[str], documents: dict[str, int], rounds: int = ROUNDS) -> Model:
     """Expectation maximisation from (language, word, count)."""
@@ -155,17 +199,24 @@ def fit(counts: list[tuple[str, str, int]], pieces: list[str], documents: dict[s
     for _ in range(rounds if words else 0):
         expected = np.zeros_like(prob)
         for k, lat in built:
-            alpha = forward(lat, prob)
             n, reach = lat.shape[1:]
+            shift = np.zeros((n + 1, len(k), prob.shape[1])) if n >= UNSCALED else None
+            alpha = forward(lat, prob, shift)
             beta = np.zeros_like(alpha)
             beta[n] = weight[k] / alpha[n]
             for start in range(n - 1, -1, -1):
                 for step in range(1, min(reach, n - start) + 1):
-                    flow = beta[start + step] * prob[lat[:, start, step - 1]]
-                    beta[start] += flow
-                    flow = flow * alpha[start]
+                    ids = lat[:, start, step - 1]
+                    at_ids = np.flatnonzero(ids != size - 1)
+                    if not len(at_ids):
+                        continue
+                    flow = beta[start + step, at_ids] * prob[ids[at_ids]]
+                    if shift is not None:
+                        flow *= np.exp(shift[start, at_ids] - shift[start + step, at_ids])
+                    beta[start, at_ids] += flow
+                    flow = flow * alpha[start, at_ids]
                     for c in range(len(languages)):
-                        expected[:, c] += np.bincount(lat[:, start, step - 1], flow[:, c], size)
+                        expected[:, c] += np.bincount(ids[at_ids], flow[:, c], size)
         expected += SMOOTH
         expected[-1] = 0
         prob = expected / expected.sum(0)
@@ -232,17 +283,20 @@ class Scorer:
         names, scores = [], []
         for k in range(0, len(texts), 500):
             some = [[] if not t else words_of(t) for t in texts[k : k + 500]]
-            some = [w if all(len(x) <= MAX_WORD for x in w) else [p for x in w for p in split_long(x)] for w in some]
-            flat = [w for words in some for w in words]
-            rows = self.rows(flat) if flat and self.model.languages else None
+            flat = [w for words in some for w in words if len(w) <= MAX_WORD]
+            rows = self.rows(flat) if self.model.languages else None
             begin = 0
             for words in some:
                 if not words or rows is None:
                     names.append(UND)
                     scores.append(0.0)
                     continue
-                total = rows[begin : begin + len(words)].sum(0) + self.model.log_prior
-                begin += len(words)
+                long = [w for w in words if len(w) > MAX_WORD]
+                end = begin + len(words) - len(long)
+                total = rows[begin:end].sum(0) + self.model.log_prior
+                begin = end
+                for word in long:
+                    total = total + self.model.long_score(self.lattice, word)
                 best = int(total.argmax())
                 names.append(self.model.languages[best])
                 scores.append(float(1 / np.exp(total - total[best]).sum()))

@@ -207,3 +207,20 @@ def test_one_long_paragraph_does_not_cut_the_others(longest, wrap):
     assert html.extract_text(f"<body>{inner}</body>") == expected
     assert html.extract_text(f"<body>{menu}<div>{inner}</div>{menu}</body>") == expected
     assert html.extract_text(f"<body>{menu}{inner}{menu}</body>") == expected
+
+
+def test_words_are_scored_whole_without_underflow():
+    pieces = language.vocabulary(VOCABULARY)
+    assert max(map(len, pieces)) > 10 and {"▁information", "▁government", "▁university"} <= set(pieces)
+    model = language.fit([("a", "xyxyxy", 50), ("a", "ክ" * 40, 1), ("b", "zzzzzz", 50), ("b", "xy", 5)], ["▁", "x", "y", "z", "xyxyxyxyxyxy", "xyx"], {"a": 1, "b": 1})
+    assert np.isfinite(model.prob).all() and (model.prob[:-1] > 0).all()
+    lattice = language.Lattice(model.pieces)
+    for word in ("xy" * 7, "xy" * 20, "ክ" * 40, "xyz" * 13, "zክxyxyx" * 5):
+        log = [np.zeros(2)]  # the sum over all segmentations, in logs
+        marked = "▁" + word
+        for end in range(1, len(marked) + 1):
+            ways = [log[k] + np.log(model.prob[lattice.ids.get(marked[k:end], lattice.char)]) for k in range(end) if marked[k:end] in lattice.ids or end - k == 1]
+            log.append(np.logaddexp.reduce(ways))
+        assert model.word_scores(lattice, [word])[0] == pytest.approx(log[-1]) and model.long_score(lattice, word) == pytest.approx(log[-1])
+    names, scores = language.Scorer(model).posteriors(["ክ" * 3000 + " zzzzzz" * 9000, "xy" * 21, "ክ" * 39])
+    assert names[0] == "b" and all(0.5 <= x <= 1 for x in scores)

@@ -15,11 +15,14 @@ from gaugework.session import importable  # noqa: F401
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors and the driver reach: spark.checkpoint.dir.
 
-    Only where that setting is missing (tests on one machine) a temporary
-    folder is made and kept for the session.
+    Only on one machine (a local master, as in tests) a missing setting gets a
+    temporary folder, kept for the session; a cluster without one is an error,
+    as each executor would write to a disk of its own.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors and the driver reach")
         found = "file://" + tempfile.mkdtemp(prefix="gaugework-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -58,13 +61,16 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def fresh(df: DataFrame, stem: str) -> str:
-    """A column name that df does not have, so that clashing extra columns do no harm."""
-    taken = {c.lower() for c in df.columns}
-    name = stem
-    while name.lower() in taken:
-        name = "_" + name
-    return name
+def fresh_names(df: DataFrame, *stems: str) -> list[str]:
+    """Column names that df does not have, whatever the case, so that extra columns of any name do no harm."""
+    taken, names = {c.lower() for c in df.columns}, []
+    for stem in stems:
+        name = f"__{stem}"
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        names.append(name)
+    return names
 
 
 def tasks_for(spark: SparkSession) -> int:

@@ -1,154 +1,79 @@
 """Sharding by histogram sort: shards of nearly equal bytes from exact counts.
 
-Every row has the key (hash of its text, id); in key order, shard boundaries
-cut the running sum of bytes at equal parts. To find them, rounds count the
-exact bytes and rows between candidate keys, on the executors, and put new
-candidates only into the interval where a boundary must lie, between the least
-and the greatest key seen there; they stop when each boundary is within
-`tolerance` of its target or its interval holds one key. Boundaries that split
-a shard into ranges of bounded size are found in the same rounds, so the rows
-are exchanged once, by range, and numbered inside it with the exact number of
-rows before.
-
-Equal texts are neighbours in key order, so they stay together unless a
-boundary cuts through a group larger than what is left of a shard. The driver
-holds candidates and counts, a few per boundary, whatever the corpus.
-
-Defined results: a null text has size 1 and sorts by a hash of its own; rows of
-equal text and id are not parted, in any order among themselves; an empty table
-gives an empty result. Columns named like an output are replaced.
+Every row has the key (hash of its text, hash of its id); in key order, shard
+boundaries cut the running sum of bytes at equal parts. Rounds of exact counts
+between probes find them (see `ranges`), together with boundaries that split a
+shard into ranges of bounded size, so the rows are exchanged once, each range to
+a task of its own, sorted there, and numbered with the exact number of rows
+before.
+
+Equal texts are neighbours in key order. A boundary that falls into a group of
+equal texts moves to the nearer edge of the group where that is within `spare`
+of a shard's size; only a larger group is cut.
+
+Defined results: a null text has size 1 and sorts by a hash of its own; ids may
+be of any type that can be hashed; rows of equal text and id are not parted and
+stand in the order of a hash of all their columns, so rows that differ have
+fixed slots; a text of any length is one row of one range; an empty table gives
+an empty result. Columns named like an output are replaced. Jobs that find the
+boundaries run when `shard` is called, before its result is used.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugework.llm.common import materialize, tasks_for
-
-TOLERANCE = 0.001
-PROBES = 24
-MAX_ROUNDS = 64
-RANGE_BYTES = 128 * 1024 * 1024
-#: Ranges at most, which bounds what the driver holds; beyond it ranges grow and their sort spills.
-MAX_RANGES = 4096
-LOW = -(1 << 63)
-SPAN = 1 << 64
-
+from gaugework.llm import ranges
+from gaugework.llm.common import fresh_names, materialize, tasks_for
 
-def _pack(h: int, d: int) -> int:
-    """The key as one number of 128 bits."""
-    return (h - LOW) * SPAN + (d - LOW)
-
-
-def _unpack(key: int) -> tuple[int, int]:
-    return key // SPAN + LOW, key % SPAN + LOW
+#: Parts of a shard's size: how far a boundary may lie from its target, and to spare a group of equal texts.
+TOLERANCE, SPARE = 0.001, 0.01
+RANGE_BYTES = ranges.RANGE_BYTES
+ROW_BITS = (1 << 33) - 1
 
 
 def size_of(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
 
 
-def _interval(h: Column, d: Column, bounds: list[int]) -> Column:
-    """How many bounds are at or below the key: binary search in a literal array, inside the row."""
-    if not bounds:
-        return F.lit(0)
-    table = F.array(*[F.struct(F.lit(a).cast("long").alias("h"), F.lit(b).cast("long").alias("d")) for a, b in map(_unpack, bounds)])
-    steps = [1 << k for k in range(len(bounds).bit_length() - 1, -1, -1)]
-    key = F.struct(h.alias("h"), d.alias("d"))
-    return F.aggregate(
-        F.array(*map(F.lit, steps)),
-        F.lit(0),
-        lambda low, step: F.when((low + step <= len(bounds)) & (F.get(table, low + step - 1) <= key), low + step).otherwise(low),
-    )
-
-
-def splitters(keys: DataFrame, targets_of, tolerance: float = TOLERANCE, probes: int = PROBES) -> tuple[list[int], list[int], int]:
-    """Boundary keys, exact rows below each, and rounds.
-
-    keys: h, d, size. targets_of(total bytes, rows) gives the running byte sums
-    to cut at, and the allowed distance of each.
-    """
-    edge = keys.agg(F.sum("size").alias("b"), F.count("*").alias("n"), F.min(F.struct("h", "d")).alias("lo"), F.max(F.struct("h", "d")).alias("hi")).first()
-    if not edge["n"]:
-        return [], [], 0
-    targets, slack = targets_of(edge["b"], edge["n"])
-    low, high = _pack(*edge["lo"]), _pack(*edge["hi"])
-    # Of each target: the interval [first key, last key] that holds its boundary, with exact bytes and rows below it.
-    state = [{"lo": low, "hi": high, "b": 0, "n": 0, "done": None} for _ in targets]
-    for rounds in range(1, MAX_ROUNDS + 1):
-        bounds = set()
-        for s in state:
-            if s["done"] is None:
-                width = s["hi"] - s["lo"] + 1
-                bounds.add(s["lo"])
-                bounds.add(s["hi"] + 1)
-                bounds |= {s["lo"] + width * k // probes for k in range(1, probes)}
-        bounds = sorted(b for b in bounds if b < SPAN * SPAN)
-        if not bounds:
-            break
-        found = (
-            keys.groupBy(_interval(F.col("h"), F.col("d"), bounds).alias("k"))
-            .agg(F.sum("size").alias("b"), F.count("*").alias("n"), F.min(F.struct("h", "d")).alias("lo"), F.max(F.struct("h", "d")).alias("hi"))
-            .collect()
-        )  # one row a candidate
-        cells, b, n = [], 0, 0
-        for r in sorted(found, key=lambda r: r["k"]):
-            cells.append((b, n, b + r["b"], n + r["n"], _pack(*r["lo"]), _pack(*r["hi"])))
-            b, n = b + r["b"], n + r["n"]
-        for s, target, room in zip(state, targets, slack):
-            if s["done"] is not None:
-                continue
-            at = next(c for c in cells if c[2] >= target)
-            below, above = target - at[0], at[2] - target
-            if min(below, above) <= room or at[4] == at[5]:
-                # The nearer end of the cell; a cell of one key cannot be cut.
-                s["done"] = (at[4], at[1]) if below <= above else (at[5] + 1, at[3])
-            else:
-                s |= {"lo": at[4], "hi": at[5]}
-        if all(s["done"] is not None for s in state):
-            break
-    done = [s["done"] if s["done"] is not None else (s["hi"] + 1, 0) for s in state]
-    if any(s["done"] is None for s in state):
-        raise RuntimeError(f"no boundaries after {MAX_ROUNDS} rounds")
-    return [k for k, _ in done], [n for _, n in done], rounds
-
-
-def shard(docs: DataFrame, shards: int = 8, text: str = "text", doc_id: str = "doc_id", tolerance: float = TOLERANCE, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def shard(
+    docs: DataFrame, shards: int = 8, text: str = "text", doc_id: str = "doc_id", tolerance: float = TOLERANCE, spare: float = SPARE, range_bytes: int = RANGE_BYTES
+) -> DataFrame:
     """docs with `size`, `shard` (0 to shards - 1) and `slot` (0, 1, ... within the shard, in key order)."""
     spark = docs.sparkSession
-    docs = docs.drop(*[c for c in docs.columns if c.lower() in ("size", "shard", "slot", "__h", "__d", "__range")])
-    # Integer ids order as they are, others by hash.
-    kind = docs.schema[doc_id].dataType
-    id_key = F.col(doc_id).cast("long") if isinstance(kind, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)) else F.xxhash64(doc_id)
-    keyed = docs.withColumns({"__h": F.xxhash64(text), "__d": F.coalesce(id_key, F.lit(LOW)), "size": size_of(F.col(text))})
-    keys = materialize(keyed.select(F.col("__h").alias("h"), F.col("__d").alias("d"), "size"), "shard-keys")
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in ("size", "shard", "slot")])
+    h, d, place, row = fresh_names(docs, "h", "d", "range", "row")
+    hashable = [f"`{f.name}`" for f in docs.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    keyed = docs.withColumns({h: F.xxhash64(F.col(text).cast("string")), d: F.xxhash64(doc_id), "size": size_of(F.col(text).cast("string"))})
+    keys = materialize(keyed.select(F.col(h).alias("h"), F.col(d).alias("d"), "size"), "shard-keys")
+    pieces = 1
 
-    def targets_of(total: int, rows: int):
+    def cuts_of(total: int, rows: int) -> list[ranges.Cut]:
         nonlocal pieces
-        pieces = max(1, math.ceil(total / shards / range_bytes), math.ceil(2 * tasks_for(spark) / shards))
-        pieces = max(1, min(pieces, MAX_RANGES // shards))
-        count = shards * pieces
-        cuts = [total * k // count for k in range(1, count)]
-        # Only shard boundaries need to be close; ranges inside a shard may differ by a tenth.
-        return cuts, [int(total / shards * tolerance) if k % pieces == 0 else int(total / count * 0.1) for k in range(1, count)]
-
-    pieces = 1
-    bounds, rows, _ = splitters(keys, targets_of, tolerance)
-    cuts = sorted(set(bounds))
-    before = dict(zip(bounds, rows))
-    shard_cuts = [bounds[k * pieces - 1] for k in range(1, shards)] if bounds else []
+        pieces = max(1, math.ceil(total / shards / range_bytes), math.ceil(min(2 * tasks_for(spark), rows) / shards))
+        count, part = shards * pieces, total // shards
+        # Only shard boundaries need to be close; ranges inside a shard may differ by a quarter.
+        loose = total // (4 * count)
+        return [ranges.Cut(total * k // count, *((int(part * tolerance), int(part * spare)) if k % pieces == 0 else (loose, loose))) for k in range(1, count)]
+
+    bounds, before = ranges.splitters(keys, cuts_of)
+    rows_below = dict(zip(bounds, before))
+    cuts = sorted(rows_below)
+    heads = sorted((bounds[k * pieces - 1] for k in range(1, shards)) if bounds else [])
     # Of each range: its shard, and rows before it in that shard.
-    table = []
-    for start in [None, *cuts]:
-        number = sum(1 for c in shard_cuts if start is not None and c <= start)
-        first = max((c for c in shard_cuts if start is not None and c <= start), default=None)
-        table.append((number, (before[start] if start is not None else 0) - (before[first] if first is not None else 0)))
-    of = F.array(*[F.struct(F.lit(a).alias("shard"), F.lit(b).cast("long").alias("base")) for a, b in table])
-    ranged = keyed.withColumn("__range", _interval(F.col("__h"), F.col("__d"), cuts))
-    place = Window.partitionBy("__range").orderBy("__h", "__d")
-    numbered = ranged.withColumn("slot", F.row_number().over(place).cast("long") - 1)
-    return numbered.withColumns({"shard": F.get(of, F.col("__range"))["shard"], "slot": F.col("slot") + F.get(of, F.col("__range"))["base"]}).drop("__h", "__d", "__range")
+    table, number, base = [(0, 0)], 0, 0
+    for cut in cuts:
+        while number < len(heads) and heads[number] <= cut:
+            number, base = number + 1, rows_below[cut]
+        table.append((number, rows_below[cut] - base))
+    shard_of, base_of = (F.split(F.lit(",".join(str(x[k]) for x in table)), ",").cast("array<bigint>") for k in (0, 1))
+    dealt = ranges.deal(keyed, F.col(h), F.col(d), cuts).sortWithinPartitions(h, d, F.xxhash64(*hashable))
+    # A row's place in its sorted partition; partitions are ranges.
+    numbered = dealt.withColumn(row, F.monotonically_increasing_id()).withColumn(place, F.shiftright(row, 33).cast("int"))
+    return numbered.withColumns(
+        {"shard": F.get(shard_of, F.col(place)).cast("int"), "slot": F.col(row).bitwiseAND(F.lit(ROW_BITS)) + F.get(base_of, F.col(place))}
+    ).drop(h, d, place, row)

@@ -12,16 +12,21 @@ document reads the trailer, the index and one frame. Frames hold ids of 2 or 4
 bytes, little-endian, as the vocabulary needs.
 
 The dictionary is trained on serialized id arrays of `sample` documents at most
-(the first that a scan gives, at most SAMPLE_IDS ids of SAMPLE_CHARS characters of each): a bounded sample
+(those of the least hashes, at most SAMPLE_IDS ids of SAMPLE_CHARS characters of each): a bounded sample
 that changes sizes, never contents. Where it is too small to train, frames have
 no dictionary and its hash is that of no bytes.
 
-Documents are dealt by ranges of id and sorted inside a partition, so no task
-holds more than its range; a text is encoded once, after that single exchange.
+Documents are dealt by exact ranges of (id, hash of the text), at most about
+PART_BYTES of text each, and sorted inside a partition, so no task holds more
+than its range, a hot id is split, and the same rows under the same settings
+give the same files; a text is encoded once, after that single exchange. The
+jobs that train and write run when `write_store` is called.
 
 Defined results: a null text is empty and has just the end id; null ids come
-first; repeated rows are stored each, those of one id by text. An empty table
-gives a store without documents. Extra columns are not stored.
+first; repeated rows are stored each, those of one id by the hash of their text;
+a text of any length is one frame, encoded whole; ids that are no whole numbers
+are refused. An empty table gives a store without documents. Extra columns of
+any name are not stored.
 """
 
 from __future__ import annotations
@@ -32,6 +37,7 @@ import json
 import os
 import re
 import struct
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,19 +46,25 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gaugework.llm import storage
-from gaugework.llm.common import small_batches, tasks_for
+from gaugework.llm import ranges, storage
+from gaugework.llm.common import materialize, small_batches, tasks_for
 
 MAGIC = b"GWTOKEN1"
 SAMPLE, SAMPLE_IDS, DICT_BYTES, LEVEL = 1000, 2048, 65_536, 1
 ENCODE_CHARS = 1_000_000
 SAMPLE_CHARS = 10_000
+#: Columns of a part's index: name, array code of 8 bytes or 1, little-endian in the file.
+INDEX = (("id", "q"), ("null", "B"), ("offset", "Q"), ("length", "Q"), ("n", "Q"))
 #: Words that a worker remembers with their ids.
 CACHE_WORDS = 300_000
 #: Latin letters, the same in every Unicode version, and marks of ASCII after them.
 LATIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@[-`{-~]*)")
-YIELD_BYTES = 4_000_000
+#: Bytes of text, and of index, of a part, about; bytes that a reader asks for at a time.
+PART_BYTES = 512 * 1024 * 1024
+INDEX_BYTES = 64
+READ_BYTES = YIELD_BYTES = 4_000_000
 #: Rows of a batch that a task turns to Python strings at a time.
 SLICE = 500
 
@@ -68,6 +80,10 @@ def _spelling() -> dict[int, str]:
 SPELLING = _spelling()
 
 
+#: Words, marks and letters that must come out the same by words and whole.
+PROBE = ["The quick brown fox's tail, don't!", "Éa ß ñandú d'été.\nfoo### x12 (a-b) 3.14", "über-straße …漢字 ☃ ĳ ǅ İI ﬁ", "a_b __c__ 'll 's A's"]
+
+
 class Uncut(Exception):
     """A word whose white space may belong to the white space that it was cut at."""
 
@@ -111,10 +127,9 @@ class Encoder:
     those of its words in turn, a word taking the one space before it; a line
     feed between two words stands alone. So words are encoded by the library
     once and remembered. A text with other white space next to a space or a
-    line feed, and any text under another kind of tokenizer, is encoded whole.
-
-    The spelling of a special token in a text is ordinary text, unlike the
-    library's default: no document can write the token itself.
+    line feed, one that spells an added token of the file, and any text under
+    another kind of tokenizer, is encoded whole. PROBE is encoded both ways when
+    the file is loaded; where they differ, every text is encoded whole.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -122,18 +137,24 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.dtype = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 65_536 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
         before = json.loads(self.tokenizer.to_str())
         pre = before.get("pre_tokenizer") or {}
-        self.by_word = before.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
+        model = before.get("model") or {}
+        self.by_word = (
+            before.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
+            and model.get("type") == "BPE" and not model.get("dropout") and not model.get("ignore_merges")
+        )
+        self.added = [x["content"] for x in before.get("added_tokens") or []]
         self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
         self.feed = self._whole(["\n"])[0]
         self.marks: dict[str, bytes] = {}
         self.known = {"": Memory(self, ""), " ": Memory(self, " ")}
+        if self.by_word and [self._words(x) for x in PROBE] != self._whole(PROBE):
+            self.by_word = False
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -164,7 +185,7 @@ class Encoder:
 
         Spaces or line feeds beside each other, or at an end, leave an empty word, which is never known.
         """
-        if not self.by_word:
+        if not self.by_word or any(x in text for x in self.added):
             return None
         first, later = self.known[""], self.known[" "].__getitem__
         try:
@@ -209,8 +230,11 @@ def encoder_of(path: str, end_id: int) -> Encoder:
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, sample: int = SAMPLE, size: int = DICT_BYTES) -> bytes:
     """Dictionary bytes from the serialized ids of a bounded sample; empty where there is too little."""
 
-    head = F.left(F.coalesce("text", F.lit("")), F.lit(SAMPLE_CHARS))
-    rows = docs.select(head.alias("text")).limit(sample).collect()  # at most sample * SAMPLE_CHARS characters
+    # Whole-number hashes of the id thin the scan to about twice the sample; the least hashes of id and text are taken.
+    share = min(1.0, 2 * sample / max(1, docs.count()))
+    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) <= int(share * (1 << 30)))
+    head = F.left(F.coalesce("text", F.lit("")), F.lit(SAMPLE_CHARS)).alias("text")
+    rows = some.select(head, F.xxhash64("doc_id", "text").alias("h")).orderBy("h", "text").limit(sample).collect()  # at most sample * SAMPLE_CHARS characters
     encoder = encoder_of(tokenizer, end_id)
     samples = sorted(x[: SAMPLE_IDS * encoder.dtype.itemsize] for x in encoder([r["text"] for r in rows]))
     if sum(map(len, samples)) < 8 * 1024 or len(samples) < 16:
@@ -221,10 +245,12 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, sample: int =
         return b""
 
 
-def write_store(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, doc_id: str = "doc_id", text: str = "text", partitions: int | None = None, sample: int = SAMPLE) -> dict:
+def write_store(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, doc_id: str = "doc_id", text: str = "text", partitions: int | None = None, sample: int = SAMPLE, part_bytes: int = PART_BYTES) -> dict:
     """Encode docs into a store at `folder` and return its manifest."""
     spark = docs.sparkSession
     small_batches(spark)
+    if not isinstance(docs.schema[doc_id].dataType, T.IntegralType):
+        raise TypeError(f"{doc_id} must be a whole number")
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     shared = train_dictionary(docs, tokenizer, end_id, sample)
     digest = hashlib.sha256(shared).digest()
@@ -233,34 +259,42 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, d
         encoder = encoder_of(tokenizer, end_id)
         compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(shared) if shared else None, write_content_size=True)
         part = TaskContext.get().partitionId()
-        file, offset, index, total = None, 0, [], 0
+        file, offset, total = None, 0, 0
+        index = {name: array.array(code) for name, code in INDEX}
         try:
             for batch in (b.slice(k, SLICE) for b in batches for k in range(0, b.num_rows, SLICE)):
                 for i, ids in zip(batch.column(0).to_pylist(), encoder(["" if t is None else t for t in batch.column(1).to_pylist()])):
                     if file is None:
-                        file = storage.AtomicFile(folder, f"part-{part:05d}.gwt")
+                        file = storage.AtomicFile(folder, f"part-{part:06d}.gwt")
                         file.write(MAGIC + digest)
                         offset = file.size
                     frame, n = compressor.compress(ids), len(ids) // encoder.dtype.itemsize
                     file.write(frame)
-                    index.append((i or 0, i is None, offset, len(frame), n))
+                    for column, value in zip(index.values(), (i or 0, i is None, offset, len(frame), n)):
+                        column.append(value)
                     offset += len(frame)
                     total += n
             if file is None:
                 return
-            columns = np.array(index, dtype=[("id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("length", "<u8"), ("n", "<u8")])
-            for name in columns.dtype.names:
-                file.write(np.ascontiguousarray(columns[name]).tobytes())
-            file.write(struct.pack("<QQ", offset, len(index)) + MAGIC)
+            documents = len(index["id"])
+            for column in index.values():
+                if sys.byteorder == "big":
+                    column.byteswap()
+                file.write(column.tobytes())
+            file.write(struct.pack("<QQ", offset, documents) + MAGIC)
             sha = file.commit()
         except BaseException:
             if file is not None:
                 file.abort()
             raise
-        row = {"part": part, "name": file.name, "documents": len(index), "ids": total, "bytes": file.size, "sha256": sha}
+        row = {"part": part, "name": file.name, "documents": documents, "ids": total, "bytes": file.size, "sha256": sha}
         yield pa.RecordBatch.from_pylist([row])
 
-    dealt = docs.repartitionByRange(partitions or tasks_for(spark), "doc_id").sortWithinPartitions(F.asc_nulls_first("doc_id"), F.xxhash64("text"))
+    # Null ids come first: the key (LOW, hash), as has an id of that number.
+    h, d = F.coalesce("doc_id", F.lit(ranges.LOW)), F.xxhash64("text")
+    keys = materialize(docs.select(h.alias("h"), d.alias("d"), (F.coalesce(F.octet_length("text"), F.lit(0)) + INDEX_BYTES).cast("long").alias("size")), "token-keys")
+    bounds, _ = ranges.splitters(keys, lambda total, n: ranges.even_cuts(total, n, partitions or tasks_for(spark), part_bytes))
+    dealt = ranges.deal(docs, h, d, bounds).sortWithinPartitions(F.asc_nulls_first("doc_id"), d)
     rows = dealt.mapInArrow(write, "part long, name string, documents long, ids long, bytes long, sha256 string").collect()  # one row a file
     parts, start = [], 0
     for r in sorted(rows, key=lambda r: r["part"]):
@@ -275,9 +309,10 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, d
 
 def _index(tail: bytes, count: int) -> dict[str, np.ndarray]:
     found, at = {}, 0
-    for name, kind in (("id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("length", "<u8"), ("n", "<u8")):
+    for name, code in INDEX:
+        kind = np.dtype(code).newbyteorder("<")
         found[name] = np.frombuffer(tail, kind, count, at)
-        at += count * np.dtype(kind).itemsize
+        at += count * kind.itemsize
     return found
 
 
@@ -301,6 +336,14 @@ class Part:
         frame = self.file.read_at(int(self.index["length"][k]), int(self.index["offset"][k]))
         return np.frombuffer(self.decompressor.decompress(frame), self.dtype)
 
+    def all_ids(self) -> Iterator[np.ndarray]:
+        """The ids of every document in turn; the file is read in blocks of READ_BYTES or a frame, once."""
+        block, begin, last = b"", 0, int(self.index["offset"][-1] + self.index["length"][-1]) if len(self.index["id"]) else 0
+        for at, length in zip(self.index["offset"].tolist(), self.index["length"].tolist()):
+            if at + length > begin + len(block):
+                block, begin = self.file.read_at(min(max(length, READ_BYTES), last - at), at), at
+            yield np.frombuffer(self.decompressor.decompress(block[at - begin : at - begin + length]), self.dtype)
+
     def close(self) -> None:
         self.file.close()
 
@@ -318,8 +361,7 @@ def read_store(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             for name, start in zip(*(batch.column(i).to_pylist() for i in (0, 1))):
                 part, rows, held = Part(folder, name, shared, width), [], 0
-                for k in range(len(part.index["id"])):
-                    ids = part.ids(k)
+                for k, ids in enumerate(part.all_ids()):
                     if len(ids) != part.index["n"][k]:
                         raise ValueError(f"{name}: document {k} has {len(ids)} ids")
                     rows.append((None if part.index["null"][k] else int(part.index["id"][k]), start, len(ids), ids.astype("<u4").tobytes()))

@@ -5,11 +5,12 @@ page into lines, and each line has its text, its number of tags and the
 containers that it stands in. The ratio of text outside links to tags of each
 line, ENOUGH at most, is smoothed with a Gaussian over the neighbouring lines,
 and lines above the threshold (the standard deviation of the smoothed ratios,
-half their mean at most) cluster into content. The content is every outermost article or
-main element that holds clustered text, whole, with the elements nested in it
-(all of them, where none holds any), or, on a page without one, the innermost
-container of all clusters, whole; where that is the page itself, the run of
-clusters with the headings and paragraphs around it.
+half their mean at most) cluster into content. The clustered text, weighted by
+its ratio, decides which elements are content: every outermost article or main
+element that holds some, whole, with the elements nested in it, where these hold
+at least a third of it; else the innermost container of all clusters, whole, or,
+where that is the page itself, the run of clusters with the headings and
+paragraphs around it.
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments are left out by element, role or whole class name wherever they
 stand; a form, or an element with the name of a place (sidebar, header), stays
@@ -61,11 +62,15 @@ ID_TAG = frozenset("center div dl ol table tbody td ul".split())
 IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("article aside blockquote body div dl fieldset figure footer form header html main menu nav ol section table ul".split())
 REGION = frozenset(("article", "main"))
+#: Elements of a head; any other one ends it, with or without an end tag.
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 #: Elements that make a page's parts; others stand within a part's text.
 PART = frozenset("html body center div main article section td table tbody tr".split())
 SIGMA = 1.0
 #: A line of so many characters a tag is text beyond doubt; more count no more, so that one long line does not lift the threshold.
 ENOUGH = 80
+#: Clustered text of an article or main element counts so many times against clustered text outside all of them.
+REGION_WEIGHT = 2.0
 SPLIT = re.compile(r"[^a-z0-9]+")
 
 
@@ -169,6 +174,8 @@ class Lines(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
+        if self.stack and self.stack[-1][0] == "head" and tag not in HEAD:
+            self.pop_to(len(self.stack) - 1)
         if tag in BLOCK:
             self.cut()
             self.close_open({"p"})
@@ -312,8 +319,11 @@ def extract_text(page: str | None) -> str:
     if not lines:
         return ""
     raw, mean, content = clusters(lines)
-    regions = {x.region for x, yes in zip(lines, content) if yes and x.region is not None} or {x.region for x in lines if x.region is not None}
-    if regions:
+    # Clustered characters, each with the weight of its line's ratio, in and outside article and main elements.
+    mass = [x.unlinked * min(1.0, r / ENOUGH) if yes else 0.0 for x, r, yes in zip(lines, raw, content)]
+    inside = sum(m for x, m in zip(lines, mass) if x.region is not None)
+    if inside and REGION_WEIGHT * inside >= sum(mass) - inside:
+        regions = {x.region for x, yes in zip(lines, content) if yes and x.region is not None}
         return "\n".join(x.text for x in lines if x.region in regions)
     # Smoothing lends weight to a run's neighbours; its ends must have some of their own.
     ends = [k for k, yes in enumerate(content) if yes and raw[k] >= mean / 4] or [k for k, yes in enumerate(content) if yes]

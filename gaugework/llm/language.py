@@ -7,13 +7,16 @@ the sum over all of its segmentations into pieces, by a forward recursion, and
 that of a text the product over its words. Nothing depends on one best
 segmentation, so rare spellings share evidence over all ways to read them.
 
-Training is expectation maximisation on words counted by language. It reads a
-bounded sample: about `per_language` documents of each language (those whose id
-hash falls under per_language / documents of that language). Prediction reads
+Training is expectation maximisation on words counted by language, when `train`
+is called. It reads a bounded sample: about `per_language` documents of each of
+the `max_languages` most frequent labels (those whose id hash falls under
+per_language / documents of that label), SAMPLE_CHARS characters of each.
+The driver holds the sample's distinct words and their pieces in flat arrays. Prediction reads
 every whole text, each word whole, scaled so that no probability underflows; a
 word of up to MAX_WORD letters is scored once per worker while it stays cached.
 
-Defined results: a null text, or one without a letter, is `und` with score 0;
+Defined results: a null text, or one without a letter (Unicode category L), is
+`und` with score 0; a text, or a word, of any length is scored whole;
 where nothing could be learned every text is `und`. Equal scores go to the
 language that sorts first. Rows with null lang are never learned from; repeated
 rows count as often as they occur. Extra columns pass through.
@@ -22,6 +25,7 @@ rows count as often as they occur. Extra columns pass through.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from dataclasses import dataclass
 
@@ -35,6 +39,10 @@ from gaugework.llm.common import small_batches
 
 MARK = "▁"
 PER_LANGUAGE = 1500
+MAX_LANGUAGES = 256
+SAMPLE_CHARS = 100_000
+#: Words in arrays at a time.
+BLOCK = 2_000
 ROUNDS = 3
 #: Longer words are scored whole, alone and without a cache; training counts them in cuts of this length.
 MAX_WORD = 40
@@ -45,7 +53,9 @@ CACHE_WORDS = 300_000
 #: Weight of one unseen character, beside pieces' counts.
 SMOOTH = 0.5
 UND = "und"
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Letters alone: what re calls a word character, less decimal digits, other numerals and the underscore.
+NUMERALS = "".join(re.escape(chr(c)) for c in range(0x80, 0x20000) if unicodedata.category(chr(c)) in ("No", "Nl"))
+LETTERS = re.compile(rf"[^\W\d_{NUMERALS}]+")
 
 
 def vocabulary(path: str) -> list[str]:
@@ -127,7 +137,7 @@ def forward(lattice: np.ndarray, prob: np.ndarray, shift: np.ndarray | None = No
     return alpha
 
 
-def by_length(words: list[str], most: int = 20_000):
+def by_length(words: list[str], most: int = BLOCK):
     """Indices of words of equal length, some at a time."""
     groups: dict[int, list[int]] = {}
     for k, w in enumerate(words):
@@ -181,24 +191,44 @@ class Model:
         return np.log(window[n % slots]) + shift
 
 
+class Arcs:
+    """The lattice of a block of words of one length without its empty places, from which `dense` makes it again."""
+
+    def __init__(self, at: np.ndarray, lattice: np.ndarray, none: int):
+        self.at, self.shape, self.none = at, lattice.shape, none
+        self.places = np.flatnonzero(lattice.reshape(-1) != none).astype(np.int32)
+        self.ids = lattice.reshape(-1)[self.places]
+
+    def dense(self) -> np.ndarray:
+        out = np.full(self.shape, self.none, dtype=np.int32)
+        out.reshape(-1)[self.places] = self.ids
+        return out
+
+
 def fit(counts: list[tuple[str, str, int]], pieces: list[str], documents: dict[str, int], rounds: int = ROUNDS) -> Model:
     """Expectation maximisation from (language, word, count)."""
-    languages = sorted(documents)
-    lattice = Lattice(pieces)
-    size = len(pieces) + 2
-    column = {name: k for k, name in enumerate(languages)}
+    column = {name: k for k, name in enumerate(sorted(documents))}
     words = sorted({w for _, w, _ in counts})
     at = {w: k for k, w in enumerate(words)}
-    weight = np.zeros((len(words), len(languages)), dtype=np.float64)
+    weight = np.zeros((len(words), len(column)))
     for name, word, n in counts:
         weight[at[word], column[name]] += n
-    built = [(np.array(k), lattice.build([words[i] for i in k])) for k in by_length(words)]
+    return fit_words(words, weight, pieces, documents, rounds)
+
+
+def fit_words(words: list[str], weight: np.ndarray, pieces: list[str], documents: dict[str, int], rounds: int = ROUNDS) -> Model:
+    """The same from distinct words and their counts, a column a language in the order of names."""
+    languages = sorted(documents)
+    lattice = Lattice(pieces)
+    size = len(pieces) + 2
+    blocks = [Arcs(np.array(k), lattice.build([words[i] for i in k]), lattice.none) for k in by_length(words)]
     lengths = np.array([len(p) for p in pieces] + [1, 1], dtype=np.float64)
     prob = np.repeat((0.02**lengths)[:, None], max(1, len(languages)), axis=1)
     prob[-1] = 0
     for _ in range(rounds if words else 0):
         expected = np.zeros_like(prob)
-        for k, lat in built:
+        for block in blocks:
+            k, lat = block.at, block.dense()
             n, reach = lat.shape[1:]
             shift = np.zeros((n + 1, len(k), prob.shape[1])) if n >= UNSCALED else None
             alpha = forward(lat, prob, shift)
@@ -215,8 +245,7 @@ def fit(counts: list[tuple[str, str, int]], pieces: list[str], documents: dict[s
                         flow *= np.exp(shift[start, at_ids] - shift[start + step, at_ids])
                     beta[start, at_ids] += flow
                     flow = flow * alpha[start, at_ids]
-                    for c in range(len(languages)):
-                        expected[:, c] += np.bincount(ids[at_ids], flow[:, c], size)
+                    np.add.at(expected, ids[at_ids], flow)
         expected += SMOOTH
         expected[-1] = 0
         prob = expected / expected.sum(0)
@@ -227,13 +256,17 @@ def fit(counts: list[tuple[str, str, int]], pieces: list[str], documents: dict[s
     return Model(languages, pieces, log_prior, prob)
 
 
-def train(docs: DataFrame, vocabulary_path: str, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", per_language: int = PER_LANGUAGE) -> Model:
+def train(
+    docs: DataFrame, vocabulary_path: str, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES
+) -> Model:
     """Fit on a bounded sample of labelled documents; the corpus sends counts of languages and words of the sample."""
-    labelled = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
-    documents = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    labelled = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
+    top = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages)
+    documents = {r["lang"]: r["n"] for r in top.collect()}  # max_languages rows at most
     if not documents:
         return fit([], vocabulary(vocabulary_path), {})
-    share = F.create_map(*[x for name, n in documents.items() for x in (F.lit(name), F.lit(min(1.0, per_language / n)))])
+    names = sorted(documents)
+    share = F.create_map(*[x for name in names for x in (F.lit(name), F.lit(min(1.0, per_language / documents[name])))])
     sample = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(1_000_000) * share[F.col("lang")])
 
     def count(batches):
@@ -247,10 +280,13 @@ def train(docs: DataFrame, vocabulary_path: str, text: str = "text", lang: str =
             keys = list(found)
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys]), pa.array([k[1] for k in keys]), pa.array([found[k] for k in keys], pa.int64())], ["lang", "word", "n"])
 
-    counted = sample.select("text", "lang").mapInArrow(count, "lang string, word string, n long")
-    table = counted.groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow()  # words of the bounded sample
-    rows = list(zip(*(table.column(c).to_pylist() for c in ("lang", "word", "n"))))
-    return fit(rows, vocabulary(vocabulary_path), documents)
+    counted = sample.select(F.left("text", F.lit(SAMPLE_CHARS)).alias("text"), "lang").mapInArrow(count, "lang string, word string, n long")
+    by_language = [F.coalesce(F.sum(F.when(F.col("lang") == name, F.col("n"))), F.lit(0)).alias(f"n{k}") for k, name in enumerate(names)]
+    table = counted.groupBy("word").agg(*by_language).toArrow().sort_by("word")  # distinct words of the bounded sample
+    weight = np.stack([table.column(f"n{k}").to_numpy().astype(np.float64) for k in range(len(names))], axis=1)
+    words = table.column("word").to_pylist()
+    del table
+    return fit_words(words, weight, vocabulary(vocabulary_path), documents)
 
 
 _WORKER: dict = {}

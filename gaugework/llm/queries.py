@@ -97,8 +97,8 @@ def tokenizer_path(name: str) -> str:
 
 
 def learnable(doc_id: str = "doc_id"):
-    """Documents that a model may learn from."""
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 != 1
+    """Documents that a model may learn from; those without an id are."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 != 1, F.lit(True))
 
 
 @query()

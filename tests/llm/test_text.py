@@ -348,3 +348,64 @@ def test_pseudonyms_equal_plain_python(spark):
     out = pii.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"), "k")
     got = {r["doc_id"]: phone.sub("PHONE", r["text"]) for r in out.collect()}
     assert got == want and sum(a != dict(rows)[i] for i, a in got.items()) > 50
+
+
+def segments(word, ids):
+    """Every way to cut a word into pieces of `ids`, one unknown character for a place without a piece of one."""
+    if not word:
+        return [[]]
+    heads = [k for k in range(1, len(word) + 1) if word[:k] in ids or k == 1]
+    return [[word[:k] if word[:k] in ids else None, *rest] for k in heads for rest in segments(word[k:], ids)]
+
+
+def test_fit_and_posterior_equal_brute_force(spark):
+    pieces = ["▁", "▁a", "a", "b", "ab", "▁ab", "ba", "abb"]
+    ids = {p: k for k, p in enumerate(pieces)}
+    counts = [("x", "abba", 3), ("x", "b", 1), ("y", "bab", 2), ("y", "caa", 4)]
+    documents = {"x": 3, "y": 1}
+    model = language.fit(counts, pieces, documents, rounds=2)
+    prob = {n: {p: 0.02 ** len(p) for p in pieces} | {None: 0.02} for n in documents}
+    for _ in range(2):
+        for name in documents:
+            expected = dict.fromkeys([*pieces, None], language.SMOOTH)
+            for of, word, n in counts:
+                if of != name:
+                    continue
+                ways = segments("▁" + word, ids)
+                weights = [np.prod([prob[name][p] for p in way]) for way in ways]
+                for way, w in zip(ways, weights):
+                    for p in way:
+                        expected[p] += n * w / sum(weights)
+            total = sum(expected.values())
+            prob[name] = {p: v / total for p, v in expected.items()}
+            prob[name][None] /= 1000
+    for k, name in enumerate(model.languages):
+        assert np.allclose([model.prob[ids[p], k] for p in pieces], [prob[name][p] for p in pieces], rtol=1e-9)
+    texts = ["abba b", "caa bab!", "ab½b² x", "c" * 50 + " ab"]
+    got = {r["t"]: r for r in language.predict(spark.createDataFrame([(t,) for t in texts], "t string"), model, text="t").collect()}
+    for t in texts[:3]:
+        score = {n: documents[n] / 4 for n in documents}
+        for word in re.findall("[a-z]+", t):
+            for n in documents:
+                score[n] *= sum(np.prod([prob[n][p] for p in way]) for way in segments("▁" + word, ids))
+        best = max(sorted(score), key=score.get)
+        assert got[t]["lang_pred"] == best and abs(got[t]["score"] - score[best] / sum(score.values())) < 1e-9
+
+
+def test_scores_of_odd_texts_are_probabilities(spark):
+    model = language.fit([("en", "the", 500_000), ("en", "of", 300_000), ("fr", "le", 500_000)], ["▁", "▁the", "▁of", "▁le", "t", "h", "e", "o", "f", "l"], {"en": 5, "fr": 5})
+    rows = [(1, "ꙮ" * 40), (2, "x" * 100_000), (3, "漢" * 100_000 + " the"), (4, "½ ² ① Ⅷ 12 _"), (5, None), (6, "the " * 50_000), (7, "Ⅷthe")]
+    got = {r["id"]: (r["lang_pred"], r["score"]) for r in language.predict(spark.createDataFrame(rows, "id long, text string"), model).collect()}
+    assert got[4] == got[5] == ("und", 0.0)
+    assert all(0 <= s <= 1 for _, s in got.values()) and got[3][0] == got[6][0] == got[7][0] == "en"
+
+
+def test_rows_without_an_id_are_learnable(spark):
+    rows = spark.createDataFrame([(None,), (1,), (2,), (3,)], "doc_id long").select(learnable().alias("l")).collect()
+    assert all(r["l"] is not None for r in rows) and rows[0]["l"]
+
+
+def test_no_more_labels_than_asked_for(spark):
+    rows = [(k, f"word{chr(97 + k % 26)} some text", f"l{k % 40:02d}" if k < 200 else "main") for k in range(300)]
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), VOCABULARY, max_languages=3)
+    assert model.languages == ["l00", "l01", "main"]

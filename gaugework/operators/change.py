@@ -72,8 +72,17 @@ def rebuilt(previous: DataFrame, recompute, changed: DataFrame, partition: list[
     return previous.join(changed, partition, "left_anti").unionByName(recompute(changed))
 
 
+def row_sums(columns: list[str]) -> list[Column]:
+    """Aggregate expressions that differ for different bags of rows: their number, and the sums of two digests of each row.
+
+    Sums, unlike exclusive ors, count a row that occurs twice. A row is written
+    as JSON with its nulls, so no two rows look alike.
+    """
+    digest = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"}), 256)
+    number = lambda at: F.sum(F.conv(F.substring(digest, at, 15), 16, 10).cast("decimal(20,0)"))
+    return [F.count("*").cast("string"), *[F.coalesce(number(at).cast("string"), F.lit("0")) for at in (1, 16)]]
+
+
 def fingerprint(df: DataFrame, *settings: str) -> Column:
     """Aggregate expression: a hash of all rows, in any order, and of settings."""
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])
-    parts = F.concat_ws("|", F.count("*").cast("string"), F.coalesce(F.bit_xor(row), F.lit(0)).cast("string"), F.coalesce(F.sum(F.pmod(row, F.lit(1 << 31))), F.lit(0)).cast("string"), *[F.lit(s) for s in settings])
-    return F.sha2(parts, 256)
+    return F.sha2(F.concat_ws("|", *row_sums(sorted(df.columns)), *[F.lit(s) for s in settings]), 256)

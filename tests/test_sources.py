@@ -56,9 +56,9 @@ def test_ingest_writes_new_content_only_and_latest_wins(spark, tmp_path):
             raise http(wrong[season])
         return io.BytesIO(body[season])
 
-    zone = landing.Landing(tmp_path / "landing", fetch)
+    zone = landing.Landing(spark, tmp_path / "landing", fetch)
     source = landing.Source("stats", "u/{season}", "stats")
-    actions = lambda: {r.season: r.action for r in zone.ingest(spark, [source], [2024, 2025], 2025)}
+    actions = lambda: {r.season: r.action for r in zone.ingest([source], [2024, 2025], 2025)}
     assert actions() == {2024: "written", 2025: "written"}
     assert actions() == {2024: "skipped", 2025: "unchanged"}
     body[2025] = published(spark, tmp_path, [(2025, 7), (2025, 8)])
@@ -69,7 +69,7 @@ def test_ingest_writes_new_content_only_and_latest_wins(spark, tmp_path):
     with pytest.raises(urllib.error.HTTPError):
         actions()
     optional = landing.Source("stats", "u/{season}", "stats", required=False)
-    assert zone.ingest(spark, [optional], [2025], 2025)[-1].action == "failed"
+    assert zone.ingest([optional], [2025], 2025)[-1].action == "failed"
     raw = landing.read_landing(spark, str(tmp_path / "landing"), ["stats"])["stats"]
     assert raw.count() == 5 and dict(raw.dtypes)["v"] == "double"
     for window in (False, True):
@@ -79,15 +79,51 @@ def test_ingest_writes_new_content_only_and_latest_wins(spark, tmp_path):
         landing.read_landing(spark, str(tmp_path / "landing"), ["nothing"])
 
 
-def test_failed_download_leaves_nothing(tmp_path):
+def test_failed_download_leaves_nothing(spark, tmp_path):
     class Broken(io.BytesIO):
         def read(self, *_):
             raise OSError("cut")
 
-    zone = landing.Landing(tmp_path, lambda url: Broken())
+    zone = landing.Landing(spark, tmp_path / "z", lambda url: Broken())
     with pytest.raises(OSError, match="cut"):
-        zone.download("u")
-    assert not list(tmp_path.iterdir())
+        zone.ingest([landing.Source("a", "u", "a")], [2025], 2025)
+    assert not [x for x in tmp_path.rglob("*") if x.is_file()] and zone.inventory() == {}
+
+
+RANKED = landing.History("kind = 'wp'", "day", ("day", "id"), ("id", "day", "kind"))
+
+
+def test_history_is_landed_by_season_and_value(spark, tmp_path):
+    rows = [(1, "2025-02-01", "wp"), (2, "2025-09-05", "wp"), (2, "2025-09-05", "wp"), (3, "2025-09-06", "x")]
+    file = lambda r: published(spark, tmp_path, r, "id int, day string, kind string")
+    body = {"now": file(rows)}
+    zone = landing.Landing(spark, tmp_path / "zone", lambda url: io.BytesIO(body["now"]))
+    source = landing.Source("ranks", "u", "r", history=RANKED)
+    actions = lambda: {r.season: r.action for r in zone.ingest([source], [2023, 2024, 2025], 2025)}
+    assert actions() == {2023: "not_published", 2024: "written", 2025: "written"}
+    body["now"] = file(rows[::-1])  # other bytes, same values
+    assert actions() == {2023: "not_published", 2024: "unchanged", 2025: "unchanged"}
+    body["now"] = file(rows[:2] + rows[3:])
+    assert actions() == {2023: "not_published", 2024: "unchanged", 2025: "written"}
+    raw = landing.latest_landed(landing.read_landing(spark, str(tmp_path / "zone"), ["ranks"])["ranks"])
+    assert sorted((r["id"], r[landing.PART]) for r in raw.collect()) == [("1", "2024"), ("2", "2025")]
+
+
+def test_content_hash_counts_equal_rows(spark):
+    one = lambda rows: (d := spark.createDataFrame(rows, "a string, b string")).agg(landing.content_hash(d).alias("h")).first()["h"]
+    x, y, q = ("x", None), ("y", None), ("q", "q")
+    assert one([x, x, q]) != one([y, y, q]) and one([x, q, x]) == one([q, x, x]) and one([x, q]) != one([x, x, q])
+    assert one([("x", None)]) != one([(None, "x")]) and one([("x", "null")]) != one([x]) and one([]) and len(one([x])) == 12
+
+
+def test_declared_sources():
+    from gaugework.plans import graph
+    from gaugework.plans.published import SOURCES
+
+    assert {s.name for s in SOURCES} == set(graph.LANDED)
+    assert [s.name for s in SOURCES if not s.required] == ["player_ids", "ecr"] and [s.name for s in SOURCES if not s.widen] == ["pbp"]
+    assert landing.plan(SOURCES[0], [2024, 2025], 2025, {("pbp", 2024): {"x"}}) == [(2024, False), (2025, True)]
+    assert SOURCES[0].file_name(2024, "ab") == "pbp/2024/play_by_play_2024_ab.parquet" and SOURCES[7].file_name(None, "ab") == "schedules/games_ab.parquet"
 
 
 def test_csv_strings_and_split(spark, tmp_path):
@@ -95,10 +131,8 @@ def test_csv_strings_and_split(spark, tmp_path):
     path.write_text('id,day,kind\n1,2025-02-01,wp\n2,2025-09-05,wp\n"",2025-09-06,NA\n')
     df = landing.read_strings(spark, str(path))
     assert [tuple(r) for r in df.orderBy("day").collect()] == [("1", "2025-02-01", "wp"), ("2", "2025-09-05", "wp"), (None, "2025-09-06", None)]
-    landing.split_by_season(df, "day", ["day"], F.col("kind") == "wp", str(tmp_path / "out"))
+    landing.split_by_season(df, RANKED, str(tmp_path / "out"))
     assert {r["season"]: r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {2024: "1", 2025: "2"}
-    one = lambda d: d.agg(landing.content_hash(d).alias("h")).first()["h"]
-    assert one(df) == one(df.orderBy(F.desc("day"))) and one(df) != one(df.limit(1)) and len(one(df)) == 12
 
 
 def test_publish_keeps_and_replaces(spark):

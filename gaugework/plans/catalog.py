@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import functools
 import tempfile
 import uuid
-from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gaugework import contract, quality
@@ -15,30 +13,10 @@ from gaugework.functions import scoring, search
 from gaugework.operators import change, joins, stats, tiers
 from gaugework.operators import windows as win
 from gaugework.operators.asof import asof_join
-from gaugework.session import importable, table
+from gaugework.plans.registry import ORACLE, QUERIES, query  # noqa: F401
+from gaugework.session import table
 from gaugework.streaming.bronze import ingest_new_files
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Register a function under its own name, with its oracle if SQL has one."""
-
-    def put(fn):
-        @functools.wraps(fn)
-        def run(spark, sf_dir):
-            importable(spark)
-            return fn(spark, sf_dir)
-
-        QUERIES[fn.__name__] = run
-        if sql:
-            ORACLE[fn.__name__] = sql
-        return fn
-
-    return put
-
-
 @query("""
 SELECT n_name, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,6)) * CAST(1 - l_discount AS DECIMAL(9,4))) AS DOUBLE) AS revenue,
        count(*) AS lines
@@ -765,3 +743,6 @@ def bronze_stream(spark, sf_dir):
         ingest_new_files(spark, f"{base}/landing", source.schema, f"{base}/bronze", f"{base}/state")
         counts.append(spark.read.parquet(f"{base}/bronze").count())
     return spark.createDataFrame([tuple(counts)], "bronze long, again long")
+
+
+from gaugework.plans import catalog_league  # noqa: E402, F401

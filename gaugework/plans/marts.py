@@ -22,6 +22,14 @@ STAGED = {
 }
 LABELS = {"model": "Model", "last3": "Last 3 games average", "season_avg": "Season-to-date average", "ecr": "FantasyPros ECR"}
 FORMATS = ("ppr", "half", "std")
+#: Columns of the game log.
+GAME_LOG = (
+    "player_week_key", "season", "week", "player_id", "player_name", "position", "team", "opponent", "fantasy_points_ppr", "fantasy_points_half", "fantasy_points_std",
+    "passing_yards", "passing_tds", "passing_interceptions", "rushing_yards", "rushing_tds", "receptions", "receiving_yards", "receiving_tds", "fumbles_lost",
+    "two_point_conversions", "special_teams_tds", "targets", "carries", "snap_share", "target_share", "carry_share", "expected_ppr", "proj_ppr", "floor_ppr", "ceiling_ppr",
+    "projection_kind",
+)
+SLACK, AGREE = 0.000001, 0.0001
 
 
 def staging(name: str, df: DataFrame) -> DataFrame:
@@ -59,7 +67,9 @@ def risers(t: Mapping[str, DataFrame]) -> DataFrame:
     """The current season's risers beside their projection of the week."""
     season = F.broadcast(t["projections"].agg(F.max("season").alias("season")))
     sheet = cheat_sheet(t).select(*KEY, "proj_ppr", "pos_rank_ppr", "matchup")
-    return staging("risers", t["risers"]).join(season, "season", "left_semi").join(sheet, KEY, "left")
+    rows = staging("risers", t["risers"]).join(season, "season", "left_semi").join(sheet, KEY, "left")
+    usage = [f"{m}_{p}" for m in ("expected_ppr", "snap_share", "target_share", "carry_share", "red_zone_share") for p in ("recent", "before", "change")]
+    return rows.select("riser_key", *KEY, "player_name", "position", "team", "is_riser", "riser_rank", "baseline_basis", "games_recent", "games_earlier", *usage, "proj_ppr", "pos_rank_ppr", "matchup")
 
 
 def game_log(t: Mapping[str, DataFrame]) -> DataFrame:
@@ -67,7 +77,7 @@ def game_log(t: Mapping[str, DataFrame]) -> DataFrame:
     season = F.broadcast(t["projections"].agg(F.max("season").alias("__now")))
     out = t["projections"].select(*KEY, "proj_ppr", "floor_ppr", "ceiling_ppr", F.col("kind").alias("projection_kind"))
     rows = staging("player_week", t["player_week"]).crossJoin(season).where(F.col("season") >= F.col("__now") - 1).drop("__now")
-    return rows.join(out, KEY, "left")
+    return rows.join(out, KEY, "left").select(*GAME_LOG)
 
 
 def scorecard(t: Mapping[str, DataFrame]) -> DataFrame:
@@ -130,13 +140,46 @@ def latest_week(rows: DataFrame) -> DataFrame:
     return win.first_by(rows, ["player_id"], F.desc("season"), F.desc("week"))
 
 
-def checks(t: Mapping[str, DataFrame]) -> dict[str, int]:
-    """Rows that break an invariant of the marts; all counts should be zero."""
+def broken(t: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows that break an invariant of the marts, as (check, row): there should be none.
+
+    In every format floor <= projection <= ceiling; all four methods are scored
+    on as many players in a week and position; keys are unique; at most one week
+    is upcoming; and, where backtest metrics are given, the scorecard's sums give
+    the same count, error and coverage.
+    """
     sheet, card = cheat_sheet(t), scorecard(t)
-    order = ~((F.col("floor_ppr") <= F.col("proj_ppr")) & (F.col("proj_ppr") <= F.col("ceiling_ppr")))
-    sizes = card.groupBy("season", "week", "position").agg(F.count_distinct("n").alias("k")).where("k > 1")
+    over = lambda a, b: F.col(a) > F.col(b) + SLACK
+    disorder = F.lit(False)
+    for f in FORMATS:
+        disorder = disorder | over(f"floor_{f}", f"proj_{f}") | over(f"proj_{f}", f"ceiling_{f}")
+    week = F.concat_ws("-", F.col("season").cast("string"), F.col("week").cast("string"))
+    sizes = card.groupBy("season", "week", "position").agg(F.count_distinct("n").alias("k"), F.count("*").alias("methods")).where("k > 1 OR methods <> 4")
     repeated = sheet.groupBy("projection_key").agg(F.count("*").alias("k")).where("k > 1")
-    weeks = sheet.where("is_upcoming").select("season", "week").distinct().agg(F.greatest(F.count("*") - 1, F.lit(0)).alias("k"))
-    return {"floor_projection_ceiling": sheet.where(order).count(), "counts_match": sizes.count(), "unique_keys": repeated.count(), "one_upcoming_week": weeks.first()["k"]}
+    ahead = sheet.where("is_upcoming").agg(F.count_distinct("week").alias("k")).where("k > 1")
+    row = lambda check, df, key: df.select(F.lit(check).alias("check"), key.cast("string").alias("row"))
+    parts = [
+        row("floor_projection_ceiling", staging("projections", t["projections"]).where(disorder), F.col("projection_key")),
+        row("counts_match", sizes, F.concat_ws("-", week, "position")),
+        row("unique_keys", repeated, F.col("projection_key")),
+        row("one_upcoming_week", ahead, F.col("k")),
+    ]
+    if "backtest_metrics" in t:
+        group = ["scope", "position", "method"]
+        sums = card.where("method <> 'ecr' AND kind = 'backtest'").groupBy(F.col("season").cast("string").alias("scope"), "position", "method").agg(
+            F.sum("n").alias("sn"), (F.sum("abs_error_sum") / F.sum("n")).alias("smae"), (F.sum("inside_count") / F.sum("n")).alias("scov")
+        )
+        far = lambda a, b: F.abs(F.col(a) - F.col(b)) > AGREE
+        off = backtest_summary(t).join(sums, group).where((F.col("n") != F.col("sn")) | far("mae", "smae") | (F.col("method") == "model") & far("interval_coverage", "scov"))
+        parts.append(row("reconciles", off, F.col("metric_key")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
+def checks(t: Mapping[str, DataFrame]) -> dict[str, int]:
+    """Number of rows that break each invariant; all should be zero."""
+    found = {r["check"]: r["n"] for r in broken(t).groupBy("check").agg(F.count("*").alias("n")).collect()}  # a row a check
+    names = ["floor_projection_ceiling", "counts_match", "unique_keys", "one_upcoming_week", *(["reconciles"] if "backtest_metrics" in t else [])]
+    return {name: found.get(name, 0) for name in names}

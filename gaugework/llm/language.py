@@ -25,7 +25,6 @@ rows count as often as they occur. Extra columns pass through.
 from __future__ import annotations
 
 import re
-import unicodedata
 from collections import Counter
 from dataclasses import dataclass
 
@@ -53,9 +52,8 @@ CACHE_WORDS = 300_000
 #: Weight of one unseen character, beside pieces' counts.
 SMOOTH = 0.5
 UND = "und"
-#: Letters alone: what re calls a word character, less decimal digits, other numerals and the underscore.
-NUMERALS = "".join(re.escape(chr(c)) for c in range(0x80, 0x20000) if unicodedata.category(chr(c)) in ("No", "Nl"))
-LETTERS = re.compile(rf"[^\W\d_{NUMERALS}]+")
+#: Letters, and numerals that are no decimal digits; words that are not of letters alone are cut at those.
+LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def vocabulary(path: str) -> list[str]:
@@ -74,7 +72,11 @@ def vocabulary(path: str) -> list[str]:
 
 
 def words_of(text: str) -> list[str]:
-    return LETTERS.findall(text.lower())
+    """Runs of letters (Unicode category L)."""
+    words = LETTERS.findall(text.lower())
+    if text.isascii() or all(map(str.isalpha, words)):
+        return words
+    return [part for word in words for part in ("".join(c if c.isalpha() else " " for c in word).split() if not word.isalpha() else (word,))]
 
 
 def split_long(word: str) -> list[str]:
@@ -89,26 +91,28 @@ class Lattice:
         self.none = len(pieces) + 1
         self.char = len(pieces)  # any one character that is no piece
         self.reach = max(map(len, pieces), default=1)
-        self.begin = {p[:k] for p in pieces for k in range(1, len(p) + 1)}
+        #: Ids of pieces, and -1 of what only begins one.
+        self.begin = dict.fromkeys((p[:k] for p in pieces for k in range(1, len(p) + 1)), -1) | self.ids
 
     def build(self, words: list[str]) -> np.ndarray:
         """For words of one length."""
         n = len(words[0]) + 1
-        out = np.full((len(words), n, min(self.reach, n)), self.none, dtype=np.int32)
-        ids, begin, char, none = self.ids, self.begin, self.char, self.none
+        reach = min(self.reach, n)
+        out = np.full((len(words), n, reach), self.none, dtype=np.int32)
+        out[:, :, 0] = self.char
+        places, ids, known = [], [], self.begin.get
         for w, word in enumerate(words):
             word = MARK + word
             for i in range(n):
-                row = out[w, i]
-                for k in range(i + 1, min(n, i + self.reach) + 1):
-                    piece = word[i:k]
-                    if piece not in begin:
+                at = (w * n + i) * reach - i - 1
+                for k in range(i + 1, min(n, i + reach) + 1):
+                    found = known(word[i:k])
+                    if found is None:
                         break
-                    found = ids.get(piece, none)
-                    if found != none:
-                        row[k - i - 1] = found
-                if row[0] == none:
-                    row[0] = char
+                    if found >= 0:
+                        places.append(at + k)
+                        ids.append(found)
+        out.reshape(-1)[places] = ids
         return out
 
 

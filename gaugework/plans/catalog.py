@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -14,7 +11,7 @@ from gaugework.operators import change, joins, stats, tiers
 from gaugework.operators import windows as win
 from gaugework.operators.asof import asof_join
 from gaugework.plans.registry import ORACLE, QUERIES, query  # noqa: F401
-from gaugework.session import table
+from gaugework.session import table, work_dir
 from gaugework.streaming.bronze import ingest_new_files
 
 @query("""
@@ -734,8 +731,7 @@ def session_windows(spark, sf_dir):
 def bronze_stream(spark, sf_dir):
     """A file stream into bronze; a second run finds nothing new."""
     # Landing, bronze and checkpoints lie beside each other on the shared store.
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gaugework-")
-    base = f"{base.rstrip('/')}/bronze-{uuid.uuid4().hex}"
+    base = work_dir(spark, "bronze")
     source = table(spark, sf_dir, "events")
     source.write.parquet(f"{base}/landing")
     counts = []

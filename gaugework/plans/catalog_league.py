@@ -10,6 +10,7 @@ from gaugework.plans import league, marts
 from gaugework.plans import projections as pj
 from gaugework.plans.league import frames, with_frames
 from gaugework.plans.registry import query
+from gaugework.session import kept
 from gaugework.sources.landing import SEEN_AT, SEEN_IN
 
 #: SQL of the facts, each made from the league's frames and those before it.
@@ -76,12 +77,13 @@ DRAFTED = "(SELECT * FROM drafts)"
 
 
 def tables(spark, sf_dir) -> dict:
-    """The facts of the league, lazily."""
+    """The facts of the league, each written once a session and read by those after it."""
     games, plays, box, snaps, opportunity, charts = frames(spark, sf_dir, "schedules", "plays", "player_stats", "snap_counts", "ff_opportunity", "depth_charts")
-    t = {"team_week": d.team_week(games, plays, box)}
-    t["player_week"] = d.player_week(box, snaps, plays, t["team_week"], opportunity)
-    t["defense_vs_position"] = d.defense_vs_position(t["player_week"], t["team_week"])
-    t["depth_chart_week"] = d.depth_chart_week(charts, games)
+    t, put = {}, lambda name, make: t.__setitem__(name, kept(spark, f"league {sf_dir} {name}", make))
+    put("team_week", lambda: d.team_week(games, plays, box))
+    put("player_week", lambda: d.player_week(box, snaps, plays, t["team_week"], opportunity))
+    put("defense_vs_position", lambda: d.defense_vs_position(t["player_week"], t["team_week"]))
+    put("depth_chart_week", lambda: d.depth_chart_week(charts, games))
     return t
 
 
@@ -180,3 +182,443 @@ def silver_ecr(spark, sf_dir):
     shifted = games.withColumn("k", place).withColumn("gameday", F.date_add("gameday", F.col("k") % 7))
     ids = raw.select(F.col("id").cast("bigint").alias("fantasypros_id")).distinct().where("fantasypros_id % 7 <> 0").select("fantasypros_id", F.concat(F.lit("P"), F.col("fantasypros_id") - 900).alias("player_id"))
     return d.ecr(_landed(raw, "season").drop("season"), shifted, ids).drop("sd", "best", "worst")
+
+
+# Candidates and features
+
+
+ORDER = ("game_order", "SELECT season, week, team, game_id, row_number() OVER (PARTITION BY team, season ORDER BY week) - 1 AS game_index FROM team_week")
+CANDIDATES = (
+    "candidates",
+    """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY season, week, player_id ORDER BY depth_rank NULLS LAST, team, chart_position) AS n FROM (
+SELECT p.*, g.game_id, g.opponent, g.is_home, g.is_final, g.implied_points, coalesce(l.roster_position, p.chart_position, p.recent_position) AS position, coalesce(k.player_name, p.chart_name) AS player_name,
+  k.birth_date, k.rookie_season, i.report_status, coalesce(i.injury_level, 0) AS injury_level, coalesce(i.practice_level, 0) AS practice_level, (p.depth_rank IS NOT NULL)::BIGINT AS on_depth_chart
+FROM (SELECT coalesce(c.season, r.season) AS season, coalesce(c.week, r.week) AS week, coalesce(c.team, r.team) AS team, coalesce(c.player_id, r.player_id) AS player_id, c.player_name AS chart_name,
+    c.depth_rank, c.position AS chart_position, r.recent_position FROM depth_chart_week c
+  FULL JOIN (SELECT o.season, o.week, o.team, x.player_id, arg_min(x.position, o.game_index - b.game_index) AS recent_position FROM game_order o
+    JOIN game_order b ON o.season = b.season AND o.team = b.team AND o.game_index - b.game_index IN (1, 2)
+    JOIN player_week x ON x.season = b.season AND x.week = b.week AND x.team = b.team GROUP BY ALL) r
+  ON c.season = r.season AND c.week = r.week AND c.team = r.team AND c.player_id = r.player_id) p
+JOIN team_week g ON p.season = g.season AND p.week = g.week AND p.team = g.team
+LEFT JOIN (SELECT season, week, player_id, min(position) AS roster_position FROM rosters GROUP BY ALL) l ON p.season = l.season AND p.week = l.week AND p.player_id = l.player_id
+LEFT JOIN players k ON p.player_id = k.player_id
+LEFT JOIN (SELECT *, CASE report_status WHEN 'Out' THEN 3 WHEN 'Questionable' THEN 1 ELSE 0 END AS injury_level, CASE WHEN practice_status IS NULL THEN 0 ELSE 1 END AS practice_level FROM injuries) i
+  ON p.season = i.season AND p.week = i.week AND p.player_id = i.player_id) WHERE injury_level < 3) WHERE n = 1""",
+)
+POOL = (*FACTS, ORDER, CANDIDATES)
+STATES = (
+    "states",
+    """SELECT player_id, season * 100 + week AS t, season AS state_season, week AS state_week, row_number() OVER p AS games_played, fantasy_points_ppr AS ppr_last1,
+  avg(fantasy_points_ppr) OVER (PARTITION BY player_id ORDER BY season, week ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS ppr_last3, row_number() OVER s AS season_games,
+  avg(fantasy_points_ppr) OVER (PARTITION BY player_id, season ORDER BY week ROWS UNBOUNDED PRECEDING) AS season_ppr_mean,
+  round(sum(fantasy_points_ppr * pow(2.0, g / 3.0)) OVER p / sum(pow(2.0, g / 3.0)) OVER p, 6) AS ewm_fantasy_points_ppr,
+  round(sum(snap_share * pow(2.0, g / 3.0)) OVER p / sum(CASE WHEN snap_share IS NOT NULL THEN pow(2.0, g / 3.0) END) OVER p, 6) AS ewm_snap_share
+FROM (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY season, week) - 1 AS g FROM player_week)
+WINDOW p AS (PARTITION BY player_id ORDER BY season, week ROWS UNBOUNDED PRECEDING), s AS (PARTITION BY player_id, season ORDER BY week ROWS UNBOUNDED PRECEDING)""",
+)
+MATCHUPS = (
+    "matchups",
+    """SELECT *, opp_ppr_allowed_l6 / avg(opp_ppr_allowed_l6) OVER (PARTITION BY season, week, position) AS opp_matchup_index,
+  CASE WHEN opp_ppr_allowed_l6 IS NOT NULL THEN rank() OVER (PARTITION BY season, week, position ORDER BY opp_ppr_allowed_l6 DESC NULLS LAST) END AS opp_matchup_rank FROM (
+SELECT w.season, w.week, k.team AS opponent, k.position, s.l6 AS opp_ppr_allowed_l6 FROM (SELECT DISTINCT season, week, season * 100 + week AS t FROM candidates) w
+CROSS JOIN (SELECT DISTINCT team, position FROM defense_vs_position) k
+ASOF LEFT JOIN (SELECT team, position, season * 100 + week AS t, avg(ppr_allowed) OVER (PARTITION BY team, position ORDER BY season, week ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS l6 FROM defense_vs_position) s
+  ON k.team = s.team AND k.position = s.position AND w.t > s.t)""",
+)
+FEATURES = (
+    "features",
+    """SELECT c.season, c.week, c.player_id, c.position, coalesce(s.games_played, 0) AS games_played, CASE WHEN s.state_season = c.season THEN s.season_games ELSE 0 END AS season_games,
+  CASE WHEN s.state_season = c.season THEN s.season_ppr_mean END AS season_ppr_mean, s.ppr_last1, s.ppr_last3, m.prev AS prev_season_ppr_mean, s.ewm_fantasy_points_ppr,
+  greatest(o.game_index - CASE WHEN s.state_season = c.season THEN s.season_games ELSE 0 END, 0) AS games_missed_season,
+  CASE WHEN b.week IS NOT NULL THEN CASE WHEN s.state_season = c.season AND s.state_week = b.week THEN 0.0 ELSE 1.0 END END::DOUBLE AS missed_last_game,
+  x.opp_ppr_allowed_l6, round(x.opp_matchup_index, 9) AS opp_matchup_index, x.opp_matchup_rank, coalesce(CASE WHEN e.season = c.season THEN e.years_exp END, c.season - c.rookie_season)::DOUBLE AS years_exp,
+  (date_diff('day', c.birth_date, make_date(c.season, 9, 1)) / 365.25)::DOUBLE AS age, c.is_home::INT::DOUBLE AS is_home
+FROM (SELECT *, season * 100 + week AS t FROM candidates) c
+ASOF LEFT JOIN states s ON c.player_id = s.player_id AND c.t > s.t
+ASOF LEFT JOIN (SELECT *, season * 100 + week AS t FROM rosters WHERE years_exp IS NOT NULL) e ON c.player_id = e.player_id AND c.t >= e.t
+LEFT JOIN (SELECT player_id, season + 1 AS season, avg(fantasy_points_ppr) AS prev FROM player_week GROUP BY ALL) m ON c.player_id = m.player_id AND c.season = m.season
+LEFT JOIN game_order o ON c.season = o.season AND c.week = o.week AND c.team = o.team
+LEFT JOIN game_order b ON c.season = b.season AND c.team = b.team AND o.game_index = b.game_index + 1
+LEFT JOIN matchups x ON c.season = x.season AND c.week = x.week AND c.opponent = x.opponent AND c.position = x.position""",
+)
+
+
+def known(spark, sf_dir) -> dict:
+    """The facts and what else candidates and features need."""
+    names = ("rosters", "players", "injuries")
+    return tables(spark, sf_dir) | dict(zip(names, frames(spark, sf_dir, *names)))
+
+
+@query(with_frames("SELECT season, week, player_id, game_id, player_name, position, team, opponent, is_home, is_final, depth_rank, on_depth_chart, report_status, injury_level, practice_level FROM candidates", *POOL))
+def candidate_pool(spark, sf_dir):
+    """Who is projected: on the chart or in the last two games, and not ruled out."""
+    rows = fx.candidates(known(spark, sf_dir))
+    return rows.select("season", "week", "player_id", "game_id", "player_name", "position", "team", "opponent", "is_home", "is_final", "depth_rank", "on_depth_chart", "report_status", "injury_level", "practice_level")
+
+
+@query(with_frames("SELECT * EXCLUDE (t) FROM states", *FACTS[:3], STATES))
+def player_states(spark, sf_dir):
+    """Each player's form after each game."""
+    rows = fx.player_states(tables(spark, sf_dir)["player_week"])
+    kept = ["player_id", "state_season", "state_week", "games_played", "ppr_last1", "ppr_last3", "season_games", "season_ppr_mean"]
+    return rows.select(*kept, *[F.round(f"ewm_{x}", 6).alias(f"ewm_{x}") for x in ("fantasy_points_ppr", "snap_share")])
+
+
+@query(
+    with_frames(
+        """SELECT team, season, week, round(sum(points_for * w) OVER p / sum(CASE WHEN points_for IS NOT NULL THEN w END) OVER p, 6) AS team_ewm_points_for,
+  round(sum(pass_rate * w) OVER p / sum(CASE WHEN pass_rate IS NOT NULL THEN w END) OVER p, 6) AS team_ewm_pass_rate
+FROM (SELECT *, pow(2.0, (row_number() OVER (PARTITION BY team ORDER BY season, week) - 1) / 4.0) AS w, CASE WHEN offensive_plays > 0 THEN dropbacks / offensive_plays END AS pass_rate FROM team_week WHERE is_final)
+WINDOW p AS (PARTITION BY team ORDER BY season, week ROWS UNBOUNDED PRECEDING)""",
+        *FACTS[:2],
+    )
+)
+def team_states(spark, sf_dir):
+    """Each team's form after each game."""
+    rows = fx.team_states(tables(spark, sf_dir)["team_week"])
+    return rows.select("team", (F.col("t") / 100).cast("int").alias("season"), (F.col("t") % 100).cast("int").alias("week"), *[F.round(f"team_ewm_{x}", 6).alias(f"team_ewm_{x}") for x in ("points_for", "pass_rate")])
+
+
+@query(with_frames("SELECT season, week, opponent, position, opp_ppr_allowed_l6, round(opp_matchup_index, 9) AS opp_matchup_index, opp_matchup_rank FROM matchups", *POOL, MATCHUPS))
+def defense_matchups(spark, sf_dir):
+    """Every known defense before every week, against the league, ranked with ties."""
+    t = known(spark, sf_dir)
+    rows = fx.matchups(t["defense_vs_position"], fx.candidates(t))
+    return rows.select("season", "week", "opponent", "position", "opp_ppr_allowed_l6", F.round("opp_matchup_index", 9).alias("opp_matchup_index"), F.col("opp_matchup_rank").cast("long").alias("opp_matchup_rank"))
+
+
+FEATURE_COLUMNS = (
+    "season week player_id position games_played season_games season_ppr_mean ppr_last1 ppr_last3 prev_season_ppr_mean ewm_fantasy_points_ppr games_missed_season missed_last_game "
+    "opp_ppr_allowed_l6 opp_matchup_index opp_matchup_rank years_exp age is_home"
+).split()
+
+
+def _features(spark, sf_dir):
+    t = known(spark, sf_dir)
+    rows = fx.features(fx.candidates(t), t)
+    return t, rows.withColumns({"ewm_fantasy_points_ppr": F.round("ewm_fantasy_points_ppr", 6), "opp_matchup_index": F.round("opp_matchup_index", 9)})
+
+
+@query(with_frames("SELECT * FROM features", *POOL, STATES, MATCHUPS, FEATURES))
+def feature_frame(spark, sf_dir):
+    """A10: what was known of each candidate before kickoff, by strict as-of joins."""
+    return _features(spark, sf_dir)[1].select(*FEATURE_COLUMNS)
+
+
+@query(
+    with_frames(
+        """SELECT f.season, f.week, f.player_id, f.ppr_last3 AS baseline_last3, coalesce(f.season_ppr_mean, f.prev_season_ppr_mean) AS baseline_season_avg, coalesce(w.fantasy_points_ppr, 0) AS fantasy_points_ppr,
+  coalesce(w.receiving_yards, 0) AS receiving_yards FROM features f LEFT JOIN player_week w ON f.season = w.season AND f.week = w.week AND f.player_id = w.player_id""",
+        *POOL,
+        STATES,
+        MATCHUPS,
+        FEATURES,
+    )
+)
+def baselines_and_actuals(spark, sf_dir):
+    """Both baselines, and what a candidate did, zero without a stat line."""
+    t, rows = _features(spark, sf_dir)
+    return fx.with_actuals(fx.with_baselines(rows), t["player_week"]).select("season", "week", "player_id", "baseline_last3", "baseline_season_avg", "fantasy_points_ppr", "receiving_yards")
+
+
+@query(
+    with_frames(
+        """SELECT u.team, count(c.player_id) AS n FROM (SELECT * FROM team_week WHERE NOT is_final AND (season, week) IN (SELECT (season, week) FROM team_week WHERE NOT is_final ORDER BY season, week LIMIT 1)) u
+LEFT JOIN candidates c ON u.season = c.season AND u.week = c.week AND u.team = c.team GROUP BY u.team""",
+        *POOL,
+    )
+)
+def upcoming_pool(spark, sf_dir):
+    """Candidates of each team that plays in the next week, zero where there are none."""
+    from gaugework.operators import joins
+
+    t = known(spark, sf_dir)
+    week = pj.upcoming_week(t["team_week"])
+    pool = fx.candidates(t, week)
+    return joins.in_domain(pool.groupBy("team").agg(F.count("*").alias("n")), t["team_week"].join(F.broadcast(week), ["season", "week"], "left_semi"), ["team"], "n")
+
+
+@query(
+    with_frames(
+        """SELECT * FROM (VALUES ('whole', 'passes'), ('thin', 'ThinPool'), ('uncharted', 'ThinPool')) v(pool, outcome)"""
+    )
+)
+def pool_gate(spark, sf_dir):
+    """An upcoming week with too few candidates, or too few of them on a chart, is refused."""
+    roster = league.frame(spark, sf_dir, "roster").where("week = 17").select("team", "slot", F.lit(1).alias("on_depth_chart"))
+    seasons = roster.groupBy("team").agg(F.count("*").alias("n"))
+    out = []
+    for name, pool in (("whole", roster), ("thin", roster.where("team <> 3 OR slot > 4")), ("uncharted", roster.withColumn("on_depth_chart", F.when(F.col("slot") > 3, 0).otherwise(1)))):
+        try:
+            pj.check_pool(pool, seasons)
+            out.append((name, "passes"))
+        except pj.ThinPool:
+            out.append((name, "ThinPool"))
+    return spark.createDataFrame(out, "pool string, outcome string")
+
+
+# Projections
+
+
+START_SIT = """CASE WHEN r <= CASE position WHEN 'QB' THEN 12 WHEN 'RB' THEN 24 WHEN 'WR' THEN 36 ELSE 12 END THEN 'Start'
+  WHEN r <= CASE position WHEN 'QB' THEN 12 WHEN 'RB' THEN 36 WHEN 'WR' THEN 48 ELSE 16 END THEN 'Flex' ELSE 'Sit' END"""
+
+
+@query(
+    with_frames(
+        f"""SELECT season, week, player_id, r AS pos_rank_half, {START_SIT} AS start_sit_half, r <= CASE position WHEN 'QB' THEN 24 WHEN 'RB' THEN 48 WHEN 'WR' THEN 72 ELSE 24 END AS tiered
+FROM (SELECT *, row_number() OVER (PARTITION BY season, week, position ORDER BY proj_half DESC, player_id) AS r FROM drafts)"""
+    )
+)
+def ranked_projections(spark, sf_dir):
+    """Place and label of each week and position; the pool's first rows have a tier."""
+    rows = pj.ranked(league.frame(spark, sf_dir, "drafts"), ("half",))
+    return rows.select("season", "week", "player_id", "pos_rank_half", "start_sit_half", F.col("tier_half").isNotNull().alias("tiered"))
+
+
+SPLIT = ("halves", "SELECT d.*, last FROM drafts d CROSS JOIN ends WHERE season = last AND week IN (9, 10)")
+
+
+@query(
+    with_frames(
+        """SELECT season, week, player_id, 'old' AS kind, proj_ppr FROM halves WHERE week = 9 OR team IN ('T10', 'T12', 'T14')
+UNION ALL SELECT season, week, player_id, 'new', proj_ppr + 1 FROM halves WHERE week = 10 AND team NOT IN ('T10', 'T12', 'T14')""",
+        SPLIT,
+    )
+)
+def frozen_projections(spark, sf_dir):
+    """Stored rows of games that began stay, others are replaced; other weeks stay."""
+    drafts, ends = frames(spark, sf_dir, "drafts", "ends")
+    rows = drafts.join(F.broadcast(ends), F.col("season") == F.col("last")).where("week IN (9, 10)").drop("last")
+    begun = F.col("team").isin("T10", "T12", "T14") | (F.col("week") == 9)
+    rows = rows.withColumn("kickoff_at", F.when(begun, F.lit("2000-01-01").cast("timestamp")).otherwise(F.lit("2100-01-01").cast("timestamp")))
+    fresh = rows.where("week = 10").withColumns({"kind": F.lit("new"), "proj_ppr": F.col("proj_ppr") + 1})
+    out = pj.frozen(rows.withColumn("kind", F.lit("old")), fresh, F.lit("2050-01-01").cast("timestamp"))
+    return out.select("season", "week", "player_id", "kind", "proj_ppr")
+
+
+@query(
+    with_frames(
+        f"""SELECT season, week, player_id, kind, ecr_rank, r AS pos_rank_ppr, {START_SIT} AS start_sit_ppr FROM (SELECT m.*, e.ecr_rank::BIGINT AS ecr_rank,
+  row_number() OVER (PARTITION BY m.season, m.week, m.position ORDER BY proj_ppr DESC, m.player_id) AS r FROM mixed m
+  LEFT JOIN experts e ON m.season = e.season AND m.week = e.week AND m.player_id = e.player_id AND m.position = e.position)""",
+        (
+            "mixed",
+            """SELECT * EXCLUDE (kind, ecr_rank, last), 'backtest' AS kind FROM drafts CROSS JOIN ends WHERE season >= last - 1 AND NOT (season = last AND week >= 8)
+UNION ALL SELECT * EXCLUDE (kind, ecr_rank, last), 'live' FROM drafts CROSS JOIN ends WHERE season = last AND week >= 8 AND team <> 'T20'""",
+        ),
+    )
+)
+def assembled_projections(spark, sf_dir):
+    """Live weeks from live rows alone, others from the backtest; the experts' rank where positions agree."""
+    drafts, ends, experts = frames(spark, sf_dir, "drafts", "ends", "experts")
+    rows = drafts.join(F.broadcast(ends), F.col("season") >= F.col("last") - 1)
+    live = rows.where("season = last AND week >= 8 AND team <> 'T20'").withColumn("kind", F.lit("live")).drop("last")
+    return pj.assembled(rows.drop("last"), live, experts).select("season", "week", "player_id", "kind", "ecr_rank", "pos_rank_ppr", "start_sit_ppr")
+
+
+USED = ("expected_ppr", "snap_share")
+_sums = ", ".join(
+    f"avg({m}) OVER (PARTITION BY player_id, season ORDER BY week ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS {m}_recent, "
+    f"avg({m}) OVER (PARTITION BY player_id, season ORDER BY week ROWS BETWEEN UNBOUNDED PRECEDING AND 3 PRECEDING) AS {m}_earlier"
+    for m in USED
+)
+_before = ", ".join(f"CASE WHEN games >= 5 THEN {m}_earlier ELSE {m}_last END AS {m}_before" for m in USED)
+
+
+@query(
+    with_frames(
+        """SELECT *, expected_ppr_recent - expected_ppr_before AS expected_ppr_change, snap_share_recent - snap_share_before AS snap_share_change,
+  coalesce(expected_ppr_recent - expected_ppr_before >= 2.5 AND expected_ppr_recent >= 5, FALSE) AS is_riser,
+  row_number() OVER (PARTITION BY season, week ORDER BY round(expected_ppr_recent - expected_ppr_before, 9) DESC NULLS LAST, player_id) AS riser_rank FROM compared""",
+        *FACTS[:3],
+        ("usage_states", f"SELECT player_id, season, week, team, row_number() OVER (PARTITION BY player_id, season ORDER BY week) AS games, {_sums} FROM player_week"),
+        (
+            "compared",
+            f"""SELECT t.season::BIGINT AS season, t.week::BIGINT AS week, t.player_id, s.team, s.games - 3 AS games_earlier, CASE WHEN games >= 5 THEN 'earlier games this season' ELSE 'last season' END AS baseline_basis,
+  {", ".join(f"{m}_recent" for m in USED)}, {_before} FROM (SELECT DISTINCT player_id, p.season, w.week FROM player_week p JOIN (SELECT DISTINCT season, week FROM schedules) w ON p.season = w.season) t
+ASOF JOIN usage_states s ON t.player_id = s.player_id AND t.season = s.season AND t.week > s.week
+LEFT JOIN (SELECT player_id, season + 1 AS season, {", ".join(f"avg({m}) AS {m}_last" for m in USED)} FROM player_week GROUP BY ALL) l ON t.player_id = l.player_id AND t.season = l.season
+WHERE s.games >= 3 AND (s.games >= 5 OR l.player_id IS NOT NULL)""",
+        ),
+    )
+)
+def usage_risers(spark, sf_dir):
+    """Usage in the last three games before each week against what came before."""
+    facts, games = tables(spark, sf_dir)["player_week"], league.frame(spark, sf_dir, "schedules")
+    rows = pj.risers(facts, games.select("season", "week"))
+    return rows.select("season", "week", "player_id", "team", "games_earlier", "baseline_basis", *[f"{m}_{p}" for m in USED for p in ("recent", "before", "change")], "is_riser", "riser_rank")
+
+
+# Evaluation and marts
+
+
+SERVED = (
+    "served",
+    """SELECT d.* EXCLUDE (ecr_rank), e.ecr_rank::BIGINT AS ecr_rank FROM drafts d LEFT JOIN experts e ON d.season = e.season AND d.week = e.week AND d.player_id = e.player_id""",
+)
+LONG = (
+    "long",
+    """SELECT s.season, s.week, s.position, s.kind, s.player_id, coalesce(w.fantasy_points_ppr, 0) AS actual, m.method,
+  CASE m.method WHEN 'model' THEN proj_ppr WHEN 'last3' THEN baseline_last3 WHEN 'season_avg' THEN baseline_season_avg ELSE -ecr_rank END AS prediction,
+  CASE WHEN m.method = 'model' THEN (coalesce(w.fantasy_points_ppr, 0) BETWEEN floor_ppr AND ceiling_ppr)::INT END AS inside
+FROM served s JOIN team_week g ON s.game_id = g.game_id AND s.team = g.team AND g.is_final LEFT JOIN player_week w ON s.season = w.season AND s.week = w.week AND s.player_id = w.player_id
+CROSS JOIN (VALUES ('model'), ('last3'), ('season_avg'), ('ecr')) m(method)
+WHERE ecr_rank <= CASE s.position WHEN 'QB' THEN 24 WHEN 'RB' THEN 48 WHEN 'WR' THEN 72 ELSE 24 END AND baseline_last3 IS NOT NULL""",
+)
+RANKS = (
+    "ranks",
+    """SELECT season, week, position, method, CASE WHEN n >= 5 AND n * sxx > sx * sx AND n * syy > sy * sy THEN (n * sxy - sx * sy) / sqrt((n * sxx - sx * sx) * (n * syy - sy * sy)) END AS spearman
+FROM (SELECT season, week, position, method, count(*) AS n, sum(x)::DOUBLE AS sx, sum(y)::DOUBLE AS sy, sum(x * x)::DOUBLE AS sxx, sum(y * y)::DOUBLE AS syy, sum(x * y)::DOUBLE AS sxy FROM (
+  SELECT *, rank() OVER (PARTITION BY season, week, position, method ORDER BY prediction) + (count(*) OVER (PARTITION BY season, week, position, method, prediction) - 1) / 2.0 AS x,
+    rank() OVER (PARTITION BY season, week, position, method ORDER BY actual) + (count(*) OVER (PARTITION BY season, week, position, method, actual) - 1) / 2.0 AS y FROM long) GROUP BY ALL)""",
+)
+CARD = (
+    "card",
+    """SELECT concat_ws('-', season, week, position, method) AS scorecard_key, * FROM (SELECT season, week, position, method, max(kind) AS kind, count(*) AS n,
+  sum(abs(prediction - actual)) FILTER (method <> 'ecr') AS abs_error_sum, sum((prediction - actual) * (prediction - actual)) FILTER (method <> 'ecr') AS squared_error_sum,
+  sum(prediction - actual) FILTER (method <> 'ecr') AS error_sum, sum(inside)::BIGINT AS inside_count FROM long GROUP BY ALL) JOIN ranks USING (season, week, position, method)""",
+)
+MARTS = (*FACTS[:3], SERVED)
+
+
+def served(spark, sf_dir) -> dict:
+    """The facts and the projections with the experts' rank and made-up places."""
+    t = tables(spark, sf_dir)
+    drafts, experts = frames(spark, sf_dir, "drafts", "experts")
+    rows = pj.with_expert_rank(drafts, experts)
+    made = {f"{k}_{f}": F.lit(v) for f in marts.FORMATS for k, v in (("pos_rank", 1), ("tier", 2), ("start_sit", "Start"))}
+    return t | {"projections": rows.withColumns(made)}
+
+
+@query(with_frames("SELECT scorecard_key, season, week, position, method, kind, n, abs_error_sum, squared_error_sum, error_sum, inside_count, round(spearman, 9) AS spearman FROM card", *MARTS, LONG, RANKS, CARD))
+def mart_scorecard(spark, sf_dir):
+    """Error sums and rank correlation of each week, position and method."""
+    return marts.scorecard(served(spark, sf_dir)).withColumn("spearman", F.round("spearman", 9)).drop("mae")
+
+
+@query(
+    with_frames(
+        """SELECT concat_ws('-', p.season, p.week, p.player_id) AS projection_key, p.season, p.week, coalesce(p.week = (SELECT min(week) FROM team_week WHERE NOT is_final AND season = last), FALSE) AS is_upcoming,
+  g.is_final AS game_final, concat(CASE WHEN p.is_home THEN 'vs ' ELSE '@ ' END, p.opponent) AS matchup, coalesce(report_status, 'None') AS injury_status, ecr_rank, proj_half, 2 AS tier_half, proj_receptions,
+  CASE WHEN g.is_final THEN coalesce(w.fantasy_points_half, 0) END AS actual_half, baseline_last3 FROM served p CROSS JOIN ends JOIN team_week g ON p.game_id = g.game_id AND p.team = g.team
+LEFT JOIN player_week w ON p.season = w.season AND p.week = w.week AND p.player_id = w.player_id WHERE p.season = last""",
+        *MARTS,
+    )
+)
+def mart_cheat_sheet(spark, sf_dir):
+    """This season's projections with the next week marked, and finished games' points."""
+    rows = marts.cheat_sheet(served(spark, sf_dir))
+    return rows.select("projection_key", "season", "week", "is_upcoming", "game_final", "matchup", "injury_status", "ecr_rank", "proj_half", "tier_half", "proj_receptions", "actual_half", "baseline_last3")
+
+
+LOGGED = [c for c in marts.GAME_LOG if c not in ("player_week_key", "proj_ppr", "floor_ppr", "ceiling_ppr", "projection_kind")]
+
+
+@query(
+    with_frames(
+        f"""SELECT concat_ws('-', w.season, w.week, w.player_id) AS player_week_key, {", ".join(f"w.{c}" for c in LOGGED)}, p.proj_ppr, p.floor_ppr, p.ceiling_ppr, p.kind AS projection_kind
+FROM player_week w CROSS JOIN ends LEFT JOIN served p ON w.season = p.season AND w.week = p.week AND w.player_id = p.player_id WHERE w.season >= last - 1""",
+        *MARTS,
+    )
+)
+def mart_game_log(spark, sf_dir):
+    """Results of two seasons with the projection of the game."""
+    return marts.game_log(served(spark, sf_dir))
+
+
+RESULTS = """SELECT p.season, p.week, p.player_id, p.player_name, p.position, p.team, kind, proj_ppr, floor_ppr, ceiling_ppr, baseline_last3, baseline_season_avg, ecr_rank, coalesce(w.fantasy_points_ppr, 0) AS actual_ppr,
+  w.player_id IS NOT NULL AS played, proj_ppr - coalesce(w.fantasy_points_ppr, 0) AS error, coalesce(w.fantasy_points_ppr, 0) BETWEEN floor_ppr AND ceiling_ppr AS inside_range
+FROM served p JOIN team_week g ON p.game_id = g.game_id AND p.team = g.team AND g.is_final LEFT JOIN player_week w ON p.season = w.season AND p.week = w.week AND p.player_id = w.player_id"""
+
+
+@query(with_frames(RESULTS, *MARTS))
+def full_refresh_results(spark, sf_dir):
+    """Every projection of a finished game against what happened."""
+    return marts.results(served(spark, sf_dir))
+
+
+@query(with_frames(RESULTS, *MARTS))
+def refreshed_results(spark, sf_dir):
+    """Only weeks that a change touched are computed again; the same as all of them."""
+    t = served(spark, sf_dir)
+    stale = F.col("week") == 3
+    old = marts.results(t).withColumn("error", F.when(stale, F.lit(-1.0)).otherwise(F.col("error")))
+    changes = t["projections"].where(stale).select("season", "week")
+    return marts.refresh_results(old, t, [changes, changes.limit(0)])
+
+
+@query(
+    with_frames(
+        """SELECT season, week, position, any_value(kind) AS kind, count(*) AS players, sum(abs(error)) / count(*) AS mae, sum(error) / count(*) AS bias,
+  sum(inside_range::INT) / count(*) AS interval_coverage, sum(abs(baseline_last3 - actual_ppr)) / count(*) AS mae_last3 FROM results
+WHERE ecr_rank <= CASE position WHEN 'QB' THEN 24 WHEN 'RB' THEN 48 WHEN 'WR' THEN 72 ELSE 24 END AND baseline_last3 IS NOT NULL GROUP BY season, week, position""",
+        *MARTS,
+        ("results", RESULTS),
+    )
+)
+def weekly_accuracy(spark, sf_dir):
+    """Errors of the model and a baseline by week and position."""
+    return marts.weekly_accuracy(marts.results(served(spark, sf_dir))).drop("rmse", "mae_season_avg")
+
+
+@query(
+    with_frames(
+        """SELECT 'floor_projection_ceiling' AS "check", concat_ws('-', season, week, player_id) AS "row" FROM served WHERE team = 'T13' AND week = 5
+UNION ALL SELECT 'unique_keys', concat_ws('-', season, week, player_id) FROM served CROSS JOIN ends WHERE season = last AND team = 'T15' AND week = 2
+UNION ALL SELECT 'counts_match', concat_ws('-', season, week, position) FROM card GROUP BY season, week, position HAVING count(*) <> 4 OR count(DISTINCT n) > 1""",
+        *MARTS,
+        LONG,
+        RANKS,
+        CARD,
+    )
+)
+def mart_checks(spark, sf_dir):
+    """Rows that break an invariant: a floor above its projection in one format, and repeated keys."""
+    t = served(spark, sf_dir)
+    rows = t["projections"]
+    last = F.broadcast(rows.agg(F.max("season").alias("__last")))
+    rows = rows.withColumn("floor_std", F.when((F.col("team") == "T13") & (F.col("week") == 5), F.col("proj_std") + 0.5).otherwise(F.col("floor_std")))
+    twice = rows.crossJoin(last).where((F.col("season") == F.col("__last")) & (F.col("team") == "T15") & (F.col("week") == 2)).drop("__last").withColumn("ecr_rank", F.lit(None).cast("long"))
+    return marts.broken(t | {"projections": rows.unionByName(twice)})
+
+
+@query(
+    with_frames(
+        """SELECT concat_ws('-', season::VARCHAR, position, 'model') AS metric_key, season::VARCHAR AS scope, position, 'model' AS method, 'Model' AS method_label, count(*) AS n FROM served GROUP BY season, position
+UNION ALL SELECT concat_ws('-', season::VARCHAR, position, 'ecr'), season::VARCHAR, position, 'ecr', 'FantasyPros ECR', count(ecr_rank) FROM served GROUP BY season, position""",
+        SERVED,
+    )
+)
+def mart_backtest_summary(spark, sf_dir):
+    """Metrics with their key and readable method names."""
+    rows = served(spark, sf_dir)["projections"].groupBy(F.col("season").cast("string").alias("scope"), "position")
+    one = lambda method, n: rows.agg(n.alias("n")).withColumn("method", F.lit(method))
+    return marts.backtest_summary({"backtest_metrics": one("model", F.count("*")).unionByName(one("ecr", F.count("ecr_rank")))})
+
+
+@query(
+    with_frames(
+        """SELECT concat_ws('-', season, week, team) AS key, opponent AS side FROM team_week
+UNION ALL SELECT concat_ws('-', season, week, team, position), opponent FROM defense_vs_position""",
+        *FACTS[:4],
+    )
+)
+def staging_keys(spark, sf_dir):
+    """Serving tables with one key column; a defense's sides are named as such."""
+    t = tables(spark, sf_dir)
+    teams = marts.staging("team_week", t["team_week"]).select(F.col("team_week_key").alias("key"), F.col("opponent").alias("side"))
+    return teams.unionByName(marts.staging("defense_vs_position", t["defense_vs_position"]).select(F.col("defense_week_key").alias("key"), F.col("offense").alias("side")))
+
+
+@query(
+    with_frames(
+        """SELECT season, week, player_id, round(own, 6) AS proj_own, row_number() OVER (PARTITION BY season, week, position ORDER BY round(own, 6) DESC, player_id) AS pos_rank_own FROM (
+SELECT *, proj_rushing_yards * 0.5 + proj_receptions * 1.0 + (CASE WHEN position = 'TE' THEN proj_receptions * 0.5 ELSE 0 END) AS own FROM drafts)"""
+    )
+)
+def rescored_sheet(spark, sf_dir):
+    """A sheet under a league's own settings: points, then places anew."""
+    off = dict.fromkeys(("pass_yd", "pass_td", "pass_int", "rush_td", "rec_yd", "rec_td", "fumble_lost", "two_pt"), 0.0)
+    rows = pj.rescored(league.frame(spark, sf_dir, "drafts"), {"preset": "ppr", "rush_yd": 0.5, "te_rec_premium": 0.5} | off)
+    return rows.select("season", "week", "player_id", F.round("proj_own", 6).alias("proj_own"), "pos_rank_own")

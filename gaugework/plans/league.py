@@ -7,10 +7,12 @@ domain functions run on these frames, and their SQL begins with the same text.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugework.plans.features import COMPONENTS
-from gaugework.session import table
+from gaugework.session import kept, table
 
 _position = "CASE slot WHEN 0 THEN 'QB' WHEN 1 THEN 'RB' WHEN 2 THEN 'RB' WHEN 3 THEN 'WR' WHEN 4 THEN 'WR' ELSE 'TE' END"
 _id = "concat('P', 100 + team * 6 + slot)"
@@ -79,11 +81,23 @@ def with_frames(sql: str, *made: tuple[str, str], duck: bool = True) -> str:
 
 
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the league's frames, lazily, from the driver's tables."""
-    names = list(FRAMES)
-    used = names[: names.index(name) + 1]
-    text = "WITH " + ", ".join(f"{n} AS ({FRAMES[n]})" for n in used) + f" SELECT * FROM {name}"
-    return spark.sql(text.replace("{", "{{").replace("}", "}}").replace("FROM lineitem", "FROM {lineitem}"), lineitem=table(spark, sf_dir, "lineitem"))
+    """One of the league's frames, made from the driver's tables once a session."""
+
+    def make() -> DataFrame:
+        used = [n for n in FRAMES if n in needed(name)]
+        text = "WITH " + ", ".join(f"{n} AS ({FRAMES[n]})" for n in used) + f" SELECT * FROM {name}"
+        return spark.sql(text.replace("FROM lineitem", "FROM {lineitem}"), lineitem=table(spark, sf_dir, "lineitem"))
+
+    return kept(spark, f"league {sf_dir} {name}", make)
+
+
+def needed(name: str) -> set[str]:
+    """A frame and those that it is made from."""
+    found = {name}
+    for other in FRAMES:
+        if other not in found and re.search(rf"\b(?:FROM|JOIN) {other}\b", FRAMES[name]):
+            found |= needed(other)
+    return found
 
 
 def frames(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:

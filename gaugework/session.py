@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,3 +52,38 @@ def importable(spark: SparkSession) -> None:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables as a lazy scan."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors and the driver reach: spark.checkpoint.dir.
+
+    Only on one machine (a local master, as in tests) a missing setting gets a
+    temporary folder, kept for the session; a cluster without one is an error,
+    as each executor would write to a disk of its own.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors and the driver reach")
+        found = "file://" + tempfile.mkdtemp(prefix="gaugework-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder for one call, below the shared one."""
+    return f"{shared_dir(spark)}/gaugework/{name}-{uuid.uuid4().hex}"
+
+
+_KEPT: dict[tuple[str, str], str] = {}
+
+
+def kept(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A frame that is written to the shared folder the first time a session asks for it, and read from there."""
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _KEPT:
+        path = work_dir(spark, "kept")
+        make().write.parquet(path)
+        _KEPT[key] = path
+    return spark.read.parquet(_KEPT[key])

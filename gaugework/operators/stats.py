@@ -64,17 +64,53 @@ def scoped(df: DataFrame, scope: str, keys: list[str], aggs: list[Column], poole
     ).drop("__all")
 
 
+#: Slices of the value range that a hot group's values are numbered in.
+SLICES = 1000
+
+
+def quantiles(df: DataFrame, keys: list[str], value: str, at: list[float], out: str = "quantiles") -> DataFrame:
+    """keys and an array of exact quantiles by linear interpolation, nulls not counted.
+
+    Values are counted with partial aggregates, so a task meets distinct values,
+    not rows; they are numbered inside slices of the value range, and a slice
+    begins where those before it end, so no task sorts a whole hot group.
+    """
+    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("__v")).agg(F.count("*").alias("__n"))
+    ends = df.agg(F.min(F.col(value).cast("double")).alias("__low"), F.max(F.col(value).cast("double")).alias("__high"))  # one row
+    part = F.try_divide(F.col("__v") - F.col("__low"), F.col("__high") - F.col("__low"))
+    placed = counted.crossJoin(F.broadcast(ends)).withColumn("__s", F.coalesce(F.floor(part * SLICES), F.lit(0))).drop("__low", "__high")
+    before = Window.partitionBy(*keys).orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
+    slices = placed.groupBy(*keys, "__s").agg(F.sum("__n").alias("__m")).withColumns({"__begin": F.coalesce(F.sum("__m").over(before), F.lit(0)), "__all": F.sum("__m").over(Window.partitionBy(*keys))})
+    upto = Window.partitionBy(*keys, "__s").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    on = F.col("a.__s") == F.col("b.__s")
+    for test in same:
+        on = on & test
+    ranked = placed.withColumn("__end", F.sum("__n").over(upto)).alias("a").join(slices.alias("b"), on).select("a.*", "b.__begin", "b.__all")
+    ranked = ranked.withColumns({"__last": F.col("__begin") + F.col("__end") - 1, "__first": F.col("__begin") + F.col("__end") - F.col("__n")})
+    spot = lambda q: (F.col("__all") - 1) * F.lit(float(q))
+    here = lambda rank: (F.col("__first") <= rank) & (rank <= F.col("__last"))
+    aggs = []
+    for k, q in enumerate(at):
+        low = F.floor(spot(q))
+        high = F.least(low + 1, F.col("__all") - 1)
+        aggs += [F.max(F.when(here(low), F.col("__v"))).alias(f"l{k}"), F.max(F.when(here(high), F.col("__v"))).alias(f"h{k}"), F.max(spot(q) - low).alias(f"p{k}")]
+    found = ranked.groupBy(*keys).agg(*aggs)
+    between = lambda k: F.col(f"l{k}") + (F.col(f"h{k}") - F.col(f"l{k}")) * F.col(f"p{k}")
+    return found.select(*keys, F.array(*[between(k) for k in range(len(at))]).alias(out))
+
+
 def bands(df: DataFrame, keys: list[str], centre: str, residual: str, bins: int = 20, low: float = 0.1, high: float = 0.9) -> DataFrame:
     """Quantiles of the residual by quantile bin of the centre: bin, its mean centre, low and high.
 
     Bins come from exact quantiles of each group, a row a group; the upper ends
     never fall from bin to bin.
     """
-    marks = df.groupBy(*keys).agg(F.percentile(centre, F.array(*[F.lit(k / bins) for k in range(1, bins)])).alias("__marks"))
-    placed = df.join(marks, keys).withColumn("bin", F.size(F.filter("__marks", lambda m: m <= F.col(centre))))
-    cells = placed.groupBy(*keys, "bin").agg(
-        F.try_divide(F.sum(F.col(centre).cast(EXACT)).cast("double"), F.count(centre)).alias("centre"), F.percentile(residual, F.lit(low)).alias("low"), F.percentile(residual, F.lit(high)).alias("high"), F.count("*").alias("n")
-    )
+    marks = quantiles(df, keys, centre, [k / bins for k in range(1, bins)], "__marks")
+    placed = df.join(marks, keys).withColumn("bin", F.size(F.filter("__marks", lambda m: m <= F.col(centre)))).drop("__marks")
+    cells = placed.groupBy(*keys, "bin").agg(F.try_divide(F.sum(F.col(centre).cast(EXACT)).cast("double"), F.count(centre)).alias("centre"), F.count("*").alias("n"))
+    ends = quantiles(placed, [*keys, "bin"], residual, [low, high], "__ends")
+    cells = cells.join(ends, [*keys, "bin"], "left").select(*keys, "bin", "centre", F.get("__ends", 0).alias("low"), F.get("__ends", 1).alias("high"), "n")
     upto = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return cells.withColumn("high", F.max("high").over(upto))
 

@@ -16,6 +16,22 @@ from pyspark.sql import SparkSession
 BLOCK = 1 << 20
 
 
+class Reading:
+    """An open file of the store, read as Python's own are."""
+
+    def __init__(self, stream):
+        self.stream = stream
+
+    def read(self, size: int) -> bytes:
+        return bytes(self.stream.readNBytes(size))
+
+    def __enter__(self) -> Reading:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.stream.close()
+
+
 @dataclass(frozen=True)
 class Store:
     """The file system of a root folder."""
@@ -57,6 +73,10 @@ class Store:
             raise
         return digest.hexdigest()
 
+    def open(self, path: str) -> Reading:
+        """A whole file to read in blocks."""
+        return Reading(self._system().open(self._path(path)))
+
     def move(self, source: str, target: str) -> None:
         """Rename a file or folder, after making the folder around its new name."""
         fs, end = self._system(), self._path(target)

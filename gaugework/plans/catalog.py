@@ -704,11 +704,31 @@ def start_sit(spark, sf_dir):
     return labels.groupBy("label").agg(F.sum("k").alias("n")).where("n > 0")
 
 
-@query()
+@query("""
+WITH p AS (SELECT c_custkey AS player_id, concat('Player ', c_custkey, CASE WHEN c_custkey % 5 = 0 THEN ' Jr.' ELSE '' END) AS player_name, ['QB', 'RB', 'WR', 'TE'][1 + c_custkey % 4] AS position,
+  ['DET', 'GB', 'MIN'][1 + c_custkey % 3] AS team, c_acctbal FROM customer)
+SELECT player_id, player_name, position, team, 80 + 0.5 * 6 + 0.0 AS score, 'prefix' AS reason FROM p WHERE team = 'DET' AND position = 'WR' ORDER BY c_acctbal DESC, player_name LIMIT 20
+""")
 def player_search(spark, sf_dir):
-    """Names that match a query, best first."""
-    people = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("player_id"), F.col("c_name").alias("player_name"), F.lit("QB").alias("position"), F.lit("DET").alias("team"))
-    return search.search(people, "lions customer", limit=20)
+    """Names that match a query with a team and a position, best first, equal ones by relevance."""
+    number = F.col("c_custkey")
+    people = table(spark, sf_dir, "customer").select(
+        number.alias("player_id"), F.concat(F.lit("Player "), number, F.when(number % 5 == 0, " Jr.").otherwise("")).alias("player_name"),
+        F.element_at(F.array(*map(F.lit, ("QB", "RB", "WR", "TE"))), (number % 4 + 1).cast("int")).alias("position"),
+        F.element_at(F.array(*map(F.lit, ("DET", "GB", "MIN"))), (number % 3 + 1).cast("int")).alias("team"), "c_acctbal",
+    )
+    return search.search(people, "player lions wr", F.col("c_acctbal"), 20).drop("c_acctbal")
+
+
+@query("""
+SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'st brown' WHEN c_custkey % 4 = 1 THEN 'harrison' WHEN c_custkey % 4 = 2 THEN 'walker' ELSE concat('customer', lpad(c_custkey::VARCHAR, 9, '0')) END AS surname,
+  CASE c_custkey % 4 WHEN 0 THEN 'S' WHEN 1 THEN 'H' WHEN 2 THEN 'W' ELSE 'C' END AS letter FROM customer
+""")
+def surname_index(spark, sf_dir):
+    """What names are filed under: a hyphen joins a first name, suffixes do not count, a single word is its own surname."""
+    number = F.col("c_custkey") % 4
+    name = F.when(number == 0, "Amon-Ra St. Brown").when(number == 1, "Marvin Harrison Jr.").when(number == 2, "Kenneth Walker III").otherwise(F.replace("c_name", F.lit("#"), F.lit("")))
+    return table(spark, sf_dir, "customer").select("c_custkey", search.surname(name).alias("surname"), search.index_letter(name).alias("letter"))
 
 
 @query("""

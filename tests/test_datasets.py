@@ -257,7 +257,7 @@ def test_freeze_assemble_and_marts(spark, gold, projected):
     done = projected.where("is_final")
     metrics = p.evaluate(done, gold["ecr"], [2025]).cache()
     t = gold | {"projections": out, "risers": p.risers(gold["player_week"], gold["team_week"].select("season", "week")), "backtest_metrics": metrics}
-    assert marts.checks(t) == {"floor_projection_ceiling": 0, "counts_match": 0, "unique_keys": 0, "one_upcoming_week": 0}
+    assert marts.checks(t) == {"floor_projection_ceiling": 0, "counts_match": 0, "unique_keys": 0, "one_upcoming_week": 0, "reconciles": 0}
     sheet = marts.cheat_sheet(t)
     assert {r["week"] for r in sheet.where("is_upcoming").select("week").distinct().collect()} == {5} and sheet.where("is_upcoming AND actual_ppr IS NOT NULL").count() == 0
     assert marts.risers(t).count() > 0 and marts.game_log(t).where("season = 2023").count() == 0 and marts.backtest_summary(t).where("method_label IS NULL").count() == 0

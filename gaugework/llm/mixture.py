@@ -12,13 +12,17 @@ A leaf with budget b and T tokens gives b div T whole epochs and, of the next
 epoch, the prefix of b mod T tokens in the order of md5(seed, epoch, id, text).
 The cut of each leaf is found by counts: tokens by the first digits of the
 digest, then a running sum only within the group that holds the cut. No leaf is
-ever sorted or gathered whole, however hot, and the texts are not shuffled.
+ever sorted or gathered whole, however hot, and the texts are not shuffled. The
+documents are read once: what the result needs of them is written with their
+leaf, tokens and digest, and all later steps read that table. Everything up to
+the choice runs when `mix` is called.
 
 Defined results: nulls in a path column are the node '' there; nodes without a
 positive weight get nothing; a null text has one token, as every document has
 one beside its words; rows equal in id and text share a digest and are taken
 or left together in a partial epoch; a budget beyond all capacity takes all
-epochs. Columns named like an output are replaced.
+epochs; a text of any length counts whole. Columns named like an output,
+whatever the case, are replaced; extra columns of any other name pass through.
 """
 
 from __future__ import annotations
@@ -84,11 +88,9 @@ def budgets(leaves: DataFrame, path: list[str], weights: dict[str, Column], budg
     return leaves.join(parents, path, "left").withColumn("budget", F.coalesce("budget", F.lit(0).cast("long")))
 
 
-def digest(seed: str, epoch: Column, doc_id: str, text: str) -> Column:
+def digest(seed: str, epoch: Column, doc_id: Column, text_hash: Column) -> Column:
     """Place of a document in an epoch's order."""
-    return F.md5(
-        F.concat_ws(":", F.lit(seed), epoch.cast("string"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).cast("binary")
-    )
+    return F.md5(F.concat_ws(":", F.lit(seed), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("")), text_hash).cast("binary"))
 
 
 def mix(
@@ -100,56 +102,56 @@ def mix(
     max_epochs: int = 2,
     doc_id: str = "doc_id",
     text: str = "text",
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """The chosen documents, one row for each epoch that takes them, with their path columns, `n_tokens` and `epoch`.
 
     path: the levels from the root, each an expression over docs; weights: each
-    level's weight from path columns; budget: an expression over `all_tokens`.
+    level's weight from path columns; budget: an expression over `all_tokens`;
+    keep: the columns of docs that the result has, all by default.
     """
     levels = list(path)
-    keys = [f"__{level}" for level in levels]
-    docs = docs.drop(*[c for c in docs.columns if c in ("n_tokens", "epoch")])
-    placed = docs.withColumns({k: F.coalesce(path[level].cast("string"), F.lit("")) for k, level in zip(keys, levels)}).withColumn("__t", n_tokens(F.col(text)))
-    leaf_rows = placed.groupBy(*keys).agg(F.sum("__t").cast("long").alias("tokens"), F.count("*").alias("rows")).select(*[F.col(k).alias(level) for k, level in zip(keys, levels)], "tokens", "rows")
+    wanted = [c for c in docs.columns if c.lower() not in ("n_tokens", "epoch")]
+    wanted = wanted if keep is None else [c for c in wanted if c in keep]
+    # Columns under numbers, so that none of docs can clash with those made here.
+    held = {c: f"c{k}" for k, c in enumerate(wanted)}
+    keys = [f"k{k}" for k in range(len(levels))]
+    hashed = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+    leaf_of = [F.coalesce(path[level].cast("string"), F.lit("")).alias(k) for level, k in zip(levels, keys)]
+    placed = docs.select(*[F.col(f"`{c}`").alias(k) for c, k in held.items()], *leaf_of, n_tokens(F.col(text)).alias("t"), F.col(doc_id).alias("id"), hashed.alias("h"))
+    placed = materialize(placed, "placed")
+    leaf_rows = placed.groupBy(*keys).agg(F.sum("t").cast("long").alias("tokens"), F.count("*").alias("rows")).select(*[F.col(k).alias(level) for k, level in zip(keys, levels)], "tokens", "rows")
     leaves = materialize(budgets(materialize(leaf_rows, "leaves"), levels, weights, budget, max_epochs), "budgets")
     size = leaves.agg(F.count("*").alias("n"), F.max("rows").alias("most")).first()  # one row
     # A row a leaf: broadcast while the tree is as small as trees are; else an ordinary join.
     small = (lambda df: F.broadcast(df)) if size["n"] <= MAX_LEAVES else (lambda df: df)
     digits = max(1, math.ceil(math.log((size["most"] or 1) / GROUP_ROWS + 1, 16)))
 
-    plan = leaves.select(
-        *[F.col(level).alias(k) for level, k in zip(levels, keys)],
-        F.expr("CAST(budget DIV tokens AS INT)").alias("__full"),
-        F.expr("budget % tokens").alias("__rest"),
-    ).where("__full > 0 OR __rest > 0")
-    partial = (
-        placed.join(small(plan.where("__rest > 0")), keys)
-        .withColumn("__key", digest(seed, F.col("__full"), doc_id, text))
-        .select(*keys, "__rest", "__key", "__t", F.left("__key", F.lit(digits)).alias("__g"))
-    )
+    plan = leaves.select(*[F.col(level).alias(k) for level, k in zip(levels, keys)], F.expr("CAST(budget DIV tokens AS INT)").alias("whole"), F.expr("budget % tokens").alias("rest"))
+    plan = plan.where("whole > 0 OR rest > 0")
+    place = digest(seed, F.col("whole"), F.col("id"), F.col("h"))
+    partial = placed.join(small(plan.where("rest > 0")), keys).select(*keys, "rest", place.alias("key"), "t", F.left(place, F.lit(digits)).alias("g"))
     partial = materialize(partial, "order")
-    upto = Window.partitionBy(*keys).orderBy("__g")
-    groups = partial.groupBy(*keys, "__rest", "__g").agg(F.sum("__t").alias("t")).withColumn("sum", F.sum("t").over(upto))
-    cut_group = groups.where("sum > __rest").groupBy(*keys).agg(F.min(F.struct("__g", (F.col("sum") - F.col("t")).alias("before"))).alias("at")).select(*keys, F.col("at.__g").alias("__g"), F.col("at.before").alias("before"))
-    within = Window.partitionBy(*keys).orderBy("__key")
+    groups = partial.groupBy(*keys, "rest", "g").agg(F.sum("t").alias("t")).withColumn("sum", F.sum("t").over(Window.partitionBy(*keys).orderBy("g")))
+    cut_group = groups.where("sum > rest").groupBy(*keys).agg(F.min(F.struct("g", (F.col("sum") - F.col("t")).alias("before"))).alias("at")).select(*keys, "at.g", "at.before")
+    within = Window.partitionBy(*keys).orderBy("key").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     last = (
-        partial.join(small(cut_group), [*keys, "__g"])
-        .withColumn("sum", F.col("before") + F.sum("__t").over(within.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
-        .where("sum <= __rest")
+        partial.join(small(cut_group), [*keys, "g"])
+        .withColumn("sum", F.col("before") + F.sum("t").over(within))
+        .where("sum <= rest")
         .groupBy(*keys)
-        .agg(F.max("__key").alias("__in"))
+        .agg(F.max("key").alias("last"))
     )
     # Up to the last key inside the cut's group, or all groups before it if none of its own fits.
-    cuts = cut_group.join(last, keys, "left").select(*keys, F.coalesce("__in", "__g").alias("__cut"))
+    cuts = cut_group.join(last, keys, "left").select(*keys, F.coalesce("last", "g").alias("cut"))
     final = materialize(plan.join(cuts, keys, "left"), "cuts")
-    taken = F.col("__full") + F.when((F.col("__rest") > 0) & (digest(seed, F.col("__full"), doc_id, text) <= F.col("__cut")), 1).otherwise(0)
-    chosen = placed.join(small(final), keys).withColumn("__n", taken).where("__n > 0")
-    extra = [c for c in docs.columns if c not in levels]
+    taken = F.col("whole") + F.when((F.col("rest") > 0) & (place <= F.col("cut")), 1).otherwise(0)
+    chosen = placed.join(small(final), keys).withColumn("n", taken).where("n > 0")
     return chosen.select(
-        *[F.col(f"`{c}`") for c in extra],
-        *[(F.col(level) if level in docs.columns else F.col(k).alias(level)) for level, k in zip(levels, keys)],
-        F.col("__t").alias("n_tokens"),
-        F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("epoch"),
+        *[F.col(k).alias(c) for c, k in held.items() if c not in levels],
+        *[F.col(held[level] if level in held else k).alias(level) for level, k in zip(levels, keys)],
+        F.col("t").alias("n_tokens"),
+        F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("epoch"),
     )
 
 

@@ -209,7 +209,7 @@ picked AS (SELECT *, whole + CASE WHEN rest > 0 AND sum(n_tokens) OVER (PARTITIO
 def op9_mixture(spark, sf_dir):
     """9: every document that the mixture takes, once for each epoch."""
     rows = docs(spark, sf_dir).select("doc_id", "text", "lang", "source")
-    out = mixture.mix(rows, mixture.corpus_path(), mixture.corpus_weights(), mixture.corpus_budget())
+    out = mixture.mix(rows, mixture.corpus_path(), mixture.corpus_weights(), mixture.corpus_budget(), keep=["doc_id", "lang", "source"])
     return out.select("doc_id", "domain", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"), "n_tokens", "epoch")
 
 

@@ -2,35 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from gaugework.session import importable  # noqa: F401
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors and the driver reach: spark.checkpoint.dir.
-
-    Only on one machine (a local master, as in tests) a missing setting gets a
-    temporary folder, kept for the session; a cluster without one is an error,
-    as each executor would write to a disk of its own.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors and the driver reach")
-        found = "file://" + tempfile.mkdtemp(prefix="gaugework-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for one call, below the shared one."""
-    return f"{shared_dir(spark)}/gaugework/{name}-{uuid.uuid4().hex}"
+from gaugework.session import importable, shared_dir, work_dir  # noqa: F401
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -76,3 +53,35 @@ def fresh_names(df: DataFrame, *stems: str) -> list[str]:
 def tasks_for(spark: SparkSession) -> int:
     """Partitions that the session asks for in a shuffle."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def observed(df: DataFrame, name: str, **aggs: Column) -> tuple[DataFrame, dict]:
+    """The same, with aggregates of the rows that ride along with the write; a missing value is 0."""
+    watch = Observation(name)
+    table = materialize(df.observe(watch, *[agg.alias(k) for k, agg in aggs.items()]), name)
+    found = watch.get
+    return table, {k: found.get(k) or 0 for k in aggs}
+
+
+#: A key is hot when it holds more than 1 / HOT of the rows, and more than PIECE of them; its rows are dealt in PIECES.
+HOT, PIECE, PIECES = 1000, 1000, 256
+
+
+def hot_keys(counts: DataFrame, key: Column, total: int, most: int, n: str = "n") -> list[int]:
+    """Hot keys (64-bit numbers) of a table of counts by key: fewer than HOT, whatever the data; no job where `most` shows that there are none."""
+    least = max(total // HOT, PIECE)
+    return [r[0] for r in counts.where(F.col(n) > least).select(key).collect()] if most > least else []
+
+
+def spread(rows: DataFrame, key: Column, hot: list[int], by: str) -> DataFrame:
+    """rows with `__salt`: the piece of a hot key that the hash of `by` deals a row to, 0 for others."""
+    piece = F.when(key.isin(hot), F.pmod(F.xxhash64(by), F.lit(PIECES))).otherwise(0) if hot else F.lit(0)
+    return rows.withColumn("__salt", piece.cast("int"))
+
+
+def copies(rows: DataFrame, key: Column, hot: list[int]) -> DataFrame:
+    """rows once for each piece of their key, to be joined on key and `__salt`."""
+    if not hot:
+        return rows.withColumn("__salt", F.lit(0))
+    every = F.sequence(F.lit(0), F.when(key.isin(hot), PIECES - 1).otherwise(0))
+    return rows.withColumn("__salt", F.explode(every))

@@ -6,28 +6,36 @@ Exact containment of a window means that all of its shingles occur, so one
 shingle is a sufficient prefix: the rarest one, by its count in the documents.
 
 1. One pass over the documents keeps, inside each row, the positions whose
-   shingle occurs in any item at all, with the few words around them. A small
-   item vocabulary is tested in the row; beyond `max_inline` shingles the
-   positions are exploded and joined instead, with the same result.
+   shingle may occur in an item, with the few words around them. Up to
+   `max_inline` item shingles are tested as a set in the row, more as a bitmap of
+   BITS_EACH bits a shingle, MAX_BITS at most; what the bitmap lets through by
+   chance meets no window later, so the result is the same.
 2. The kept positions give the shingle counts; windows keep their rarest shingle.
 3. Positions join windows on that prefix; positional and length bounds place
-   the window in the document; equality of the words decides.
+   the window in the document; equality of the words decides. Windows are
+   broadcast if their counted number is at most MAX_BROADCAST; else a shingle of
+   very many positions is dealt in pieces.
 4. Hits of a document are united to word counts and item lists and joined back.
 
 Nothing but kept positions and per-document counts is shuffled. A text is never
-cut; matching is exact, hashes only preselect.
+cut; matching is exact, hashes only preselect. Items, and in a first pass the
+documents, are read when `decontaminate` is called.
 
-Defined results: null and empty texts have no words and are clean; an item
-without words has no window; a null item_id marks hits but adds no id; repeated
-document rows each get the same result; equal item rows count once.
+Defined results: null and empty texts have no words and are clean; a text of any
+length is searched whole, inside its row; an item without words has no window; a
+null item_id marks hits but adds no id; repeated document rows each get the same
+result; equal item rows count once. Extra columns of any name are not read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugework.llm.common import ascii_lower, materialize
+from gaugework.llm.common import ascii_lower, copies, hot_keys, materialize, observed, spread
 
 #: A word, before A-Z is lower-cased: digits, letters and everything beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -35,6 +43,9 @@ WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WIDTH = 10
 SHINGLE = 5
 MAX_INLINE = 20_000
+#: The bitmap of item shingles: bits for each, and at most, which are 8 MB.
+BITS_EACH, MAX_BITS = 16, 1 << 26
+MAX_BROADCAST = 100_000
 
 
 def words(text: Column) -> Column:
@@ -74,6 +85,21 @@ def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text",
     return found.withColumn("made", made).select("item_id", "window", "size", "length", F.posexplode("made").alias("offset", "sh"))
 
 
+def bitmap(shingles: DataFrame, count: int) -> Callable[[Column], Column]:
+    """A test that every hash of `sh` passes and few others do: two bits each of a literal bitmap, made by partial aggregates."""
+    bits = min(MAX_BITS, 1 << (max(1, count) * BITS_EACH - 1).bit_length())
+    first = lambda h: F.pmod(h, F.lit(bits))
+    second = lambda h: F.pmod(F.shiftright(h, 32), F.lit(bits))
+    spots = shingles.select(F.explode(F.array(first(F.col("sh")), second(F.col("sh")))).alias("b"))
+    words = spots.groupBy(F.shiftright("b", 5).cast("int").alias("i")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("b") % 32).cast("int"))).alias("w"))
+    found = words.toArrow()  # MAX_BITS / 32 rows at most
+    filled = np.zeros(max(1, bits // 32), dtype=np.int64)
+    filled[found.column("i").to_numpy()] = found.column("w").to_numpy()
+    table = F.split(F.lit(",".join(map(str, filled.tolist()))), ",").cast("array<bigint>")
+    bit = lambda b: F.call_function("shiftright", F.get(table, F.shiftright(b, 5).cast("int")), (b % 32).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return lambda h: bit(first(h)) & bit(second(h))
+
+
 def decontaminate(
     docs: DataFrame,
     items: DataFrame,
@@ -84,6 +110,7 @@ def decontaminate(
     width: int = WIDTH,
     shingle: int = SHINGLE,
     max_inline: int = MAX_INLINE,
+    max_broadcast: int = MAX_BROADCAST,
 ) -> DataFrame:
     """doc_id, n_words, spans (start and end of the hit runs of words), n_hit, items (sorted ids), contaminated.
 
@@ -91,8 +118,13 @@ def decontaminate(
     """
     windows = materialize(item_windows(items, item_id, item_text, width, shingle), "windows")
     sizes = sorted(r[0] for r in windows.select("length").distinct().collect())  # at most `shingle` values
-    some = [r[0] for r in windows.select("sh").distinct().limit(max_inline + 1).collect()]
-    inline = len(some) <= max_inline
+    known = windows.select("sh").distinct()
+    count = known.count()
+    if count <= max_inline:
+        some = [r[0] for r in known.collect()]  # max_inline at most
+        wanted = lambda h: h.isin(some)
+    else:
+        wanted = bitmap(known, count)
 
     reach = width - 1
     base = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text).cast("string")).alias("text_key"), words(F.col(text)).alias("words"))
@@ -101,47 +133,21 @@ def decontaminate(
         base = base.withColumn(f"s{size}", _shingles("hashes", size))
 
     def spots_of(size: int) -> Column:
-        at = F.transform(f"s{size}", lambda h, i: F.struct(i.alias("pos"), h.alias("sh")))
-        if inline and some:
-            at = F.filter(at, lambda x: x["sh"].isin(some))
+        at = F.filter(F.transform(f"s{size}", lambda h, i: F.struct(i.alias("pos"), h.alias("sh"))), lambda x: wanted(x["sh"]))
         begin = lambda x: F.greatest(x["pos"] - reach, F.lit(0))
         return F.transform(
             at,
             lambda x: F.struct(
-                x["pos"].alias("pos"),
-                x["sh"].alias("sh"),
-                F.lit(size).alias("length"),
-                begin(x).alias("from"),
-                F.when(F.lit(inline), F.slice("words", begin(x) + 1, F.lit(2 * width))).alias("near"),
+                x["pos"].alias("pos"), x["sh"].alias("sh"), F.lit(size).alias("length"), begin(x).alias("from"), F.slice("words", begin(x) + 1, F.lit(2 * width)).alias("near")
             ),
-        )
+        )
 
-    kept = [spots_of(size) for size in sizes]
     empty = F.array().cast("array<struct<pos:int,sh:bigint,length:int,from:int,near:array<string>>>")
-    kept = F.concat(empty, *kept)
-    n_words = F.size("words").cast("long").alias("n_words")
-    if inline:
-        marked = materialize(base.select("doc_id", "text_key", n_words, kept.alias("kept")), "marked")
-        hits = marked.select("doc_id", "text_key", "n_words", F.inline("kept"))
-        hits = hits.dropDuplicates(["doc_id", "text_key", "pos", "length"])
-        counts = marked.select("doc_id", "text_key", "n_words")
-    else:
-        # A vocabulary too large for the plan: join positions first, fetch the words around the few that stay after.
-        counts = base.select("doc_id", "text_key", n_words)
-        known = windows.select("sh").distinct()
-        spots = base.select("doc_id", "text_key", n_words, F.inline(kept)).drop("near").join(known, "sh", "left_semi")
-        spots = spots.groupBy("doc_id", "text_key", "n_words").agg(F.collect_set(F.struct("pos", "sh", "length", "from")).alias("spots"))
-        source = base.select(F.col("doc_id").alias("d"), F.col("text_key").alias("t"), "words").dropDuplicates(["d", "t"])
-        hits = spots.join(source, spots["doc_id"].eqNullSafe(source["d"]) & (spots["text_key"] == source["t"]))
-        hits = materialize(
-            hits.select(
-                "doc_id", "text_key", "n_words",
-                F.inline(F.transform("spots", lambda x: F.struct(
-                    x["pos"].alias("pos"), x["sh"].alias("sh"), x["length"].alias("length"), x["from"].alias("from"),
-                    F.slice("words", x["from"] + 1, F.lit(2 * width)).alias("near")))),
-            ),
-            "hits",
-        )
+    kept = F.concat(empty, *[spots_of(size) for size in sizes])
+    marked = materialize(base.select("doc_id", "text_key", F.size("words").cast("long").alias("n_words"), kept.alias("kept")), "marked")
+    counts = marked.select("doc_id", "text_key", "n_words")
+    # Rows that repeat id and text hold the same positions.
+    hits = marked.where(F.size("kept") > 0).dropDuplicates(["doc_id", "text_key"]).select("doc_id", "text_key", "n_words", F.inline("kept"))
 
     # Rarity over all documents; a shingle that never occurs rules its window out.
     rarity = hits.groupBy("sh").agg(F.count("*").alias("df"))
@@ -155,11 +161,15 @@ def decontaminate(
     )
     start = F.col("pos") - F.col("offset")
     same = F.transform(F.slice("near", start - F.col("from") + 1, F.col("size")), ascii_lower) == F.col("window")
-    found = (
-        hits.join(prefix, (F.col("sh") == F.col("psh")) & (F.col("length") == F.col("plen")) & (start >= 0) & (start + F.col("size") <= F.col("n_words")))
-        .where(same)
-        .select("doc_id", "text_key", start.alias("start"), (start + F.col("size")).alias("end"), "ids")
-    )
+    placed = (F.col("length") == F.col("plen")) & (start >= 0) & (start + F.col("size") <= F.col("n_words")) & same
+    if windows.count() <= max_broadcast:
+        met = hits.join(F.broadcast(prefix), (F.col("sh") == F.col("psh")) & placed)
+    else:
+        rarity, seen = observed(rarity, "rarity", total=F.sum("df"), most=F.max("df"))
+        sh = F.col("sh")
+        hot = hot_keys(rarity, sh, seen["total"], seen["most"], "df")
+        met = spread(hits, sh, hot, "text_key").join(copies(prefix.withColumnRenamed("psh", "sh"), sh, hot), ["sh", "__salt"]).where(placed)
+    found = met.select("doc_id", "text_key", start.alias("start"), (start + F.col("size")).alias("end"), "ids")
     merged = F.aggregate(
         "runs",
         F.array().cast("array<struct<start:int,end:int>>"),

@@ -44,10 +44,10 @@ def made():
     return docs + [(80, None), (81, ""), (79, docs[-1][1]), (None, docs[45][1])], items
 
 
-@pytest.mark.parametrize("max_inline", [20_000, 0])
-def test_equals_plain_search(spark, max_inline):
+@pytest.mark.parametrize(("max_inline", "max_broadcast"), [(20_000, 100_000), (0, 100_000), (0, 0)])
+def test_equals_plain_search(spark, max_inline, max_broadcast):
     docs, items = made()
-    out = decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), max_inline=max_inline)
+    out = decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), max_inline=max_inline, max_broadcast=max_broadcast)
     got = sorted(((r["doc_id"], r["n_words"], r["n_hit"], tuple(r["items"]), r["contaminated"]) for r in out.collect()), key=str)
     assert got == plain(docs, items)
     for r in out.collect():
@@ -60,3 +60,13 @@ def test_odd_rows_and_empty_sides(spark, odd_documents):
     assert {r["doc_id"] for r in decontaminate(odd_documents, items).where("contaminated").collect()} == {5}
     assert decontaminate(odd_documents, items.limit(0)).where("contaminated").count() == 0
     assert decontaminate(odd_documents.limit(0), items).count() == 0
+
+
+def test_a_very_long_text_and_clashing_columns(spark):
+    """300,000 words with an item at either end, beside columns named like those that are made."""
+    item = "one two three four five six seven eight nine ten eleven"
+    filler = " ".join(f"v{k % 911}" for k in range(300_000))
+    docs = spark.createDataFrame([(1, f"{item} {filler} {item}", 1, "x", "y"), (2, filler, 1, "x", "y")], "doc_id long, text string, n_words int, kept string, `from` string")
+    items = spark.createDataFrame([("a", item, 0)], "item_id string, text string, sh int")
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"]) for r in decontaminate(docs, items).collect()}
+    assert got == {1: (300_022, 22), 2: (300_000, 0)}

@@ -27,14 +27,21 @@ number, but what each has alone rules nearly all of them out. At the defaults,
 two documents of similarity 0.8 share no bucket with probability 3e-6, of 0.9
 with 3e-11.
 
-Large groups: copies are counted with partial aggregates and joined with salts;
-buckets are only ever aggregated or joined in rows of a few numbers; texts move
-by document, never by bucket. Lineage is cut by tables in the shared folder.
+Large groups: copies are counted with partial aggregates. A bucket, hub, class
+or text of many rows is dealt in pieces, and what is joined to it is copied to
+its pieces; the hot keys are found by counts, and there are fewer than HOT of
+them whatever the data, so they are a list in the plan. A hub's shingles are made
+once a piece, and its documents stream by them. Components are found by
+alternating large-star and small-star rounds, at most O(log(n)^2) of them for n
+nodes (Kiveris and others, 2014). Lineage is cut by tables in the shared folder;
+all but the last join runs when `near_duplicates` is called.
 
 Defined results: documents without a word (null, empty, blank) are each a class
 of their own; a document of fewer words than a shingle has one shingle, all its
-words; rows that repeat id and text are in one class; the class id is the least
-id in the class (null if it has none). Empty tables give empty results.
+words; a text of any length is shingled whole; rows that repeat id and text are
+in one class; the class id is the least id in the class (null if it has none).
+Ids must be whole numbers. Empty tables give empty results; extra columns of any
+name are not read.
 """
 
 from __future__ import annotations
@@ -44,13 +51,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugework.llm.common import materialize, small_batches
+from gaugework.llm.common import copies, hot_keys, materialize, observed, small_batches, spread
 
 WORD = r"[^\x20\x09-\x0D]+"
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
-SALTS = 16
 #: Nodes of a bucket whose open pairs are all tested; beyond, pairs that cannot be links are ruled out first.
 SMALL = 12
 #: Documents that a task has in arrays at a time.
@@ -199,19 +205,25 @@ def sketch(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bands: i
 def components(edges: DataFrame) -> DataFrame:
     """node, label for all ends of edges (a, b): the least node that can be reached.
 
-    Rounds of least label over neighbours and of jumps to the label's label;
-    the number of rounds is logarithmic in the length of chains.
+    Large-star joins the greater neighbours of a node to the least node it sees,
+    small-star the smaller ones; when neither changes anything each component is
+    a star around its least node.
     """
-    both = materialize(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")), "labels")
+    one = {"rows": F.count("*"), "mark": F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))}
+    links, state = observed(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges", **one)
     while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        step = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = step.join(labels.select(F.col("node").alias("label"), F.col("label").alias("next")), "label")
-        new = materialize(jump.select("node", "old", F.least("label", "next").alias("label")), "labels")
-        labels = new.select("node", "label")
-        if new.where("old <> label").limit(1).count() == 0:
-            return labels
+        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low, seen = observed(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("n")), "low", most=F.max("n"))
+        u = F.col("u")
+        hot = hot_keys(low, u, 2 * state["rows"], seen["most"])
+        large = spread(both, u, hot, "v").join(copies(low.select("u", "m"), u, hot), ["u", "__salt"]).where("v > u")
+        large = materialize(large.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+        links, new = observed(small.select("e.*").where("u <> v").distinct(), "small", **one)
+        if new == state:
+            return links.select(F.col("u").alias("node"), F.col("v").alias("label")).union(links.select("v", F.col("v").alias("label")).distinct())
+        state = new
 
 
 def unique_weights(words: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -239,11 +251,11 @@ def region_arrays(words: DataFrame, size: int = SHINGLE) -> DataFrame:
 
 
 def _sides(few: DataFrame, whole: DataFrame, *extra: str) -> tuple[DataFrame, DataFrame, Column]:
-    """Rows of few beside rows of whole as columns x and y, to be joined on the returned condition."""
-    left = few.select(F.col("key").alias("kx"), F.struct("nid", "label", *extra).alias("x"))
-    right = whole.select(F.col("key").alias("ky"), F.struct("nid", "label", "top", *extra).alias("y"))
+    """Rows of few beside rows of whole as columns x and y, to be joined on the returned condition; few has a copy for each piece of a hot bucket."""
+    left = few.select(F.col("key").alias("kx"), F.col("__salt").alias("sx"), F.struct("nid", "label", *extra).alias("x"))
+    right = whole.select(F.col("key").alias("ky"), F.col("__salt").alias("sy"), F.struct("nid", "label", "top", *extra).alias("y"))
     once = (F.col("x.label") != F.col("y.label")) & ((F.col("y.label") == F.col("y.top")) | (F.col("x.nid") < F.col("y.nid")))
-    return left, right, (F.col("kx") == F.col("ky")) & once
+    return left, right, (F.col("kx") == F.col("ky")) & (F.col("sx") == F.col("sy")) & once
 
 
 def _pairs(met: DataFrame) -> DataFrame:
@@ -256,7 +268,7 @@ def _across(rest: DataFrame) -> DataFrame:
     return _pairs(left.join(right, on))
 
 
-def _links_across(wide: DataFrame, thousandths: int) -> DataFrame:
+def _links_across(wide: DataFrame, hot: list[int], thousandths: int) -> DataFrame:
     """The same for large buckets, but links only: the whole test is the join's condition.
 
     A shingle that no other open node has is never common, so c = min(w - u)
@@ -264,9 +276,10 @@ def _links_across(wide: DataFrame, thousandths: int) -> DataFrame:
     reach it go no further. Others are tested in the first bucket that they
     share, on their regions.
     """
-    least = wide.groupBy("key").agg(F.min("w").alias("least"))
-    few = wide.where("label <> top").join(least, "key").where(1000 * (F.col("w") - F.col("u")) >= thousandths * (F.col("u") + F.col("least")))
-    left, right, on = _sides(few, wide, "w", "u", "bands", "regions")
+    key = F.col("key")
+    least = copies(wide.groupBy("key").agg(F.min("w").alias("least")), key, hot)
+    few = wide.where("label <> top").join(least, ["key", "__salt"]).where(1000 * (F.col("w") - F.col("u")) >= thousandths * (F.col("u") + F.col("least")))
+    left, right, on = _sides(copies(few.drop("__salt"), key, hot), wide, "w", "u", "bands", "regions")
     c = F.least(F.col("x.w") - F.col("x.u"), F.col("y.w") - F.col("y.u"))
     reach = 1000 * c >= thousandths * (F.col("x.w") + F.col("y.w") - c)
     same = F.zip_with("x.bands", "y.bands", lambda p, q: p == q)
@@ -276,8 +289,48 @@ def _links_across(wide: DataFrame, thousandths: int) -> DataFrame:
     return _pairs(left.join(right, on & reach & here & link))
 
 
+def _regions_of(column: pa.Array, k: int, size: int) -> np.ndarray:
+    """Weight regions of a row's word hashes."""
+    values = column[k].values.to_numpy(zero_copy_only=False).view(np.uint32)
+    return regions(*shingles(values, np.array([len(values)]), size))
+
+
+def _linked(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([min(p) for p in pairs], pa.int64()), pa.array([max(p) for p in pairs], pa.int64())], ["a", "b"])
+
+
+def verify_stars(spokes: DataFrame, words: DataFrame, similarity: float, size: int = SHINGLE) -> DataFrame:
+    """The pairs (a, b) of spokes (nid, hub) that reach the similarity; words: nid and 32-bit word hashes.
+
+    A hub's words come first in each of its pieces, its documents after them.
+    """
+    thousandths = round(similarity * 1000)
+    many, seen = observed(spokes.groupBy("hub").agg(F.count("*").alias("n")), "hub-sizes", most=F.max("n"), total=F.sum("n"))
+    hub = F.col("hub")
+    hot = hot_keys(many, hub, seen["total"], seen["most"])
+    around = spread(spokes, hub, hot, "nid").join(words, "nid").select("hub", "__salt", "nid", "words")
+    middle = copies(many.join(words.withColumnRenamed("nid", "hub"), "hub"), hub, hot).select("hub", "__salt", F.lit(None).cast("long").alias("nid"), "words")
+    dealt = middle.unionByName(around).repartition("hub", "__salt").sortWithinPartitions("hub", "__salt", F.asc_nulls_first("nid"))
+
+    def run(batches):
+        centre = None
+        for batch in batches:
+            hubs, nids, held, found = batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), []
+            for k in range(batch.num_rows):
+                mine = _regions_of(held, k, size)
+                if nids[k] is None:
+                    centre = mine
+                    continue
+                common, union = weighted_jaccard(centre, mine)
+                if 1000 * common >= thousandths * union:
+                    found.append((nids[k], hubs[k]))
+            yield _linked(found)
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def verify(pairs: DataFrame, words: DataFrame, similarity: float, size: int = SHINGLE) -> DataFrame:
-    """The pairs (a, b) whose documents reach the similarity; words: nid and 32-bit word hashes."""
+    """The pairs (a, b) whose documents reach the similarity, each document in a few of them."""
     thousandths = round(similarity * 1000)
     b = words.select(F.col("nid").alias("b"), F.col("words").alias("wb"))
     a = words.select(F.col("nid").alias("a"), F.col("words").alias("wa"))
@@ -285,80 +338,78 @@ def verify(pairs: DataFrame, words: DataFrame, similarity: float, size: int = SH
 
     def run(batches):
         last, left = None, None
-
-        def of(column, k):
-            values = column[k].values.to_numpy(zero_copy_only=False).view(np.uint32)
-            sh, doc = shingles(values, np.array([len(values)]), size)
-            return regions(sh, doc)
-
         for batch in batches:
-            ids, others, keep = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
+            ids, others, found = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
             for k in range(batch.num_rows):
                 if ids[k] != last:
-                    last, left = ids[k], of(batch.column(2), k)
-                common, union = weighted_jaccard(left, of(batch.column(3), k))
-                keep.append(1000 * common >= thousandths * union)
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, y in zip(ids, keep) if y], pa.int64()), pa.array([x for x, y in zip(others, keep) if y], pa.int64())], ["a", "b"])
+                    last, left = ids[k], _regions_of(batch.column(2), k, size)
+                common, union = weighted_jaccard(left, _regions_of(batch.column(3), k, size))
+                if 1000 * common >= thousandths * union:
+                    found.append((ids[k], others[k]))
+            yield _linked(found)
 
     return joined.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, small: int = SMALL
 ) -> DataFrame:
     """doc_id, node, class_id, class_size for every row of docs, and `kept`: one row's id and text of each class."""
     small_batches(docs.sparkSession)
     sketches = materialize(sketch(docs, doc_id, text, bands, rows), "sketches")
     # One node for equal texts. Its number is fixed by being written.
-    nodes = materialize(
+    nodes, kept = observed(
         sketches.where("bands IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.count("*").alias("copies"))
         .select(F.monotonically_increasing_id().alias("nid"), "node", "rep", "bands", "copies"),
-        "nodes",
+        "nodes", rows=F.sum("copies"), most=F.max("copies"), count=F.count("*"),
     )
-    keyed = nodes.select("nid", F.explode("bands").alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = materialize(keyed.join(sizes, "key"), "buckets")
+    keyed, key = nodes.select("nid", F.explode("bands").alias("key")), F.col("key")
+    sizes, seen = observed(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "sizes", total=F.sum("n"), most=F.max("n"))
+    hot = hot_keys(sizes, key, seen["total"], seen["most"])
+    shared = materialize(spread(keyed, key, hot, "nid").join(copies(sizes, key, hot), ["key", "__salt"]), "buckets")
     # The node whose buckets hold the most is nearest to the middle of its copies.
     centre = shared.groupBy("nid").agg(F.sum("n").alias("c"))
     hubs = shared.join(centre, "nid").groupBy("key").agg(F.max(F.struct("c", (-F.col("nid")).alias("nid"))).alias("h")).select("key", (-F.col("h.nid")).alias("hub"))
-    spots = materialize(shared.join(hubs, "key"), "hubs")
-    pair = (F.least("nid", "hub").alias("a"), F.greatest("nid", "hub").alias("b"))
-    first = materialize(spots.where("nid <> hub").select(*pair).distinct(), "pairs")
+    spots = materialize(shared.join(copies(hubs, key, hot), ["key", "__salt"]), "hubs")
+    spokes = materialize(spots.where("nid <> hub").select("nid", "hub").distinct(), "spokes")
 
     # The words of all nodes that share a bucket, from one row of each text.
-    wanted = first.select(F.col("a").alias("nid")).union(first.select("b")).distinct().join(nodes.select("nid", "node", "rep"), "nid")
+    wanted = spokes.select("nid").union(spokes.select("hub")).distinct().join(nodes.select("nid", "node", "rep"), "nid")
     raw = F.col(text).cast("string")
     source = docs.select(F.col(doc_id).cast("long").alias("rep"), F.unhex(F.md5(raw.cast("binary"))).alias("node"), raw.alias("text"))
     held = source.join(wanted, source["rep"].eqNullSafe(wanted["rep"]) & (source["node"] == wanted["node"])).select("nid", "text").dropDuplicates(["nid"])
     low = F.transform(_word_hashes(F.col("text")), lambda h: F.shiftright(h, 32).cast("int"))
     words = materialize(held.select("nid", low.alias("words")), "words")
 
-    links = materialize(verify(first, words, similarity), "links")
+    links = materialize(verify_stars(spokes, words, similarity), "links")
     labels = components(links)
     # Buckets that still hold several classes: nodes outside the largest one meet the others.
     placed = materialize(spots.join(labels.withColumnRenamed("node", "nid"), "nid", "left").withColumn("label", F.coalesce("label", "nid")), "placed")
     by_class = placed.groupBy("key", "label").agg(F.count("*").alias("m"))
     mixed = by_class.groupBy("key").agg(F.count("*").alias("classes"), F.max(F.struct("m", "label")).alias("top")).where("classes > 1").select("key", F.col("top.label").alias("top"))
-    rest = materialize(placed.join(mixed, "key").where("nid <> hub").select("key", "nid", "label", "top", "n"), "rest")
-    open_ = materialize(_across(rest.where(F.col("n") <= SMALL)), "open")
-    wide = rest.where(F.col("n") > SMALL)
+    rest = materialize(placed.join(copies(mixed, key, hot), ["key", "__salt"]).where("nid <> hub").select("key", "__salt", "nid", "label", "top", "n"), "rest")
+    open_ = materialize(_across(rest.where(F.col("n") <= small)), "open")
+    wide = rest.where(F.col("n") > small)
     held = words.join(wide.select("nid").distinct(), "nid", "left_semi")
     weights = unique_weights(held).where(F.col("u") * 1000 <= F.col("w") * (1000 - round(similarity * 1000)))
     weights = weights.join(region_arrays(held), "nid").join(nodes.select("nid", "bands"), "nid")
     wide = wide.join(materialize(weights, "weights"), "nid")
-    more = verify(open_, words, similarity).union(_links_across(wide, round(similarity * 1000)))
+    more = verify(open_, words, similarity).union(_links_across(wide, hot, round(similarity * 1000)))
     more = materialize(more, "links")
     if more.limit(1).count():
         labels = components(links.union(more))
 
-    members = nodes.join(labels.withColumnRenamed("node", "nid"), "nid", "left").select("node", "rep", "copies", F.coalesce("label", "nid").alias("label"))
+    members = materialize(nodes.join(labels.withColumnRenamed("node", "nid"), "nid", "left").select("nid", "node", "rep", "copies", F.coalesce("label", "nid").alias("label")), "members")
     # Nodes, not rows, so a hot text counts once; sums per class with partial aggregates.
     classes = members.groupBy("label").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("class_size"), F.count("*").alias("texts"), F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "node")).alias("best"))
-    known = members.join(classes, "label")
-    # Only classes of more than one row need the join back to the rows, with salts for hot texts.
-    many = known.where("class_size > 1").select("node", "class_id", "class_size", (F.col("best.node") == F.col("node")).alias("chosen"), F.explode(F.array(*[F.lit(k) for k in range(SALTS)])).alias("salt"))
-    salted = sketches.select("doc_id", "node", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
-    out = salted.join(many, ["node", "salt"], "left")
+    classes, seen = observed(classes.where("class_size > 1"), "classes", most=F.max("texts"))
+    label, number = F.col("label"), F.xxhash64("node")
+    large = hot_keys(classes, label, kept["count"], seen["most"], "texts")
+    known = spread(members, label, large, "nid").join(copies(classes, label, large), ["label", "__salt"])
+    many = known.select("node", "class_id", "class_size", (F.col("best.node") == F.col("node")).alias("chosen"))
+    # Only classes of more than one row need the join back to the rows.
+    repeated = hot_keys(nodes, number, kept["rows"], kept["most"], "copies")
+    out = spread(sketches.select("doc_id", "node"), number, repeated, "doc_id").join(copies(many, number, repeated), ["node", "__salt"], "left")
     return out.select(
         "doc_id",
         "node",

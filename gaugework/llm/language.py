@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugework.llm.common import small_batches
+from gaugework.llm.common import fresh_names, small_batches
 
 MARK = "▁"
 PER_LANGUAGE = 1500
@@ -357,7 +357,6 @@ def predict(docs: DataFrame, model: Model, text: str = "text", lang_out: str = "
         return pd.DataFrame({"lang": names, "score": scores})
 
     found: Column = run(F.col(text).cast("string"))
-    keep = [c for c in docs.columns if c.lower() not in (lang_out.lower(), score_out.lower())]
-    return docs.select(*[F.col(f"`{c}`") for c in keep], found.alias("__found")).select(
-        *[F.col(f"`{c}`") for c in keep], F.col("__found.lang").alias(lang_out), F.col("__found.score").alias(score_out)
-    )
+    keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in (lang_out.lower(), score_out.lower())]
+    held = fresh_names(docs, "found")[0]
+    return docs.select(*keep, found.alias(held)).select(*keep, F.col(f"{held}.lang").alias(lang_out), F.col(f"{held}.score").alias(score_out))

@@ -9,9 +9,10 @@ All of it is DataFrame expressions; a document is measured inside its own row,
 so no text is ever shuffled and no hot source or group of copies matters.
 
 Defined results: a null text counts as one without words (every measurement 0,
-too_few_words fails); an empty text likewise. Repeated rows are measured each on
-their own. Extra columns are kept as they are by `ledger`; one named like a
-measurement is replaced. Empty tables give empty ledgers with the full schema.
+too_few_words fails); an empty text likewise; a text or a line of any length is
+measured whole. Repeated rows are measured each on their own. Extra columns are
+kept as they are by `ledger`; one named like a measurement, whatever the case, is
+replaced. Empty tables give empty ledgers with the full schema.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugework.llm.common import let
+from gaugework.llm.common import fresh_names, let
 
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -123,23 +124,19 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
         )
         return F.struct(F.size(w).cast("long").alias("words"), F.length(F.array_join(w, "")).cast("long").alias("chars"), hashed.alias("h"))
 
-    out = df.drop(*[m for m in MEASURES if m != text]).withColumns(
+    out = df.drop(*[c for c in df.columns if c.lower() in MEASURES and c != text])
+    by_word, by_line = fresh_names(out, "words", "lines")
+    out = out.withColumns(
         {
-            "__w": let(F.regexp_extract_all(raw, F.lit(WORD), F.lit(0)), of_words),
-            "__l": let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup"))),
+            by_word: let(F.regexp_extract_all(raw, F.lit(WORD), F.lit(0)), of_words),
+            by_line: let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup"))),
             "n_symbols": F.regexp_count(raw, F.lit(SYMBOLS)).cast("long"),
         }
     )
+    parts = {"n_words": "words", "word_chars": "chars", "n_repeat_words": "h.repeat", "n_stutter": "h.stutter"}
     return out.withColumns(
-        {
-            "n_words": F.col("__w.words"),
-            "word_chars": F.col("__w.chars"),
-            "n_lines": F.col("__l.n"),
-            "n_dup_lines": F.col("__l.dup"),
-            "n_repeat_words": F.col("__w.h.repeat"),
-            "n_stutter": F.col("__w.h.stutter"),
-        }
-    ).drop("__w", "__l")
+        {name: F.col(f"{by_word}.{part}") for name, part in parts.items()} | {"n_lines": F.col(f"{by_line}.n"), "n_dup_lines": F.col(f"{by_line}.dup")}
+    ).drop(by_word, by_line)
 
 
 def ledger(df: DataFrame, text: str = "text") -> DataFrame:

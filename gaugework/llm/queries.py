@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gaugework.llm import decontaminate as decon
 from gaugework.llm import html, language, mixture, neardup, pii, quality, shard, tokens, warc
-from gaugework.llm.common import importable, work_dir
+from gaugework.llm.common import importable, materialize, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -35,7 +35,7 @@ def docs(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-@query(r"""
+LEDGER_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 g AS (SELECT doc_id, i, array_to_string(w[i:i+4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
 r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g) WHERE n > 1),
@@ -50,19 +50,39 @@ f AS (SELECT *, (CASE WHEN n_words < 10 THEN 1 ELSE 0 END + CASE WHEN 100 * n_re
   + CASE WHEN 100 * n_symbols > 20 * n_words THEN 4 ELSE 0 END + CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END
   + CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END + CASE WHEN word_chars > 15 * n_words THEN 32 ELSE 0 END
   + CASE WHEN 100 * n_stutter > 20 * n_words THEN 64 ELSE 0 END)::BIGINT AS fail_bits FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits & 3 <> 0 AS base_failed,
-  fail_bits & 119 = 0 AS kept, fail_bits FROM f
-""")
+"""
+
+
+def ledger_of(spark, sf_dir):
+    """The ledger of all documents, evaluated and stored once; policies and ablations read it."""
+    return materialize(quality.ledger(docs(spark, sf_dir).select("doc_id", "text")).drop("text"), "ledger")
+
+
+@query(
+    LEDGER_SQL
+    + """SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits & 3 <> 0 AS base_failed,
+  fail_bits & 119 = 0 AS kept, fail_bits FROM f"""
+)
 def op3_quality_ledger(spark, sf_dir):
     """3: measurements, failure bits and the current policy's verdict of every document."""
-    entries = quality.ledger(docs(spark, sf_dir).select("doc_id", "text"))
-    entries = quality.apply_policy(quality.apply_policy(entries, "base", "base_kept"), quality.CURRENT)
+    entries = quality.apply_policy(quality.apply_policy(ledger_of(spark, sf_dir), "base", "base_kept"), quality.CURRENT)
     return entries.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (~F.col("base_kept")).alias("base_failed"), "kept", "fail_bits",
     )
 
 
+@query(
+    LEDGER_SQL
+    + """, masks AS (SELECT * FROM (VALUES ('too_few_words', 1), ('repeated_windows', 2), ('symbol_heavy', 4), ('short_words', 16), ('long_words', 32), ('stutter', 64)) v(rule, bit))
+SELECT 'v2' AS policy, rule, count(*) FILTER (fail_bits & bit <> 0) AS n_failed, count(*) FILTER (fail_bits & 119 = bit) AS n_sole, count(*) FILTER (fail_bits & 119 = 0) AS n_kept,
+  count(*) AS n_documents FROM f CROSS JOIN masks GROUP BY rule"""
+)
+def quality_ablations(spark, sf_dir):
+    """Beside 3: for each rule of the current policy, what it rejects, and alone, from the stored bits."""
+    return quality.ablations(ledger_of(spark, sf_dir))
+
+
 @query(r"""
 WITH i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(
     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),

@@ -18,5 +18,5 @@ def odd_documents(spark):
         (5, "The quick brown fox jumps over the lazy dog again and again.", "en", "src1"), (6, "123 456 !!!", "de", "src2"), (7, "é ß ñ 漢字 ☃", "fr", "src3"),
     ]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    clash = ["n_words", "size", "shard", "slot", "kept", "fail_bits", "words", "h", "score", "node", "ids", "start", "epoch", "salt", "n_pii"]
+    clash = ["n_words", "size", "shard", "slot", "kept", "fail_bits", "words", "h", "score", "node", "ids", "start", "EPOCH", "salt", "N_PII", "__w", "__l", "__h", "__d", "__t", "__range", "__row", "__pii", "__found", "__domain", "__salt", "__words", "key", "label", "t", "id", "lang_pred"]
     return df.select("*", *[__import__("pyspark").sql.functions.lit("x").alias(c) for c in clash])

@@ -204,7 +204,7 @@ def test_mixture_takes_prefixes_of_epochs(spark):
 def test_mixture_of_odd_rows(spark, odd_documents):
     args = (mixture.corpus_path(), mixture.corpus_weights(), mixture.corpus_budget())
     out = mixture.mix(odd_documents, *args)
-    assert out.columns.count("epoch") == 1 and out.count() > 0
+    assert [c.lower() for c in out.columns].count("epoch") == 1 and out.count() > 0
     assert mixture.mix(odd_documents.limit(0), *args).count() == 0
     every = mixture.mix(odd_documents, mixture.corpus_path(), mixture.corpus_weights(), F.expr("all_tokens * 50"))
     assert every.count() == 2 * odd_documents.count()
@@ -230,9 +230,75 @@ def test_pipeline_stages(spark):
 
 
 def test_pipeline_of_odd_rows(spark, odd_documents):
+    """What each stage keeps of odd rows: texts without a letter go, one of two equal rows stays, nothing else is lost."""
     docs = odd_documents.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
-    for rows in (docs, docs.limit(0)):
-        out = rows
-        for name, stage in corpus_pipeline.STAGES:
-            out = stage(spark, out, SF)
-        assert out.count() >= 0
+    kept = {}
+    out = docs
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, out, SF).cache()
+        kept[name] = Counter(r["doc_id"] for r in out.collect())
+    named = {None, 4, 5, 7}
+    assert set(kept["language"]) <= named and kept["language"][5] == 2 and kept["language"][4] == 1
+    assert kept["near_duplicates"] == Counter(set(kept["language"])) == kept["decontamination"]
+    assert set(kept["mixture"]) <= set(kept["decontamination"]) and kept["tokens"] == kept["mixture"] and len(kept["mixture"]) > 0
+    none = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        none = stage(spark, none, SF)
+    assert none.count() == 0
+
+
+def test_pipeline_stages_keep_columns_of_any_name(spark, odd_documents):
+    rows = odd_documents.withColumn("__lang", F.lit("x")).withColumn("__node", F.lit("y")).withColumn("__score", F.lit("z"))
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, rows, SF)
+        assert [c.lower() for c in out.columns] == [c.lower() for c in rows.columns] and out.count() > 0, name
+
+
+def test_hot_buckets_hubs_and_classes_are_dealt_in_pieces(spark, monkeypatch):
+    """The same classes where every bucket of more than three rows counts as hot, and both ways to test open pairs."""
+    from gaugework.llm import common
+
+    rows = near_rows(3) + [(1000 + k, f"{'same words again and again ' * 12}{k}") for k in range(40)] + [(2000 + k, "one hot text of some words " * 5) for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = plain_classes(rows)
+    for piece, small in ((1000, neardup.SMALL), (3, neardup.SMALL), (3, 1), (3, 1000)):
+        monkeypatch.setattr(common, "PIECE", piece)
+        out = neardup.near_duplicates(docs, small=small)
+        assert sorted(((r["doc_id"], r["class_id"]) for r in out.collect()), key=str) == want, (piece, small)
+
+
+def test_components_in_an_adversarial_order(spark):
+    """A path whose least labels lie far apart, a tree of stars, and a hub of many: few rounds, the same classes as a union-find."""
+    rng = random.Random(8)
+    order = sorted(range(600), key=lambda k: bin(k)[::-1])
+    edges = [(order[k], order[k + 1]) for k in range(599)] + [(1000 + k, 1000 + (k - 1) // 3) for k in range(1, 300)] + [(5000, 5000 + k) for k in range(1, 400)]
+    rng.shuffle(edges)
+    got = {r["node"]: r["label"] for r in neardup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert {got[k] for k in range(600)} == {0} and {got[1000 + k] for k in range(300)} == {1000} and {got[5000 + k] for k in range(400)} == {5000} and len(got) == 1300
+
+
+def test_shards_and_slots_equal_a_sorted_list(spark):
+    """Slots are the places in (hash of the text, hash of the id) order, boundaries the nearest that spare a group, or cut a large one where bytes are even."""
+    rng = random.Random(5)
+    rows = [(k, "hot " * 30) for k in range(500)] + [(k, f"text {rng.randrange(300)} " * rng.randrange(1, 9)) for k in range(500, 3000)] + [(9000 + k, None) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = shard.shard(docs.withColumn("h", F.lit(1)), 8, range_bytes=20_000)
+    keyed = sorted((r["kh"], r["kd"], r["shard"], r["slot"], r["size"], r["text"] or "") for r in out.withColumns({"kh": F.xxhash64("text"), "kd": F.xxhash64("doc_id")}).collect())
+    total, place, last = sum(r[4] for r in keyed), 0, 0
+    ends, sums, run = [], [], 0
+    for kh, _, number, slot, size, _ in keyed:
+        if number != last:
+            ends.append(run)
+            place, last = 0, number
+        assert slot == place
+        place, run = place + 1, run + size
+        sums.append(run)
+    assert len(ends) == 7
+    edges = [0] + [sums[k] for k in range(len(keyed) - 1) if keyed[k][0] != keyed[k + 1][0]] + [total]
+    for k, end in enumerate(ends, 1):
+        target = total * k // 8
+        nearest = min(abs(e - target) for e in edges)
+        if nearest <= total // 8 * shard.SPARE:
+            assert end in edges and abs(end - target) <= total // 8 * shard.SPARE
+        else:
+            assert abs(end - target) == min(abs(x - target) for x in [0, *sums])

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugework.llm import decontaminate, language, mixture, neardup, tokens
-from gaugework.llm.common import importable, materialize, work_dir
+from gaugework.llm.common import fresh_names, importable, materialize, work_dir
 from gaugework.llm.queries import learnable, tokenizer_path
 
 #: Posterior below which a document has no clear language.
@@ -22,35 +22,44 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: those without a letter, or of no clear language, go."""
     importable(spark)
     model = language.train(docs.where(learnable()), tokenizer_path("piece_bpe_32k.model"))
-    found = language.predict(docs, model, lang_out="__lang", score_out="__score")
-    return found.where((F.col("__lang") != language.UND) & (F.col("__score") >= LEAST_SCORE)).select(*docs.columns)
+    lang, score = fresh_names(docs, "lang", "score")
+    found = language.predict(docs, model, lang_out=lang, score_out=score)
+    return found.where((F.col(lang) != language.UND) & (F.col(score) >= LEAST_SCORE)).select(*_columns(docs))
+
+
+def _columns(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of exact and near copies."""
     importable(spark)
     kept = neardup.near_duplicates(docs).where("kept").select("doc_id", "node").distinct()
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("__id")
-    none = F.col("doc_id").isNull().alias("__none")
-    keyed = docs.select("*", key, none, F.unhex(F.md5(F.col("text").cast("binary"))).alias("__node"))
-    # Rows that repeat id and text meet in the partition where the join has put them.
-    chosen = keyed.join(kept.select(key, none, F.col("node").alias("__node")), ["__id", "__none", "__node"], "left_semi")
-    texts = chosen.where("__node IS NOT NULL").dropDuplicates(["__id", "__none", "__node"])
-    return texts.select(*docs.columns).unionByName(docs.where("text IS NULL").dropDuplicates(["doc_id"]))
+    # Ids and digests under names that docs does not have; rows that repeat id and text meet in the partition where the join has put them.
+    names = fresh_names(docs, "id", "none", "node")
+    key = lambda node: [e.alias(n) for e, n in zip((F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.col("doc_id").isNull(), node), names)]
+    keyed = docs.select("*", *key(F.unhex(F.md5(F.col("text").cast("binary")))))
+    chosen = keyed.join(kept.select(*key(F.col("node"))), names, "left_semi")
+    texts = chosen.where(F.col(names[2]).isNotNull()).dropDuplicates(names)
+    return texts.select(*_columns(docs)).unionByName(docs.where("text IS NULL").dropDuplicates(["doc_id"]))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any occurrence of a benchmark window."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hit = decontaminate.decontaminate(docs, items).where("contaminated").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__key"))
+    i, k = fresh_names(docs, "id", "key")
+    hit = decontaminate.decontaminate(docs, items).where("contaminated").select(F.col("doc_id").alias(i), F.col("text_key").alias(k)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(i)) & (F.xxhash64(F.col("text").cast("string")) == F.col(k))
     return docs.join(hit, same, "left_anti")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture to target weights, a row for each epoch that takes a document."""
-    out = mixture.mix(docs, mixture.corpus_path(), mixture.corpus_weights(), mixture.corpus_budget())
-    return out.select(*docs.columns)
+    # Columns named like an output of the operator step aside.
+    clash = [c for c in docs.columns if c.lower() in ("n_tokens", "epoch")]
+    aside = dict(zip(clash, fresh_names(docs, *clash)))
+    out = mixture.mix(docs.withColumnsRenamed(aside), mixture.corpus_path(), mixture.corpus_weights(), mixture.corpus_budget())
+    return out.select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.pipeline import Pipeline, PipelineModel
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gaugework.functions import scoring
@@ -123,6 +123,26 @@ class Projector:
             out = mine if out is None else out.unionByName(mine)
         return out
 
+    def save(self, spark: SparkSession, folder: str) -> None:
+        """Write the parts and bands below a folder; a mark is written last, by which the model is whole."""
+        for position, parts in self.parts.items():
+            for part, fitted in parts.items():
+                if fitted is not None:
+                    fitted.write().overwrite().save(f"{folder}/{position}/{part}")
+            self.bands[position].write.mode("overwrite").parquet(f"{folder}/{position}/_bands")
+        layout = [(position, part, fitted is not None) for position, parts in self.parts.items() for part, fitted in parts.items()]
+        spark.createDataFrame([(",".join(self.features),)], "features string").write.mode("overwrite").parquet(f"{folder}/_features")
+        spark.createDataFrame(layout, "position string, part string, fitted boolean").write.mode("overwrite").parquet(f"{folder}/_done")
+
+    @classmethod
+    def load(cls, spark: SparkSession, folder: str) -> Projector:
+        """A saved model, to predict with."""
+        model = cls(spark.read.parquet(f"{folder}/_features").first()["features"].split(","))
+        for r in spark.read.parquet(f"{folder}/_done").collect():  # a row a part
+            model.parts.setdefault(r["position"], {})[r["part"]] = PipelineModel.load(f"{folder}/{r['position']}/{r['part']}") if r["fitted"] else None
+            model.bands[r["position"]] = spark.read.parquet(f"{folder}/{r['position']}/_bands")
+        return model
+
 
 def _ratio(part, whole):
     return F.when(whole > 0, part / whole)

@@ -53,9 +53,9 @@ def ranked(rows: DataFrame, formats=tuple(FORMATS)) -> DataFrame:
     return rows
 
 
-def published(rows: DataFrame, kind: str, version: str, now: Column) -> DataFrame:
+def published(rows: DataFrame, kind: str, version: Column | str, now: Column) -> DataFrame:
     """Model output in the published layout, without an expert rank yet."""
-    rows = with_baselines(rows).withColumns({"kind": F.lit(kind), "model_version": F.lit(version), "generated_at": now, "ecr_rank": F.lit(None).cast("long"), "is_home": F.col("is_home").cast("boolean")})
+    rows = with_baselines(rows).withColumns({"kind": F.lit(kind), "model_version": version if isinstance(version, Column) else F.lit(version), "generated_at": now, "ecr_rank": F.lit(None).cast("long"), "is_home": F.col("is_home").cast("boolean")})
     return rows.select(*PUBLISHED)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gaugework.plans import datasets as d
 from gaugework.plans import features as fx
-from gaugework.plans import league, marts
+from gaugework.plans import graph, league, marts
 from gaugework.plans import projections as pj
 from gaugework.plans.league import frames, with_frames
 from gaugework.plans.registry import query
@@ -622,3 +622,26 @@ def rescored_sheet(spark, sf_dir):
     off = dict.fromkeys(("pass_yd", "pass_td", "pass_int", "rush_td", "rec_yd", "rec_td", "fumble_lost", "two_pt"), 0.0)
     rows = pj.rescored(league.frame(spark, sf_dir, "drafts"), {"preset": "ppr", "rush_yd": 0.5, "te_rec_premium": 0.5} | off)
     return rows.select("season", "week", "player_id", F.round("proj_own", 6).alias("proj_own"), "pos_rank_own")
+
+
+# The graph
+
+
+@query(
+    with_frames(
+        """SELECT * FROM (SELECT 'players' AS dataset, count(*) AS n FROM players UNION ALL SELECT 'player_ids', count(DISTINCT player_id) FROM roster UNION ALL SELECT 'schedules', count(*) FROM schedules
+UNION ALL SELECT 'plays', count(*) FROM plays UNION ALL SELECT 'player_stats', count(*) FROM player_stats UNION ALL SELECT 'snap_counts', count(*) FROM snap_counts UNION ALL SELECT 'rosters', count(*) FROM rosters
+UNION ALL SELECT 'injuries', count(*) FROM injuries UNION ALL SELECT 'depth_charts', count(*) FROM roster UNION ALL SELECT 'ff_opportunity', count(*) FROM ff_opportunity
+UNION ALL SELECT 'team_week', count(*) FROM team_week UNION ALL SELECT 'player_week', count(*) FROM player_week UNION ALL SELECT 'defense_vs_position', 4 * count(*) FROM team_week WHERE is_final
+UNION ALL SELECT 'depth_chart_week', count(*) FROM roster)""",
+        *FACTS[:3],
+    )
+)
+def graph_counts(spark, sf_dir):
+    """3.1: the whole graph from bronze to gold, every dataset built; rows of each (rankings, which no SQL here dates, aside)."""
+    built = graph.build({name: df for name, df in league.bronze(spark, sf_dir).items()} | {})
+    counts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("dataset"), "n") for name, df in built.items() if name != "ecr"]
+    out = counts[0]
+    for more in counts[1:]:
+        out = out.unionByName(more)
+    return out

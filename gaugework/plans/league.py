@@ -10,9 +10,12 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gaugework.plans import contracts as c
 from gaugework.plans.features import COMPONENTS
 from gaugework.session import kept, table
+from gaugework.sources.landing import SEEN_AT, SEEN_IN
 
 _position = "CASE slot WHEN 0 THEN 'QB' WHEN 1 THEN 'RB' WHEN 2 THEN 'RB' WHEN 3 THEN 'WR' WHEN 4 THEN 'WR' ELSE 'TE' END"
 _id = "concat('P', 100 + team * 6 + slot)"
@@ -102,3 +105,45 @@ def needed(name: str) -> set[str]:
 
 def frames(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     return [frame(spark, sf_dir, name) for name in names]
+
+
+#: Years by which line items' dates are moved, so that their seasons are among those that silver reads.
+LATER = 30
+
+
+def _later(df: DataFrame) -> DataFrame:
+    part = lambda k: F.split("game_id", "_")[k]
+    moved = {"season": F.col("season") + LATER, "game_id": F.concat_ws("_", (part(0).cast("int") + LATER).cast("string"), part(1), part(2)), "gameday": F.add_months("gameday", 12 * LATER)}
+    return df.withColumns({k: v for k, v in moved.items() if k in df.columns})
+
+
+def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The league as landing scans give it: loosely typed, with lineage, each season's file beside an older one that does not count."""
+    names = {"plays": "plays", "player_stats": "player_stats", "snap_counts": "snap_counts", "rosters": "rosters", "injuries": "injuries", "ff_opportunity": "ff_opportunity", "schedules": "schedules", "players": "players"}
+    raw, game = {}, lambda df: df.withColumns({"season": F.split("game_id", "_")[0], "week": F.split("game_id", "_")[1]})
+    for name, source in names.items():
+        df = _later(frame(spark, sf_dir, source))
+        df = game(df) if name in ("snap_counts", "ff_opportunity") else df
+        own = {"player_display_name": "player_name", "display_name": "player_name", "gsis_id": "player_id", "pfr_player_id": "player_id", "pfr_id": "player_id"}
+        given = {"gametime": F.lit("13:00"), "game_type": F.lit("REG"), "season_type": F.lit("REG")}
+        wanted = [*c.CONTRACTS[name], *(["gsis_id"] if name in ("players", "rosters", "injuries") else []), *(["pfr_id"] if name == "players" else [])]
+        value = lambda col, df=df, given=given: F.col(col) if col in df.columns else F.col(own[col]) if own.get(col) in df.columns else given.get(col, F.lit(None))
+        raw[name] = df.select(*[value(col).cast("string").alias(col) for col in wanted])
+    roster = _later(frame(spark, sf_dir, "roster"))
+    number = F.col("team") * 6 + F.col("slot")
+    person = F.concat(F.lit("Player "), 100 + number)
+    raw["depth_charts"] = roster.select(
+        F.col("season").cast("double").alias("season"), F.col("week").cast("double").alias("week"), F.lit("REG").alias("game_type"), F.concat(F.lit("T"), 10 + F.col("team")).alias("club_code"),
+        F.lit("Offense").alias("formation"), F.col("player_id").alias("gsis_id"), person.alias("full_name"), F.col("position").alias("depth_position"), (1 + F.col("slot") % 2).cast("string").alias("depth_team"),
+    )
+    raw["player_ids"] = roster.select((1000 + number).cast("string").alias("fantasypros_id"), F.col("player_id").alias("gsis_id")).distinct()
+    raw["ecr"] = roster.select(
+        person.alias("player"), (1000 + number).cast("string").alias("id"), F.col("position").alias("pos"), F.concat(F.lit("T"), 10 + F.col("team")).alias("team"),
+        (((F.col("team") * 13 + F.col("slot") * 7 + F.col("week")) % 97).cast("double") / 4).cast("string").alias("ecr"), F.lit("1").alias("sd"), F.lit("1").alias("best"), F.lit("9").alias("worst"),
+        F.date_add(F.make_date("season", F.lit(9), F.lit(1)), (5 * (F.col("week") - 1)).cast("int")).cast("string").alias("scrape_date"), "season",
+    )
+    out = {}
+    for name, df in raw.items():
+        season = F.concat(F.lit("/z/"), F.col("season").cast("int").cast("string"), F.lit("/b.parquet")) if "season" in df.columns and name != "schedules" else F.lit("/z/all/b.parquet")
+        out[f"bronze_{name}"] = df.withColumns({SEEN_AT: F.lit("2025-02-01").cast("timestamp"), SEEN_IN: season})
+    return out

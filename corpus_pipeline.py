@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugework.llm import decontaminate, language, mixture, neardup, tokens
-from gaugework.llm.common import fresh_names, importable, materialize, work_dir
+from gaugework.llm.common import fresh_names, importable, work_dir
 from gaugework.llm.queries import learnable, tokenizer_path
+from gaugework.session import scratch
 
 #: Posterior below which a document has no clear language.
 LEAST_SCORE = 0.5
@@ -83,8 +84,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of sf_dir."""
+    """All stages over the documents of sf_dir; what a stage writes besides its result is deleted after it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        path = work_dir(spark, name)
+        with scratch(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
     return docs

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,11 +72,35 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for one call, below the shared one."""
+#: Work folders of the scratch block that is open, if one is.
+_SCRATCH: list[list[str]] = []
+
+
+def _folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/gaugework/{name}-{uuid.uuid4().hex}"
 
 
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder for one call, below the shared one; it stays unless a scratch block holds the call."""
+    path = _folder(spark, name)
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at the end, every work folder made inside: what is to last must be written elsewhere before."""
+    from gaugework.sources.store import Store
+
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            Store(spark, path).remove(path)
+
+
 _KEPT: dict[tuple[str, str], str] = {}
 
 
@@ -83,7 +108,7 @@ def kept(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataF
     """A frame that is written to the shared folder the first time a session asks for it, and read from there."""
     key = (spark.sparkContext.applicationId, name)
     if key not in _KEPT:
-        path = work_dir(spark, "kept")
+        path = _folder(spark, "kept")
         make().write.parquet(path)
         _KEPT[key] = path
     return spark.read.parquet(_KEPT[key])

@@ -203,3 +203,69 @@ def test_first_after_is_strict(spark):
     marks = spark.createDataFrame([(1, 10, 1), (1, 17, 2)], "s int, m int, w int")
     points = spark.createDataFrame([(1, 8), (1, 10), (1, 17), (1, 8)], "s int, d int")
     assert sorted(tuple(r) for r in joins.first_after(points, marks, ["s"], "d", "m", "w", "week").collect()) == [(1, 8, 1), (1, 10, 2)]
+
+
+def test_scratch_deletes_what_was_made_inside(spark, tmp_path):
+    from pathlib import Path
+
+    from gaugework import session
+
+    with session.scratch(spark):
+        inside = session.work_dir(spark, "x")
+        spark.range(3).write.parquet(inside)
+        assert spark.read.parquet(inside).count() == 3
+    outside = session.work_dir(spark, "y")
+    spark.range(3).write.parquet(outside)
+    assert not Path(inside.removeprefix("file://")).exists() and spark.read.parquet(outside).count() == 3
+
+
+def test_quantiles_equal_numpy(spark):
+    import numpy as np
+
+    from gaugework.operators import stats
+
+    rng = np.random.default_rng(3)
+    rows = [("a", float(x)) for x in rng.normal(0, 50, 700).round(1)] + [("b", 7.0)] * 5 + [("c", None), ("d", 1.5)] + [(None, float(k)) for k in range(9)]
+    at = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = {r["k"]: r["quantiles"] for r in stats.quantiles(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", at).collect()}
+    for key in ("a", "b", "d", None):
+        assert np.allclose(got[key], np.quantile([v for k, v in rows if k == key and v is not None], at))
+    assert "c" not in got
+
+
+def test_bootstrap_query_equals_plain_numpy(spark):
+    import numpy as np
+
+    from gaugework.plans import catalog
+
+    sf = "/root/testdata/sf0.001"
+    got = {r["o_orderpriority"]: r for r in catalog.QUERIES["bootstrap"](spark, sf).collect()}
+    orders = spark.read.parquet(f"{sf}/orders.parquet").selectExpr("o_orderpriority p", "weekofyear(o_orderdate) w", "o_totalprice / 1000 a", "o_custkey / 10.0 b").toPandas().astype({"a": float, "b": float})
+    for p, rows in orders.groupby("p"):
+        weeks = rows.groupby("w").agg(a=("a", "sum"), b=("b", "sum"), n=("a", "size")).sort_index()
+        rng = np.random.default_rng(0)
+        draws = rng.multinomial(len(weeks), np.full(len(weeks), 1 / len(weeks)), size=10_000)
+        gaps = np.array([((weeks.a - weeks.b) * d).sum() / (weeks.n * d).sum() for d in draws])
+        want = ((weeks.a - weeks.b).sum() / weeks.n.sum(), *np.percentile(gaps, [2.5, 97.5]))
+        assert np.allclose([got[p]["gap"], got[p]["low"], got[p]["high"]], want) and got[p]["clusters"] == len(weeks)
+
+
+def test_tier_query_equals_best_split(spark):
+    """The fewest contiguous tiers, by trying every split, whose spread explains nine tenths."""
+    import itertools
+
+    import numpy as np
+
+    from gaugework.plans import catalog
+
+    rows = catalog.QUERIES["tier_groups"](spark, "/root/testdata/sf0.001").toPandas()
+    spread = lambda v: float(((v - v.mean()) ** 2).sum())
+    for _, g in rows.groupby("o_orderpriority"):
+        g = g.sort_values("rank")
+        v = g["o_totalprice"].astype(float).to_numpy()
+        for k in range(1, 5):
+            best = min(itertools.combinations(range(1, len(v)), k - 1), key=lambda cut: sum(spread(x) for x in np.split(v, cut)))
+            if 1 - sum(spread(x) for x in np.split(v, best)) / spread(v) >= 0.9:
+                assert [len(x) for x in np.split(v, best)] == g.groupby("tier").size().tolist()
+                break
+        assert set(g["label"]) <= {"Start", "Flex", "Sit"}

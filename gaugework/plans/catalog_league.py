@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gaugework.plans import datasets as d
 from gaugework.plans import features as fx
-from gaugework.plans import graph, league, marts
+from gaugework.plans import graph, league, marts, model
 from gaugework.plans import projections as pj
 from gaugework.plans.league import frames, with_frames
 from gaugework.plans.registry import query
@@ -73,7 +73,6 @@ SCRAPES = (
   '1' AS sd, '1' AS best, '9' AS worst, CAST(make_date(season, 9, 1) + CAST(5 * (week - 1) AS INT) AS STRING) AS scrape_date, season FROM roster""",
 )
 FACTS = (GAMES, TEAM_WEEK, PLAYER_WEEK, DEFENSE, CHARTS)
-DRAFTED = "(SELECT * FROM drafts)"
 
 
 def tables(spark, sf_dir) -> dict:
@@ -295,7 +294,7 @@ FEATURE_COLUMNS = (
 
 def _features(spark, sf_dir):
     t = known(spark, sf_dir)
-    rows = fx.features(fx.candidates(t), t)
+    rows = kept(spark, f"league {sf_dir} features", lambda: fx.features(fx.candidates(t), t))
     return t, rows.withColumns({"ewm_fantasy_points_ppr": F.round("ewm_fantasy_points_ppr", 6), "opp_matchup_index": F.round("opp_matchup_index", 9)})
 
 
@@ -321,6 +320,41 @@ def baselines_and_actuals(spark, sf_dir):
     return fx.with_actuals(fx.with_baselines(rows), t["player_week"]).select("season", "week", "player_id", "baseline_last3", "baseline_season_avg", "fantasy_points_ppr", "receiving_yards")
 
 
+class LastThree:
+    """A model that projects the mean of the last three games, and counts how often one was fitted."""
+
+    fitted = 0
+
+    def __init__(self, past, **_):
+        LastThree.fitted += 1
+
+    def predict(self, rows):
+        return rows.withColumns({x: F.coalesce(F.col("ppr_last3"), F.lit(0.0)) for x in model.OUTPUTS})
+
+
+@query(
+    with_frames(
+        """SELECT f.season, f.week, f.player_id, coalesce(f.ppr_last3, 0) AS proj_ppr, f.ppr_last3 AS baseline_last3, 'backtest' AS kind, 1 AS refits
+FROM features f JOIN candidates c ON f.season = c.season AND f.week = c.week AND f.player_id = c.player_id CROSS JOIN ends WHERE c.is_final AND f.season >= last - 1 AND (f.season < last OR f.week < 7)""",
+        *POOL,
+        STATES,
+        MATCHUPS,
+        FEATURES,
+    )
+)
+def walked_seasons(spark, sf_dir):
+    """Each season's finished weeks by a model of those before; on a second run only the season whose inputs changed is fitted again."""
+    t, rows = _features(spark, sf_dir)
+    rows = fx.with_actuals(rows, t["player_week"])
+    last = league.frame(spark, sf_dir, "ends").first()["last"]
+    walk = lambda df, stored: model.walk_forward(df, [last - 1, last], {last: 7}, stored, fit=LastThree)
+    first = kept(spark, f"league {sf_dir} walked", lambda: walk(rows, None))
+    before = LastThree.fitted
+    changed = rows.withColumn("snaps", F.lit(0)).withColumn("fantasy_points_ppr", F.when((F.col("season") == last) & (F.col("week") == 6), F.col("fantasy_points_ppr") + 1).otherwise(F.col("fantasy_points_ppr")))
+    again = walk(changed, first)
+    return again.select("season", "week", "player_id", "proj_ppr", "baseline_last3", "kind", F.lit(LastThree.fitted - before).alias("refits"))
+
+
 @query(
     with_frames(
         """SELECT u.team, count(c.player_id) AS n FROM (SELECT * FROM team_week WHERE NOT is_final AND (season, week) IN (SELECT (season, week) FROM team_week WHERE NOT is_final ORDER BY season, week LIMIT 1)) u

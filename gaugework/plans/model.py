@@ -8,7 +8,7 @@ with them; seasons are walked forward and refitted only if their inputs changed.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
@@ -158,11 +158,12 @@ def band_knots(rows: DataFrame, projected: str, actual: str, bins: int = BINS) -
     return cells.select("centre", F.max("low").over(upto).alias("low"), F.max("high").over(upto).alias("high"))
 
 
-def walk_forward(rows: DataFrame, seasons: Iterable[int], before_week: dict[int, int] | None = None, stored: DataFrame | None = None, **settings) -> DataFrame | None:
+def walk_forward(rows: DataFrame, seasons: Iterable[int], before_week: dict[int, int] | None = None, stored: DataFrame | None = None, fit: Callable | None = None, **settings) -> DataFrame | None:
     """Projections of each season's finished weeks by a model of the seasons before it.
 
     A season's version has the fingerprint of what it is fitted on and what it
     projects; where stored rows have the same version they are taken instead.
+    fit: what makes a model of past rows, Projector.fit unless another is given.
     """
     done, out = rows.where("is_final"), None
     inputs = list(dict.fromkeys([*KEY, "position", *FEATURES, *COMPONENTS, "fantasy_points_ppr"]))
@@ -180,7 +181,7 @@ def walk_forward(rows: DataFrame, seasons: Iterable[int], before_week: dict[int,
             if same.count() == now.count() and now.join(same, KEY, "left_anti").limit(1).count() == 0:
                 mine = now.join(same, KEY)
         if mine is None:
-            mine = Projector.fit(past, **settings).predict(now)
+            mine = (fit or Projector.fit)(past, **settings).predict(now)
         part = with_baselines(mine).withColumns({"kind": F.lit("backtest"), "model_version": F.lit(version)})
         out = part if out is None else out.unionByName(part)
     return out

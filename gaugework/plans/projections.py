@@ -9,7 +9,6 @@ from gaugework.functions import scoring
 from gaugework.operators import joins, stats, tiers
 from gaugework.operators import windows as win
 from gaugework.operators.asof import asof_join
-from gaugework.plans import contracts as c
 from gaugework.plans.features import COMPONENTS, KEY, with_baselines
 from gaugework.plans.model import FORMATS
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -19,7 +21,7 @@ BATCH_ROWS = 1000
 
 
 def small_batches(spark: SparkSession) -> None:
-    """At most BATCH_ROWS documents in an Arrow batch: the default of 10,000 is for short rows."""
+    """At most BATCH_ROWS rows in an Arrow batch, for the rest of the session: results are read lazily, so the setting must outlast the call. The default of 10,000 is for short rows."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
@@ -73,15 +75,37 @@ def hot_keys(counts: DataFrame, key: Column, total: int, most: int, n: str = "n"
     return [r[0] for r in counts.where(F.col(n) > least).select(key).collect()] if most > least else []
 
 
-def spread(rows: DataFrame, key: Column, hot: list[int], by: str) -> DataFrame:
+def spread(rows: DataFrame, key: Column, hot: list[int], by: str, pieces: int = PIECES) -> DataFrame:
     """rows with `__salt`: the piece of a hot key that the hash of `by` deals a row to, 0 for others."""
-    piece = F.when(key.isin(hot), F.pmod(F.xxhash64(by), F.lit(PIECES))).otherwise(0) if hot else F.lit(0)
+    piece = F.when(key.isin(hot), F.pmod(F.xxhash64(by), F.lit(pieces))).otherwise(0) if hot else F.lit(0)
     return rows.withColumn("__salt", piece.cast("int"))
 
 
-def copies(rows: DataFrame, key: Column, hot: list[int]) -> DataFrame:
+def copies(rows: DataFrame, key: Column, hot: list[int], pieces: int = PIECES) -> DataFrame:
     """rows once for each piece of their key, to be joined on key and `__salt`."""
     if not hot:
         return rows.withColumn("__salt", F.lit(0))
-    every = F.sequence(F.lit(0), F.when(key.isin(hot), PIECES - 1).otherwise(0))
+    every = F.sequence(F.lit(0), F.when(key.isin(hot), pieces - 1).otherwise(0))
     return rows.withColumn("__salt", F.explode(every))
+
+
+_HELD: dict = {}
+
+
+def held(kind: str | None = None, key: object = None, make: Callable[[], object] | None = None):
+    """What a Python worker keeps between tasks: one thing at a time, made anew when another is asked for.
+
+    Workers outlive queries and stages, and what each operator remembers is of no
+    use to the next one; without a kind, all is let go.
+    """
+    if not kind or _HELD.get("key") != (kind, key):
+        if _HELD:
+            _HELD.clear()
+            gc.collect()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)  # freed memory goes back to the machine, where the C library can
+            except (AttributeError, OSError):
+                pass
+        if kind and make:
+            _HELD.update(key=(kind, key), value=make())
+    return _HELD.get("value")

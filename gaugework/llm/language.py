@@ -25,6 +25,7 @@ rows count as often as they occur. Extra columns pass through.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from dataclasses import dataclass
 
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugework.llm.common import fresh_names, small_batches
+from gaugework.llm.common import fresh_names, held, small_batches
 
 MARK = "▁"
 PER_LANGUAGE = 1500
@@ -48,7 +49,7 @@ MAX_WORD = 40
 #: From this position on, probabilities are scaled at every RESCALE-th one, so that none underflows.
 UNSCALED, RESCALE = 16, 4
 #: Words that a worker remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 #: Weight of one unseen character, beside pieces' counts.
 SMOOTH = 0.5
 UND = "und"
@@ -293,9 +294,6 @@ def train(
     return fit_words(words, weight, vocabulary(vocabulary_path), documents)
 
 
-_WORKER: dict = {}
-
-
 class Scorer:
     """A model with the words that it has scored so far."""
 
@@ -347,16 +345,16 @@ def predict(docs: DataFrame, model: Model, text: str = "text", lang_out: str = "
     """docs with the predicted language and its posterior; columns of those names are replaced."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a vocabulary by languages, some MB at most
+    token = uuid.uuid4().hex
 
     @F.pandas_udf("lang string, score double")
     def run(texts: pd.Series) -> pd.DataFrame:
-        key = id(shared.value)
-        if _WORKER.get("key") != key:
-            _WORKER.update(key=key, scorer=Scorer(shared.value))
-        names, scores = _WORKER["scorer"].posteriors([t if isinstance(t, str) else None for t in texts])
+        model = shared.value
+        scorer = held("language", token, lambda: Scorer(model))
+        names, scores = scorer.posteriors([t if isinstance(t, str) else None for t in texts])
         return pd.DataFrame({"lang": names, "score": scores})
 
     found: Column = run(F.col(text).cast("string"))
     keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in (lang_out.lower(), score_out.lower())]
-    held = fresh_names(docs, "found")[0]
-    return docs.select(*keep, found.alias(held)).select(*keep, F.col(f"{held}.lang").alias(lang_out), F.col(f"{held}.score").alias(score_out))
+    place = fresh_names(docs, "found")[0]
+    return docs.select(*keep, found.alias(place)).select(*keep, F.col(f"{place}.lang").alias(lang_out), F.col(f"{place}.score").alias(score_out))

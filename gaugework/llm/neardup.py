@@ -51,7 +51,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugework.llm.common import copies, hot_keys, materialize, observed, small_batches, spread
+from gaugework.llm.common import copies, held, hot_keys, materialize, observed, small_batches, spread
 
 WORD = r"[^\x20\x09-\x0D]+"
 SHINGLE = 5
@@ -59,6 +59,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
 #: Nodes of a bucket whose open pairs are all tested; beyond, pairs that cannot be links are ruled out first.
 SMALL = 12
+#: Pieces of a hot bucket whose open rows are joined with each other.
+WIDE_PIECES = 8
 #: Documents that a task has in arrays at a time.
 SLICE = 250
 
@@ -182,6 +184,7 @@ def sketch(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bands: i
     rows_in = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.unhex(F.md5(raw.cast("binary"))).alias("node"), F.coalesce(_word_hashes(raw), F.array().cast("array<bigint>")).alias("words"))
 
     def run(batches):
+        held()
         kind = pa.list_(pa.int64())
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
@@ -230,8 +233,8 @@ def unique_weights(words: DataFrame, size: int = SHINGLE) -> DataFrame:
     """nid, w (weight of all shingles), u (weight of those that no other of these nodes has)."""
     long = F.transform(F.slice("words", F.lit(1), F.greatest(F.size("words") - (size - 1), F.lit(0))), lambda x, i: F.xxhash64(x, *[F.get("words", i + k) for k in range(1, size)]))
     rows = words.withColumn("sh", F.when(F.size("words") >= size, long).otherwise(F.array(F.xxhash64("words"))))
-    held = rows.select("nid", F.explode("sh").alias("sh")).groupBy("sh").agg(F.min("nid").alias("nid"), F.max("nid").alias("last"), F.count("*").alias("n"))
-    alone = held.where("nid = last").groupBy("nid").agg(F.sum("n").alias("u"))
+    spots = rows.select("nid", F.explode("sh").alias("sh")).groupBy("sh").agg(F.min("nid").alias("nid"), F.max("nid").alias("last"), F.count("*").alias("n"))
+    alone = spots.where("nid = last").groupBy("nid").agg(F.sum("n").alias("u"))
     weights = words.select("nid", F.greatest(F.size("words") - (size - 1), F.lit(1)).cast("long").alias("w"))
     return weights.join(alone, "nid", "left").withColumn("u", F.coalesce("u", F.lit(0)))
 
@@ -276,10 +279,11 @@ def _links_across(wide: DataFrame, hot: list[int], thousandths: int) -> DataFram
     reach it go no further. Others are tested in the first bucket that they
     share, on their regions.
     """
-    key = F.col("key")
-    least = copies(wide.groupBy("key").agg(F.min("w").alias("least")), key, hot)
+    # Rows with whole arrays are copied, so a bucket is dealt in few pieces here.
+    key, wide = F.col("key"), spread(wide.drop("__salt"), F.col("key"), hot, "nid", WIDE_PIECES)
+    least = copies(wide.groupBy("key").agg(F.min("w").alias("least")), key, hot, WIDE_PIECES)
     few = wide.where("label <> top").join(least, ["key", "__salt"]).where(1000 * (F.col("w") - F.col("u")) >= thousandths * (F.col("u") + F.col("least")))
-    left, right, on = _sides(copies(few.drop("__salt"), key, hot), wide, "w", "u", "bands", "regions")
+    left, right, on = _sides(copies(few.drop("__salt"), key, hot, WIDE_PIECES), wide, "w", "u", "bands", "regions")
     c = F.least(F.col("x.w") - F.col("x.u"), F.col("y.w") - F.col("y.u"))
     reach = 1000 * c >= thousandths * (F.col("x.w") + F.col("y.w") - c)
     same = F.zip_with("x.bands", "y.bands", lambda p, q: p == q)
@@ -315,9 +319,9 @@ def verify_stars(spokes: DataFrame, words: DataFrame, similarity: float, size: i
     def run(batches):
         centre = None
         for batch in batches:
-            hubs, nids, held, found = batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), []
+            hubs, nids, arrays, found = batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), []
             for k in range(batch.num_rows):
-                mine = _regions_of(held, k, size)
+                mine = _regions_of(arrays, k, size)
                 if nids[k] is None:
                     centre = mine
                     continue
@@ -377,9 +381,9 @@ def near_duplicates(
     wanted = spokes.select("nid").union(spokes.select("hub")).distinct().join(nodes.select("nid", "node", "rep"), "nid")
     raw = F.col(text).cast("string")
     source = docs.select(F.col(doc_id).cast("long").alias("rep"), F.unhex(F.md5(raw.cast("binary"))).alias("node"), raw.alias("text"))
-    held = source.join(wanted, source["rep"].eqNullSafe(wanted["rep"]) & (source["node"] == wanted["node"])).select("nid", "text").dropDuplicates(["nid"])
+    texts = source.join(wanted, source["rep"].eqNullSafe(wanted["rep"]) & (source["node"] == wanted["node"])).select("nid", "text").dropDuplicates(["nid"])
     low = F.transform(_word_hashes(F.col("text")), lambda h: F.shiftright(h, 32).cast("int"))
-    words = materialize(held.select("nid", low.alias("words")), "words")
+    words = materialize(texts.select("nid", low.alias("words")), "words")
 
     links = materialize(verify_stars(spokes, words, similarity), "links")
     labels = components(links)
@@ -390,9 +394,9 @@ def near_duplicates(
     rest = materialize(placed.join(copies(mixed, key, hot), ["key", "__salt"]).where("nid <> hub").select("key", "__salt", "nid", "label", "top", "n"), "rest")
     open_ = materialize(_across(rest.where(F.col("n") <= small)), "open")
     wide = rest.where(F.col("n") > small)
-    held = words.join(wide.select("nid").distinct(), "nid", "left_semi")
-    weights = unique_weights(held).where(F.col("u") * 1000 <= F.col("w") * (1000 - round(similarity * 1000)))
-    weights = weights.join(region_arrays(held), "nid").join(nodes.select("nid", "bands"), "nid")
+    open_words = words.join(wide.select("nid").distinct(), "nid", "left_semi")
+    weights = unique_weights(open_words).where(F.col("u") * 1000 <= F.col("w") * (1000 - round(similarity * 1000)))
+    weights = weights.join(region_arrays(open_words), "nid").join(nodes.select("nid", "bands"), "nid")
     wide = wide.join(materialize(weights, "weights"), "nid")
     more = verify(open_, words, similarity).union(_links_across(wide, hot, round(similarity * 1000)))
     more = materialize(more, "links")

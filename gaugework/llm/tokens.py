@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugework.llm import ranges, storage
-from gaugework.llm.common import materialize, small_batches, tasks_for
+from gaugework.llm.common import held, materialize, small_batches, tasks_for
 
 MAGIC = b"GWTOKEN1"
 SAMPLE, SAMPLE_IDS, DICT_BYTES, LEVEL = 1000, 2048, 65_536, 1
@@ -216,15 +216,9 @@ class Encoder:
         yield from (x + self.end for x in self._some(batch))
 
 
-_ENCODERS: dict[tuple[str, int], Encoder] = {}
-
-
 def encoder_of(path: str, end_id: int) -> Encoder:
     """The worker's encoder, with the words that it remembers from tasks before."""
-    if (path, end_id) not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[path, end_id] = Encoder(path, end_id)
-    return _ENCODERS[path, end_id]
+    return held("tokens", (path, end_id), lambda: Encoder(path, end_id))
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, sample: int = SAMPLE, size: int = DICT_BYTES) -> bytes:
@@ -360,16 +354,16 @@ def read_store(spark: SparkSession, folder: str) -> DataFrame:
     def read(batches):
         for batch in batches:
             for name, start in zip(*(batch.column(i).to_pylist() for i in (0, 1))):
-                part, rows, held = Part(folder, name, shared, width), [], 0
+                part, rows, size = Part(folder, name, shared, width), [], 0
                 for k, ids in enumerate(part.all_ids()):
                     if len(ids) != part.index["n"][k]:
                         raise ValueError(f"{name}: document {k} has {len(ids)} ids")
                     rows.append((None if part.index["null"][k] else int(part.index["id"][k]), start, len(ids), ids.astype("<u4").tobytes()))
                     start += len(ids)
-                    held += 4 * len(ids)
-                    if held >= YIELD_BYTES:
+                    size += 4 * len(ids)
+                    if size >= YIELD_BYTES:
                         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-                        rows, held = [], 0
+                        rows, size = [], 0
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
                 part.close()

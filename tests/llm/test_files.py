@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gaugework.llm import storage, tokens, warc
 from gaugework.llm.queries import tokenizer_path
@@ -124,3 +125,66 @@ def test_unfinished_files_do_not_show(tmp_path):
     assert not (tmp_path / "a").exists()
     file.abort()
     assert not list(tmp_path.iterdir())
+
+
+def test_random_strings_and_added_tokens_equal_the_library():
+    import random
+
+    rng = random.Random(11)
+    parts = ["<|endoftext|>", "<|endof", "text|>", " ", "  ", "\n", "\t", "don't", "Éa", "ß", "漢字", "☃", "x1", "3.14", "###", " ", "​", "ſ", "ǅ", "the", " of", "'s", "İ", "\r\n", "á"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(0, 12))) for _ in range(4000)] + ["end <|endoftext|> start", "word " * 200_000]
+    encoder = tokens.Encoder(BPE, 0)
+    assert encoder.by_word
+    got = [np.frombuffer(x, encoder.dtype).tolist() for x in encoder(texts)]
+    assert got == reference(texts) and 50256 in got[-2]
+
+
+def test_ids_must_be_whole_numbers(spark, tmp_path):
+    docs = spark.createDataFrame([("a", "b", "c")], "doc_id string, text string, ids string")
+    with pytest.raises(TypeError, match="whole number"):
+        tokens.write_store(docs, f"file://{tmp_path}/s", BPE)
+    with pytest.raises(TypeError, match="whole number"):
+        warc.write_archive(docs.withColumnsRenamed({"doc_id": "page_id", "text": "html", "ids": "url"}), f"file://{tmp_path}/w")
+
+
+def test_two_calls_write_the_same_files(spark, tmp_path):
+    """Rows in another order and other partitions, over several exact ranges and one hot id."""
+    rows = [(k % 700 if k % 3 else 5, f"http://h/{k % 50}", f"<p>{k % 211} {'x' * (k % 97)}</p>") for k in range(5000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    again = spark.createDataFrame(rows[::-1], pages.schema).repartition(7)
+    for name, write in (("w", lambda df, at: warc.write_archive(df, at, partitions=5)), ("t", lambda df, at: tokens.write_store(df.withColumnsRenamed({"page_id": "doc_id", "html": "text"}), at, BPE, partitions=5))):
+        a, b = (write(df, f"file://{tmp_path}/{name}{k}") for k, df in enumerate((pages, again)))
+        assert a == b
+        for f in a.get("files") or a["parts"]:
+            assert storage.get(f"file://{tmp_path}/{name}0", f["name"]) == storage.get(f"file://{tmp_path}/{name}1", f["name"])
+        assert len(a.get("files") or a["parts"]) > 3
+
+
+def test_revisits_name_the_record_that_they_refer_to(spark, tmp_path):
+    folder = f"file://{tmp_path}/w"
+    manifest = archive(spark, folder, partitions=1)
+    records, first = {}, None
+    with storage.resolve(folder)[0].open_input_stream(f"{tmp_path}/w/{manifest['files'][0]['name']}", compression=None) as stream:
+        for headers, _ in warc.read_records(stream):
+            first = first or headers
+            assert headers["WARC-Record-ID"] not in records
+            records[headers["WARC-Record-ID"]] = headers
+    assert first["WARC-Type"] == "warcinfo" and first["WARC-Filename"] == manifest["files"][0]["name"]
+    revisits = [h for h in records.values() if h["WARC-Type"] == "revisit"]
+    assert revisits
+    for h in revisits:
+        target = records[h["WARC-Refers-To"]]
+        assert target["WARC-Type"] == "response" and target["WARC-Payload-Digest"] == h["WARC-Payload-Digest"]
+        assert (target["WARC-Target-URI"], target["WARC-Date"], target["X-Page-ID"]) == (h["WARC-Refers-To-Target-URI"], h["WARC-Refers-To-Date"], h["X-Refers-To-Page"])
+
+
+def test_very_long_texts_are_stored_whole(spark, tmp_path):
+    text = " ".join(f"w{k % 5003}" for k in range(400_000))
+    docs = spark.createDataFrame([(1, text), (2, "short"), (3, text)], "doc_id long, text string")
+    tokens.write_store(docs, f"file://{tmp_path}/s", BPE)
+    got = {r["doc_id"]: bytes(r["ids"]) for r in tokens.read_store(spark, f"file://{tmp_path}/s").collect()}
+    assert got[1] == got[3] == np.array(reference([text])[0], "<u4").tobytes()
+    pages = docs.select(F.col("doc_id").alias("page_id"), F.lit("u").alias("url"), F.col("text").alias("html"), F.lit(1).alias("d"))
+    warc.write_archive(pages, f"file://{tmp_path}/w")
+    rows = {r["page_id"]: r for r in warc.read_archive(spark, f"file://{tmp_path}/w", payloads=True).collect()}
+    assert bytes(rows[1]["payload"]) == text.encode() and rows[3]["refers_to"] == 1

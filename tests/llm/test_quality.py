@@ -64,3 +64,12 @@ def test_no_python_in_the_plan(spark):
 @pytest.mark.parametrize("version", sorted(quality.POLICIES))
 def test_masks_name_known_rules(version):
     assert quality.POLICIES[version].mask > 0
+
+
+def test_a_very_long_line_and_clashing_columns(spark):
+    line = " ".join(f"w{k % 1201}" for k in range(200_000))
+    df = spark.createDataFrame([(1, f"{line}\n{line}\nend", "x", "y", "z")], "doc_id long, text string, __words string, N_WORDS string, __lines string")
+    out = quality.ledger(df)
+    row = out.first()
+    assert row["n_words"] == 400_001 and row["n_dup_lines"] == 1 and row["n_repeat_words"] == 400_000
+    assert row["__words"] == "x" and row["__lines"] == "z" and [c.lower() for c in out.columns].count("n_words") == 1

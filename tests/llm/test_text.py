@@ -409,3 +409,27 @@ def test_no_more_labels_than_asked_for(spark):
     rows = [(k, f"word{chr(97 + k % 26)} some text", f"l{k % 40:02d}" if k < 200 else "main") for k in range(300)]
     model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), VOCABULARY, max_languages=3)
     assert model.languages == ["l00", "l01", "main"]
+
+
+STORY = "a plain sentence of the story that goes on for a while and says something. " * 3
+
+
+def test_smoothing_keeps_a_short_line_beside_long_ones(monkeypatch):
+    lead = "A lead of some thirty characters."
+    page = f"<body><div><a href=1>Home</a> <a href=2>News</a></div><div>{lead}</div><p>{STORY}</p><p>{STORY}</p><div><a href=3>x</a></div></body>"
+    assert html.extract_text(page) == f"{lead}\n{STORY.strip()}\n{STORY.strip()}"
+    monkeypatch.setattr(html, "smooth", lambda values, sigma=1.0: list(values))
+    assert html.extract_text(page) == f"{STORY.strip()}\n{STORY.strip()}"
+
+
+def test_clustered_text_decides_against_a_small_article():
+    page = f"<body><article><p>Short teaser.</p></article><div id=story><h2>Head</h2><p>{STORY * 3}</p><p>{STORY * 3}</p></div></body>"
+    assert html.extract_text(page).startswith("Head\n") and html.extract_text(page).count(STORY.strip()) == 6
+    assert html.extract_text(f"<html><head><title>t</title><body><article><p>{STORY}</p></article>") == STORY.strip()
+
+
+def test_a_very_long_page_and_clashing_columns(spark):
+    page = f"<article>{'<p>' + STORY + '</p>'}" + "".join(f"<p>paragraph {k} of a long page, with words enough to count.</p>" for k in range(20_000)) + "</article>"
+    out = html.extract(spark.createDataFrame([(1, page, "x", "y")], "page_id long, html string, text string, __found string"))
+    row = out.first()
+    assert row["text"].count("\n") == 20_000 and row["__found"] == "y" and out.columns.count("text") == 1

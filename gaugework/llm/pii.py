@@ -49,6 +49,8 @@ LETTER_RUNS = (
 ISSUERS = r"^(?:4|5[0-9]|2[2-7]|3[04-9]|6[0-9])"
 ISSUER_DIGITS = 4
 KEY_PREFIX = r"(?:AKIA|ASIA|sk_live_|sk_test_|pk_live_|ghp_|gho_|xox[abp]-)"
+#: What a text with such a prefix shows, beginning with a letter so that few places are tried.
+KEY_MARK = "[Aspgx](?:[KS]IA|k_(?:live|test)_|h[po]_|ox[abp]-)"
 SECRET_WORD = r"(?i:password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key)[\"']?[ ]?[:=][ ]?[\"']?"
 
 
@@ -266,7 +268,7 @@ KINDS = (
     Kind("email", lambda t: t.contains("@"), r"(?<![\p{L}\p{N}._%+'-])[\p{L}\p{N}._%+-]++(?:'[\p{L}\p{N}._%+-]++)*+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+", lambda x: x.rlike(r"^[^@]*[\p{L}\p{N}]"), _email),
     Kind(
         "secret",
-        lambda t: t.rlike(f"[0-9a-fA-F]{{32}}|{KEY_PREFIX}|{SECRET_WORD}[^ ]{{8}}"),
+        lambda t: t.rlike("[0-9a-fA-F]{32}") | t.rlike(KEY_MARK) | t.rlike("[:=]") & t.rlike(f"{SECRET_WORD}[^ ]{{8}}"),
         rf"(?<![0-9A-Za-z]){SECRET_WORD}[^\s\"',;]{{8,128}}|(?<![0-9A-Za-z]){KEY_PREFIX}[0-9A-Za-z-]{{12,128}}(?![0-9A-Za-z])|(?<![0-9A-Za-z])(?:[0-9a-f]{{32,64}}|[0-9A-F]{{32,64}})(?![0-9A-Za-z])",
         lambda x: x.rlike(f"^(?:{SECRET_WORD}|{KEY_PREFIX}).*[0-9]") | x.rlike("^[0-9a-fA-F]+$") & x.rlike("[0-9]") & x.rlike("[A-Fa-f]"),
         _secret,

@@ -10,9 +10,11 @@ table with a row a node, in whole numbers, exact in every engine.
 
 A leaf with budget b and T tokens gives b div T whole epochs and, of the next
 epoch, the prefix of b mod T tokens in the order of md5(seed, epoch, id, text).
-The cut of each leaf is found by counts: tokens by the first digits of the
-digest, then a running sum only within the group that holds the cut. No leaf is
-ever sorted or gathered whole, however hot, and the texts are not shuffled. The
+The cut of each leaf is found by counts, digit by digit: tokens by the next digit
+of the digest, in the group that holds the cut, which alone is kept for the next
+level, a sixteenth of the one before; at last a running sum over some LAST_ROWS
+documents. No leaf is ever sorted or gathered whole, however hot: a leaf is at
+most 16 rows of a window. The texts are not shuffled. The
 documents are read once: what the result needs of them is written with their
 leaf, tokens and digest, and all later steps read that table. Everything up to
 the choice runs when `mix` is called.
@@ -36,8 +38,8 @@ from gaugework.llm.common import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 MAX_LEAVES = 50_000
-#: Documents of a leaf that share the leading digits of a digest, about.
-GROUP_ROWS = 20_000
+#: Documents of a leaf, about, that share the leading digits of a digest when the cut is sought among them.
+LAST_ROWS = 16
 
 
 def n_tokens(text: Column) -> Column:
@@ -125,25 +127,26 @@ def mix(
     size = leaves.agg(F.count("*").alias("n"), F.max("rows").alias("most")).first()  # one row
     # A row a leaf: broadcast while the tree is as small as trees are; else an ordinary join.
     small = (lambda df: F.broadcast(df)) if size["n"] <= MAX_LEAVES else (lambda df: df)
-    digits = max(1, math.ceil(math.log((size["most"] or 1) / GROUP_ROWS + 1, 16)))
+    depth = max(1, math.ceil(math.log(max(1, size["most"] or 1) / LAST_ROWS, 16)))
 
     plan = leaves.select(*[F.col(level).alias(k) for level, k in zip(levels, keys)], F.expr("CAST(budget DIV tokens AS INT)").alias("whole"), F.expr("budget % tokens").alias("rest"))
     plan = plan.where("whole > 0 OR rest > 0")
     place = digest(seed, F.col("whole"), F.col("id"), F.col("h"))
-    partial = placed.join(small(plan.where("rest > 0")), keys).select(*keys, "rest", place.alias("key"), "t", F.left(place, F.lit(digits)).alias("g"))
-    partial = materialize(partial, "order")
-    groups = partial.groupBy(*keys, "rest", "g").agg(F.sum("t").alias("t")).withColumn("sum", F.sum("t").over(Window.partitionBy(*keys).orderBy("g")))
-    cut_group = groups.where("sum > rest").groupBy(*keys).agg(F.min(F.struct("g", (F.col("sum") - F.col("t")).alias("before"))).alias("at")).select(*keys, "at.g", "at.before")
+    rows = placed.join(small(plan.where("rest > 0")), keys).select(*keys, "rest", place.alias("key"), "t", F.lit(0).cast("long").alias("before"))
+    rows = materialize(rows, "order")
+    upto = Window.partitionBy(*keys).orderBy("g")  # at most 16 rows a leaf
+    for digit in range(1, depth + 1):
+        group = F.left("key", F.lit(digit))
+        groups = rows.groupBy(*keys, "rest", "before", group.alias("g")).agg(F.sum("t").alias("t")).withColumn("sum", F.col("before") + F.sum("t").over(upto))
+        cut = groups.where("sum > rest").groupBy(*keys).agg(F.min(F.struct("g", (F.col("sum") - F.col("t")).alias("b"))).alias("at")).select(*keys, "at.g", "at.b")
+        rows = rows.join(small(cut), keys).where(group == F.col("g")).select(*keys, "rest", "key", "t", F.col("b").cast("long").alias("before"))
+        rows = materialize(rows, "order")
     within = Window.partitionBy(*keys).orderBy("key").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    last = (
-        partial.join(small(cut_group), [*keys, "g"])
-        .withColumn("sum", F.col("before") + F.sum("t").over(within))
-        .where("sum <= rest")
-        .groupBy(*keys)
-        .agg(F.max("key").alias("last"))
-    )
+    fits = F.when(F.col("before") + F.col("sum") <= F.col("rest"), F.col("key"))
+    # Rows that repeat id and text are one by now.
+    rows = rows.groupBy(*keys, "rest", "before", "key").agg(F.sum("t").alias("t"))
     # Up to the last key inside the cut's group, or all groups before it if none of its own fits.
-    cuts = cut_group.join(last, keys, "left").select(*keys, F.coalesce("last", "g").alias("cut"))
+    cuts = rows.withColumn("sum", F.sum("t").over(within)).groupBy(*keys).agg(F.coalesce(F.max(fits), F.min(F.left("key", F.lit(depth)))).alias("cut"))
     final = materialize(plan.join(cuts, keys, "left"), "cuts")
     taken = F.col("whole") + F.when((F.col("rest") > 0) & (place <= F.col("cut")), 1).otherwise(0)
     chosen = placed.join(small(final), keys).withColumn("n", taken).where("n > 0")

@@ -81,6 +81,7 @@ def splitters(keys: DataFrame, cuts_of: Callable[[int, int], list[Cut]]) -> tupl
     cuts = cuts_of(edge["b"], edge["n"])
     low, high = pack(*edge["lo"]), pack(*edge["hi"])
     done: list[tuple[int, int] | None] = [None] * len(cuts)
+    descended = [False] * len(cuts)  # whether a cut is sought within a group, whose edges are too far
     first = max(PROBES, CELLS * (len(cuts) + 1))
     bounds = {max(low, _group(low + (high - low + 1) * k // first)) for k in range(first)}
     for _ in range(MAX_ROUNDS):
@@ -93,10 +94,11 @@ def splitters(keys: DataFrame, cuts_of: Callable[[int, int], list[Cut]]) -> tupl
             begin_b, begin_n, end_b, end_n, lo, hi = cells[bisect_left(reach, cut.target)]
             below, above = cut.target - begin_b, end_b - cut.target
             one_group = lo // SPAN == hi // SPAN
-            if min(below, above) <= (cut.spare if one_group else cut.room) or lo == hi:
+            if min(below, above) <= (cut.spare if one_group and not descended[k] else cut.room) or lo == hi:
                 # The nearer end of the cell; a cell of one key cannot be cut.
                 done[k] = (lo, begin_n) if below <= above else (hi + 1, end_n)
             elif one_group:
+                descended[k] = True
                 bounds |= {lo + (hi - lo + 1) * j // PROBES for j in range(PROBES)} | {hi + 1}
             else:
                 inside = {_group(lo + (hi - lo + 1) * j // PROBES) for j in range(1, PROBES)}
